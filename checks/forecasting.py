@@ -1 +1,102 @@
+"""Monthly series, future calendar, forecasts and their reports (L5 to L12)."""
 
+from __future__ import annotations
+
+from checks.common import PANEL, check, rd, rounded
+from checks.exploring import LABELS, REPORT, SERIES, report_select
+from rainpanel.operators import forecast
+from rainpanel.plans import jobs, star
+
+
+def series(spark, sf):
+    return forecast.monthly_series(star.panel(spark, sf))
+
+
+@check("l5_monthly_series", f"WITH {PANEL}, {SERIES} SELECT region, ds, {rd('y')} AS y FROM series")
+def monthly_series(spark, sf):
+    return rounded(series(spark, sf))
+
+
+FUTURE = """
+last_month AS (SELECT region, max(ds) AS last FROM series GROUP BY region),
+future AS (SELECT region, CAST(last + to_months(i::INTEGER) AS DATE) AS ds FROM last_month, generate_series(1, 120) AS g(i))"""
+
+
+@check("l6_future_calendar", f"WITH {PANEL}, {SERIES}, {FUTURE} SELECT region, ds FROM future")
+def future_calendar(spark, sf):
+    return forecast.future_calendar(series(spark, sf))
+
+
+@check("l6_future_month_ends", f"""
+WITH {PANEL}, {SERIES}, last_month AS (SELECT region, max(ds) AS last FROM series GROUP BY region)
+SELECT region, last_day(CAST(last + to_months(i::INTEGER) AS DATE)) AS ds FROM last_month, generate_series(0, 119) AS g(i)""")
+def future_month_ends(spark, sf):
+    return forecast.future_calendar(series(spark, sf), mode="month_end")
+
+
+LEVELS = """
+numbered AS (SELECT region, ds, y, year(ds) * 12 + month(ds) - 1 AS x FROM series),
+lines AS (SELECT region, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, count(*) AS n FROM numbered GROUP BY region),
+residuals AS (SELECT region, month(ds) AS m, y - a - b * x AS r FROM numbered JOIN lines USING (region)),
+levels AS (SELECT region, m, avg(r) AS level FROM residuals GROUP BY 1, 2),
+sigmas AS (
+  SELECT region, sqrt(sum((r - level) * (r - level)) / greatest(any_value(n) - count(DISTINCT r.m) - 1, 1)) AS sigma
+  FROM residuals r JOIN levels USING (region, m) JOIN lines USING (region) GROUP BY region),
+points AS (SELECT region, ds, TRUE AS is_history FROM series UNION ALL SELECT region, ds, FALSE FROM future),
+fc AS (
+  SELECT p.region, p.ds, is_history, sigma, a + b * (year(p.ds) * 12 + month(p.ds) - 1) + coalesce(level, 0) AS yhat
+  FROM points p JOIN lines USING (region) JOIN sigmas USING (region)
+    LEFT JOIN levels l ON l.region = p.region AND l.m = month(p.ds))"""
+FORECAST = f"{PANEL}, {SERIES}, {FUTURE}, {LEVELS}"
+Z95 = "1.959963984540054"
+
+
+def month_means(spark, sf):
+    monthly = series(spark, sf)
+    return forecast.forecast_month_means(forecast.forecast_points(monthly), forecast.fit_month_means(monthly))
+
+
+@check("l7_seasonal_trend_forecast")
+def seasonal_trend(spark, sf):
+    return rounded(forecast.forecast(series(spark, sf)), 4)
+
+
+@check("l8_month_mean_forecast", f"""
+WITH {FORECAST} SELECT region, ds, {rd('yhat', 4)} AS yhat, {rd(f'yhat - {Z95} * sigma', 4)} AS yhat_lower,
+  {rd(f'yhat + {Z95} * sigma', 4)} AS yhat_upper, is_history FROM fc""")
+def month_mean_forecast(spark, sf):
+    return rounded(month_means(spark, sf), 4)
+
+
+@check("l9_trend_report", f"WITH {FORECAST}, {REPORT} {report_select()}")
+def trend_report(spark, sf):
+    return rounded(forecast.trend_report(month_means(spark, sf)), 4)
+
+
+@check("l9_trend_report_full_years", f"""
+WITH {FORECAST.replace('fc AS (', 'all_fc AS (')},
+full_years AS (SELECT region, year(ds) AS y FROM all_fc GROUP BY 1, 2 HAVING count(DISTINCT month(ds)) = 12),
+fc AS (SELECT f.* FROM all_fc f JOIN full_years g ON f.region = g.region AND year(f.ds) = g.y),
+{REPORT} {report_select()}""")
+def trend_report_full_years(spark, sf):
+    return rounded(forecast.trend_report(month_means(spark, sf), full_years_only=True), 4)
+
+
+@check("l10_monthly_pattern", f"""
+WITH {FORECAST} SELECT region, CAST(month(ds) AS INTEGER) AS month, {rd('avg(yhat)', 4)} AS yhat,
+  {LABELS}[month(ds)] AS label FROM fc GROUP BY region, month(ds)""")
+def monthly_pattern(spark, sf):
+    return rounded(forecast.monthly_pattern(month_means(spark, sf)), 4)
+
+
+@check("l11_chart_rows", f"""
+WITH {FORECAST} SELECT f.region, f.ds, {rd('yhat', 4)} AS yhat, {rd(f'yhat - {Z95} * sigma', 4)} AS yhat_lower,
+  {rd(f'yhat + {Z95} * sigma', 4)} AS yhat_upper, is_history, {rd('y', 4)} AS y, replace(f.region, ' ', '_') AS file_key
+FROM fc f LEFT JOIN series s ON s.region = f.region AND s.ds = f.ds""")
+def chart_rows(spark, sf):
+    return rounded(forecast.chart_rows(month_means(spark, sf), series(spark, sf)), 4)
+
+
+@check("l12_long_term_run")
+def long_term_run(spark, sf):
+    return rounded(jobs.predict_long_term(star.panel(spark, sf)).report, 4)

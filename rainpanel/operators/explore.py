@@ -132,3 +132,10 @@ def most_frequent(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     counts = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy(*keys).agg(F.min(F.struct((-F.col("n")).alias("rank"), F.col(column))).alias("best"))
     return best.select(*keys, F.col(f"best.{column}").alias(column), (-F.col("best.rank")).alias("n"))
+
+
+def wettest_day(df: DataFrame) -> DataFrame:
+    """Day with most rain per region, the earliest on a tie."""
+    key = F.struct((-F.col(RAIN)).alias("rank"), F.col("date"), F.col(RAIN))
+    best = df.groupBy("region").agg(F.min(F.when(F.col(RAIN).isNotNull(), key)).alias("best"))
+    return best.select("region", "best.date", f"best.{RAIN}")
