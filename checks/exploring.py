@@ -268,18 +268,19 @@ SLOPE = """CASE WHEN count(precipitations) OVER w > 1
 @check("w2_trend_indicators", f"""
 WITH {PANEL} SELECT region, date, {rd('precipitations')} AS precipitations,
   {rd('precipitations - lag(precipitations) OVER (PARTITION BY region ORDER BY date)')} AS change,
-  {rd(SLOPE)} AS slope_30d
+  {rd(SLOPE, 8)} AS slope_30d
 FROM panel WINDOW w AS (PARTITION BY region ORDER BY date RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)""")
 def trend_indicators(spark, sf):
-    return rounded(windows.trend_indicators(star.panel(spark, sf)))
+    return rounded(windows.trend_indicators(star.panel(spark, sf)), 8)
 
 
 @check("w3_allocate", f"""
-WITH {PANEL} SELECT region, date, {rd('precipitations')} AS precipitations, {rd('pression')} AS pression,
-  {rd('humidite / sum(humidite) OVER (PARTITION BY region, annee, mois) * pression')} AS allocated FROM panel""")
+WITH {PANEL} SELECT region, date, {rd('precipitations')} AS precipitations, {rd('humidite')} AS humidite,
+  {rd("CASE WHEN sum(precipitations) OVER w <> 0 THEN precipitations / sum(precipitations) OVER w * humidite END")} AS allocated
+FROM panel WINDOW w AS (PARTITION BY region, annee, mois)""")
 def allocate(spark, sf):
-    shared = windows.allocate(star.panel(spark, sf), ["region", "annee", "mois"], "humidite", "pression")
-    return rounded(shared.select("region", "date", "precipitations", "pression", "allocated"))
+    shared = windows.allocate(star.panel(spark, sf), ["region", "annee", "mois"], "precipitations", "humidite")
+    return rounded(shared.select("region", "date", "precipitations", "humidite", "allocated"))
 
 
 @check("w4_anomalies", f"""

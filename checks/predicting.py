@@ -54,7 +54,7 @@ def report(where: str = "") -> str:
 
 
 ON_PANEL = f"{PANEL}, {ASKED}, {ladder('panel', 'asked')}"
-KNOWN = "WHERE region IN (SELECT region FROM panel)"
+KNOWN = "WHERE EXISTS (SELECT 1 FROM observed o WHERE o.region = predicted.region)"
 
 
 @check("a12_ladder_panel", f"WITH {ON_PANEL} {report()}")

@@ -69,6 +69,7 @@ def main(arguments: list[str]) -> int:
             good, message = compare(spark, con, folder, name)
         except Exception as error:  # noqa: BLE001 - report and go on with the next query
             good, message = False, f"{type(error).__name__}: {str(error)[:600]}"
+            con = database(folder)
         if not good:
             failed.append(name)
         print(f"{'ok  ' if good else 'FAIL'} {name:32s} {time.time() - start:6.2f}s {message}", flush=True)
