@@ -124,7 +124,8 @@ def evaluate(spark, sf):
 def model_prediction(spark, sf):
     panel = star.panel(spark, sf)
     model = models.fit_model("gbt", features.split_by_year(panel, TEST_YEAR)[0], **SMALL_BOOSTING)
-    return rounded(models.predict_rain(model, asked(spark, sf), climatology.weather_cells(panel)), 4)
+    return rounded(models.predict_rain(
+        model, climatology.expected_weather(asked(spark, sf), climatology.weather_cells(panel))), 4)
 
 
 @check("m10_model_prediction_job")

@@ -12,12 +12,14 @@ enter as a scalar subquery.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rainpanel.functions import at_least_zero, axis_top, fixed, rain_class, table_line
 from rainpanel.operators.explore import RAIN
+from rainpanel.operators.joins import date_array
 from rainpanel.operators.quality import fill_defaults
 from rainpanel.schema import WEATHER_COLUMNS, with_date_parts
 
@@ -117,6 +119,13 @@ def overall_slices(cells: DataFrame) -> DataFrame:
     return _fold(_slice_rows(cells, []), [], _STATS)
 
 
+def _look_up(requests: DataFrame, slices: DataFrame) -> DataFrame:
+    """Left join on region. The null-safe match keeps Spark from adding a not-null filter below the
+    slices, so they and the overall row share one reading and one shuffle of the observations."""
+    keyed = slices.withColumnRenamed("region", "_region")
+    return requests.join(keyed, F.col("region").eqNullSafe(F.col("_region")), "left").drop("_region")
+
+
 def predict(requests: DataFrame, cells: DataFrame, unknown_regions: bool = True) -> DataFrame:
     """Prediction report for each requested region and date.
 
@@ -124,13 +133,20 @@ def predict(requests: DataFrame, cells: DataFrame, unknown_regions: bool = True)
     month over all regions, else everything. With ``unknown_regions=False`` such requests are left
     out (see ``unknown_requests`` for the list of them).
     """
+    if not unknown_regions:
+        return _report(requests.join(region_slices(cells), "region", "inner"))
+    joined = _look_up(requests.withColumn("overall", overall_slices(cells).scalar()), region_slices(cells))
+    return _report(joined.withColumn("slices", F.coalesce("slices", "overall")))
+
+
+def predict_all(cells: DataFrame, dates: Iterable[dt.date]) -> DataFrame:
+    """Prediction report of every observed region for each date: no request table, no join."""
+    slices = region_slices(cells.filter(F.col("region").isNotNull()))
+    return _report(slices.withColumn("date", F.explode(date_array(dates))))
+
+
+def _report(joined: DataFrame) -> DataFrame:
     slices = F.col("slices")
-    if unknown_regions:
-        requests = requests.withColumn("overall", overall_slices(cells).scalar())
-        joined = requests.join(region_slices(cells), "region", "left")
-        slices = F.coalesce(slices, F.col("overall"))
-    else:
-        joined = requests.join(region_slices(cells), "region", "inner")
     chosen = joined.select(
         "region", "date", slices[WHOLE].alias("whole"),
         F.coalesce(F.try_element_at(slices, F.month("date")), slices[WHOLE]).alias("s"),
@@ -204,12 +220,24 @@ def weather_means(cells: DataFrame) -> DataFrame:
 
 def expected_weather(requests: DataFrame, cells: DataFrame) -> DataFrame:
     """Model input for each request: mean weather of the region's month, else region, else all rows."""
-    slices = _fold(_weather_rows(cells, ["region"]), ["region"], _WEATHER)
     overall = _fold(_weather_rows(cells, []), [], _WEATHER).select(F.col("slices")[WHOLE]).scalar()
-    chosen = F.coalesce(
-        F.try_element_at(F.col("slices"), F.month("date")), F.col("slices")[WHOLE], F.col("overall"),
-    )
-    joined = requests.withColumn("overall", overall).join(slices, "region", "left")
+    return _weather_input(_look_up(requests.withColumn("overall", overall), _weather_slices(cells)))
+
+
+def expected_weather_all(cells: DataFrame, dates: Iterable[dt.date]) -> DataFrame:
+    """Model input of every observed region for each date: no request table, no join."""
+    slices = _weather_slices(cells.filter(F.col("region").isNotNull()))
+    dated = slices.withColumn("date", F.explode(date_array(dates)))
+    return _weather_input(dated.withColumn("overall", F.col("slices")[WHOLE]))
+
+
+def _weather_slices(cells: DataFrame) -> DataFrame:
+    return _fold(_weather_rows(cells, ["region"]), ["region"], _WEATHER)
+
+
+def _weather_input(joined: DataFrame) -> DataFrame:
+    slices = F.col("slices")
+    chosen = F.coalesce(F.try_element_at(slices, F.month("date")), slices[WHOLE], F.col("overall"))
     weather = joined.select("region", "date", chosen.alias("w")).select(
         "region", "date", F.lit(0.0).alias(RAIN),
         *[F.col(f"w.{c}").alias(c) for c in (*WEATHER_COLUMNS, "type_sol")],

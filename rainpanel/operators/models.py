@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from rainpanel.functions import rain_class
-from rainpanel.operators.climatology import expected_weather
 from rainpanel.operators.explore import RAIN
 from rainpanel.operators.features import (
     RAW_VECTOR, SCALED_VECTOR, add_calendar_features, check_categories, feature_pipeline,
@@ -111,9 +110,9 @@ def comparison_metrics(compared: DataFrame, keys: Sequence[str] = ()) -> DataFra
     return regression_metrics(long, keys=["model_name", *keys])
 
 
-def predict_rain(model: PipelineModel, requests: DataFrame, cells: DataFrame) -> DataFrame:
-    """Model prediction for requested regions and dates, from the mean weather of each slice."""
-    scored = score(model, expected_weather(requests, cells), "rainfall")
+def predict_rain(model: PipelineModel, weather: DataFrame) -> DataFrame:
+    """Amount and class predicted from the weather expected on each region and date."""
+    scored = score(model, weather, "rainfall")
     return scored.select("region", "date", "rainfall", rain_class("rainfall").alias("category"))
 
 

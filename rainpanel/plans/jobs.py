@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from rainpanel.operators import climatology, forecast, joins, models
 from rainpanel.operators.features import split_by_year
@@ -59,14 +59,14 @@ def target_dates(
     return [(today or dt.date.today()) + dt.timedelta(days=days)]
 
 
-def _regions(df: DataFrame, region: str | None) -> DataFrame:
-    regions = df.select("region").filter(F.col("region").isNotNull()).distinct()
+def _observed(df: DataFrame, region: str | None) -> DataFrame:
+    """Rows of the region asked for (the filter reaches the scan), or all rows."""
     if region is None:
-        return regions
-    one = regions.filter(F.col("region") == region)
-    if one.isEmpty():
+        return df
+    rows = joins.pick_region_month(df, region)
+    if rows.isEmpty():
         raise ValueError(f"no observation for region {region!r}")
-    return one
+    return rows
 
 
 def predict_with_model(
@@ -74,8 +74,9 @@ def predict_with_model(
     dates: Iterable[dt.date] | None = None, days: int = 1, today: dt.date | None = None,
 ) -> DataFrame:
     """Model prediction for one region or all, from the mean weather of the observations."""
-    requests = joins.requests_for(_regions(df, region), target_dates(dates, days, today))
-    return models.predict_rain(model, requests, climatology.weather_cells(df))
+    cells = climatology.weather_cells(_observed(df, region))
+    weather = climatology.expected_weather_all(cells, target_dates(dates, days, today))
+    return models.predict_rain(model, weather)
 
 
 def predict_from_climatology(
@@ -83,9 +84,8 @@ def predict_from_climatology(
     days: int = 1, today: dt.date | None = None,
 ) -> DataFrame:
     """Climatology report for one region or all; ``ValueError`` for a region never observed."""
-    requests = joins.requests_for(_regions(df, region), target_dates(dates, days, today))
-    observed = df if region is None else joins.pick_region_month(df, region)
-    return climatology.predict(requests, climatology.rain_cells(observed), unknown_regions=False)
+    cells = climatology.rain_cells(_observed(df, region))
+    return climatology.predict_all(cells, target_dates(dates, days, today))
 
 
 @dataclass(frozen=True)
