@@ -35,16 +35,16 @@ def future_month_ends(spark, sf):
 
 
 LEVELS = """
-numbered AS (SELECT region, ds, y, year(ds) * 12 + month(ds) - 1 AS x FROM series),
-lines AS (SELECT region, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, count(*) AS n FROM numbered GROUP BY region),
-residuals AS (SELECT region, month(ds) AS m, y - a - b * x AS r FROM numbered JOIN lines USING (region)),
-levels AS (SELECT region, m, avg(r) AS level FROM residuals GROUP BY 1, 2),
+numbered AS (SELECT region, ds, y, year(ds) * 12 + month(ds) - 1 AS x, month(ds) AS m FROM series),
+centred AS (SELECT *, y - avg(y) OVER w AS dy, x - avg(x) OVER w AS dx FROM numbered WINDOW w AS (PARTITION BY region, m)),
+lines AS (SELECT region, sum(dx * dy) / sum(dx * dx) AS b, count(*) AS n, count(DISTINCT m) AS k FROM centred GROUP BY region),
+levels AS (SELECT region, m, avg(y - b * x) AS level FROM numbered JOIN lines USING (region) GROUP BY 1, 2),
 sigmas AS (
-  SELECT region, sqrt(sum((r - level) * (r - level)) / greatest(any_value(n) - count(DISTINCT r.m) - 1, 1)) AS sigma
-  FROM residuals r JOIN levels USING (region, m) JOIN lines USING (region) GROUP BY region),
+  SELECT region, sqrt(sum((y - b * x - level) * (y - b * x - level)) / greatest(any_value(n) - any_value(k) - 1, 1)) AS sigma
+  FROM numbered JOIN levels USING (region, m) JOIN lines USING (region) GROUP BY region),
 points AS (SELECT region, ds, TRUE AS is_history FROM series UNION ALL SELECT region, ds, FALSE FROM future),
 fc AS (
-  SELECT p.region, p.ds, is_history, sigma, a + b * (year(p.ds) * 12 + month(p.ds) - 1) + coalesce(level, 0) AS yhat
+  SELECT p.region, p.ds, is_history, sigma, b * (year(p.ds) * 12 + month(p.ds) - 1) + level AS yhat
   FROM points p JOIN lines USING (region) JOIN sigmas USING (region)
     LEFT JOIN levels l ON l.region = p.region AND l.m = month(p.ds))"""
 FORECAST = f"{PANEL}, {SERIES}, {FUTURE}, {LEVELS}"

@@ -76,47 +76,42 @@ def forecast_points(series: DataFrame, periods: int = 120, mode: str = "month_st
 # --- straight trend plus month levels -------------------------------------------------------------
 
 def fit_month_means(series: DataFrame) -> DataFrame:
-    """Slope, intercept and mean residual of each month, one row per region with two points or more.
+    """Common slope and level of each month, one row per region with two points or more.
 
-    One pass over the series: each point counts for its month and for the whole region (month 0).
+    Least squares of a straight trend and twelve month levels together: the slope comes from changes
+    within each month over the years, so the season cannot tilt it. Without two years of any month
+    the slope is 0 and the season repeats.
     """
     x = month_index("ds").cast("double")
-    points = series.filter(F.col("y").isNotNull()).select(
-        "region", "y", x.alias("x"), F.explode(F.array(F.month("ds"), F.lit(0))).alias("part"),
-    )
-    parts = points.groupBy("region", "part").agg(
+    points = series.filter(F.col("y").isNotNull()).select("region", "y", x.alias("x"), F.month("ds").alias("month"))
+    months = points.groupBy("region", "month").agg(
         F.count(F.lit(1)).alias("n"), F.avg("x").alias("mx"), F.avg("y").alias("my"),
-        F.regr_slope("y", "x").alias("slope"), F.max("x").alias("last_x"),
         F.regr_sxx("y", "x").alias("sxx"), F.regr_sxy("y", "x").alias("sxy"), F.regr_syy("y", "x").alias("syy"),
     )
-    fields = ("n", "mx", "my", "slope", "last_x", "sxx", "sxy", "syy")
-    folded = parts.groupBy("region").agg(
-        F.any_value(F.when(F.col("part") == 0, F.struct(*fields)), True).alias("w"),
-        F.collect_list(F.when(F.col("part") > 0, F.struct("part", *fields))).alias("months"),
-    ).filter(F.col("w.n") >= 2)
-    slope, intercept = F.col("w.slope"), F.col("w.my") - F.col("w.slope") * F.col("w.mx")
-
-    def residual_squares(total: Column, m: Column) -> Column:
-        return total + m["syy"] - slope * m["sxy"] * 2 + slope * slope * m["sxx"]
-
-    squares = F.aggregate("months", F.lit(0.0), residual_squares)
-    levels = F.transform("months", lambda m: F.struct(m["part"], m["my"] - intercept - slope * m["mx"]))
-    freedom = F.greatest(F.col("w.n") - F.size("months") - 1, F.lit(1))
+    slope = F.when(F.sum("sxx") > 0, F.sum("sxy") / F.sum("sxx")).otherwise(0.0)
+    folded = months.groupBy("region").agg(
+        F.sum("n").alias("n_points"), slope.alias("slope"), F.count(F.lit(1)).alias("n_months"),
+        F.greatest(F.sum("syy") - slope * F.sum("sxy"), F.lit(0.0)).alias("squares"),
+        F.collect_list(F.struct("month", "mx", "my")).alias("means"),
+    ).filter(F.col("n_points") >= 2)
+    levels = F.transform("means", lambda m: F.struct(m["month"], m["my"] - F.col("slope") * m["mx"]))
+    freedom = F.greatest(F.col("n_points") - F.col("n_months") - 1, F.lit(1))
     return folded.select(
-        "region", F.col("w.n").alias("n_points"), slope.alias("slope"), intercept.alias("intercept"),
-        F.map_from_entries(levels).alias("levels"), F.sqrt(F.greatest(squares, F.lit(0.0)) / freedom).alias("sigma"),
+        "region", "n_points", "slope", F.map_from_entries(levels).alias("levels"),
+        F.sqrt(F.col("squares") / freedom).alias("sigma"),
     )
 
 
 def forecast_month_means(
     points: DataFrame, fitted: DataFrame, level: float = 0.95, clip: bool = False
 ) -> DataFrame:
-    x = month_index("ds")
-    season = F.coalesce(F.try_element_at("levels", F.month("ds")), F.lit(0.0))
+    """Evaluate the fit at the given dates; a month never observed takes the mean of the levels."""
+    levels = F.map_values("levels")
+    mean_level = F.aggregate(levels, F.lit(0.0), lambda total, one: total + one) / F.size(levels)
+    season = F.coalesce(F.try_element_at("levels", F.month("ds")), mean_level)
     joined = points.join(fitted, "region")
     return _with_interval(
-        joined.withColumn("yhat", F.col("intercept") + F.col("slope") * x + season),
-        F.col("sigma"), level, clip,
+        joined.withColumn("yhat", F.col("slope") * month_index("ds") + season), F.col("sigma"), level, clip,
     )
 
 
