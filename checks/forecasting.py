@@ -52,8 +52,7 @@ Z95 = "1.959963984540054"
 
 
 def month_means(spark, sf):
-    monthly = series(spark, sf)
-    return forecast.forecast_month_means(forecast.forecast_points(monthly), forecast.fit_month_means(monthly))
+    return forecast.forecast_month_means(forecast.fit_month_means(series(spark, sf)))
 
 
 @check("l7_seasonal_trend_forecast")

@@ -90,7 +90,7 @@ def coefficient_table(spark, sf):
     series = forecast.monthly_series(star.panel(spark, sf))
     sources.save_coefficients(forecast.fit_seasonal_trend(series), path)
     saved = sources.load_coefficients(spark, path)
-    return rounded(forecast.forecast_seasonal_trend(forecast.forecast_points(series), saved), 4)
+    return rounded(forecast.forecast_seasonal_trend(saved), 4)
 
 
 @check("s9_rows_to_frame", f"""

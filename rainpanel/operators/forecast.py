@@ -65,12 +65,14 @@ def _future_dates(last: Column, periods: int, mode: str) -> Column:
     raise ValueError(f"mode must be month_start or month_end, not {mode!r}")
 
 
-def forecast_points(series: DataFrame, periods: int = 120, mode: str = "month_start") -> DataFrame:
-    """History and future dates of each region: ``region, ds, is_history``."""
-    history = series.filter(F.col("y").isNotNull()).select("region", "ds", F.lit(True).alias("is_history"))
-    return history.unionByName(
-        future_calendar(history, periods, mode).withColumn("is_history", F.lit(False))
-    )
+def _dated(fitted: DataFrame, periods: int, mode: str) -> DataFrame:
+    """Each fitted row once per date of its history and future: the rows carry their own dates, so
+    the series is not read or joined again."""
+    def marked(dates: Column, is_history: bool) -> Column:
+        return F.transform(dates, lambda d: F.struct(d.alias("ds"), F.lit(is_history).alias("is_history")))
+
+    future = _future_dates(F.array_max("dates"), periods, mode)
+    return fitted.select("*", F.inline(F.concat(marked(F.col("dates"), True), marked(future, False))))
 
 
 # --- straight trend plus month levels -------------------------------------------------------------
@@ -83,35 +85,38 @@ def fit_month_means(series: DataFrame) -> DataFrame:
     the slope is 0 and the season repeats.
     """
     x = month_index("ds").cast("double")
-    points = series.filter(F.col("y").isNotNull()).select("region", "y", x.alias("x"), F.month("ds").alias("month"))
+    points = series.filter(F.col("y").isNotNull()).select(
+        "region", "ds", "y", x.alias("x"), F.month("ds").alias("month"))
     months = points.groupBy("region", "month").agg(
         F.count(F.lit(1)).alias("n"), F.avg("x").alias("mx"), F.avg("y").alias("my"),
         F.regr_sxx("y", "x").alias("sxx"), F.regr_sxy("y", "x").alias("sxy"), F.regr_syy("y", "x").alias("syy"),
+        F.collect_set("ds").alias("dates"),
     )
     slope = F.when(F.sum("sxx") > 0, F.sum("sxy") / F.sum("sxx")).otherwise(0.0)
     folded = months.groupBy("region").agg(
         F.sum("n").alias("n_points"), slope.alias("slope"), F.count(F.lit(1)).alias("n_months"),
         F.greatest(F.sum("syy") - slope * F.sum("sxy"), F.lit(0.0)).alias("squares"),
         F.collect_list(F.struct("month", "mx", "my")).alias("means"),
+        F.array_sort(F.flatten(F.collect_list("dates"))).alias("dates"),
     ).filter(F.col("n_points") >= 2)
     levels = F.transform("means", lambda m: F.struct(m["month"], m["my"] - F.col("slope") * m["mx"]))
     freedom = F.greatest(F.col("n_points") - F.col("n_months") - 1, F.lit(1))
     return folded.select(
         "region", "n_points", "slope", F.map_from_entries(levels).alias("levels"),
-        F.sqrt(F.col("squares") / freedom).alias("sigma"),
+        F.sqrt(F.col("squares") / freedom).alias("sigma"), "dates",
     )
 
 
 def forecast_month_means(
-    points: DataFrame, fitted: DataFrame, level: float = 0.95, clip: bool = False
+    fitted: DataFrame, periods: int = 120, mode: str = "month_start", level: float = 0.95, clip: bool = False
 ) -> DataFrame:
-    """Evaluate the fit at the given dates; a month never observed takes the mean of the levels."""
+    """Evaluate the fit over history and future; a month never observed takes the mean of the levels."""
     levels = F.map_values("levels")
     mean_level = F.aggregate(levels, F.lit(0.0), lambda total, one: total + one) / F.size(levels)
     season = F.coalesce(F.try_element_at("levels", F.month("ds")), mean_level)
-    joined = points.join(fitted, "region")
     return _with_interval(
-        joined.withColumn("yhat", F.col("slope") * month_index("ds") + season), F.col("sigma"), level, clip,
+        _dated(fitted, periods, mode).withColumn("yhat", F.col("slope") * month_index("ds") + season),
+        F.col("sigma"), level, clip,
     )
 
 
@@ -127,7 +132,8 @@ def _with_interval(df: DataFrame, deviation: Column, level: float, clip: bool) -
 
 COEFFICIENT_SCHEMA = (
     "region string, n_points bigint, first_day double, span double, base double, slope double, "
-    "bends array<double>, bend_slopes array<double>, waves array<double>, sigma double, drift double"
+    "bends array<double>, bend_slopes array<double>, waves array<double>, sigma double, drift double, "
+    "days array<int>"
 )
 
 
@@ -172,19 +178,20 @@ def fit_seasonal_trend(
         return pd.DataFrame([{
             "region": pdf["region"].iloc[0], "n_points": len(y), "first_day": first, "span": span,
             "base": beta[0], "slope": beta[1], "bends": bends, "bend_slopes": bend_slopes,
-            "waves": beta[2 + n_bends:], "sigma": sigma, "drift": drift,
+            "waves": beta[2 + n_bends:], "sigma": sigma, "drift": drift, "days": day.astype(int),
         }])
 
     points = series.filter(F.col("y").isNotNull() & F.col("region").isNotNull())
     days = points.groupBy("region", F.unix_date("ds").alias("day")).agg(F.avg("y").alias("y"))
-    return days.groupBy("region").applyInPandas(fit, COEFFICIENT_SCHEMA)
+    fitted = days.groupBy("region").applyInPandas(fit, COEFFICIENT_SCHEMA)
+    return fitted.withColumn("dates", F.transform("days", F.date_from_unix_date)).drop("days")
 
 
 def forecast_seasonal_trend(
-    points: DataFrame, fitted: DataFrame, yearly: bool = True, monthly: bool = False,
-    level: float = 0.95, clip: bool = False,
+    fitted: DataFrame, periods: int = 120, mode: str = "month_start", yearly: bool = True,
+    monthly: bool = False, level: float = 0.95, clip: bool = False,
 ) -> DataFrame:
-    """Evaluate saved or fresh coefficients at the given dates, in Spark expressions only.
+    """Evaluate saved or fresh coefficients over history and future, in Spark expressions only.
 
     The interval widens after the last observation: bends may go on at their past rate and size, so
     the variance of the trend grows with the cube of the distance.
@@ -200,9 +207,9 @@ def forecast_seasonal_trend(
     season = sum((F.get("waves", F.lit(i)) * wave for i, wave in enumerate(waves)), F.lit(0.0))
     ahead = F.greatest(t - 1, F.lit(0.0))
     deviation = F.sqrt(F.col("sigma") ** 2 + F.col("drift") ** 2 * ahead * ahead * ahead / 3)
-    joined = points.join(fitted, "region")
     return _with_interval(
-        joined.withColumn("yhat", F.col("base") + F.col("slope") * t + bent + season), deviation, level, clip,
+        _dated(fitted, periods, mode).withColumn("yhat", F.col("base") + F.col("slope") * t + bent + season),
+        deviation, level, clip,
     )
 
 
@@ -215,10 +222,10 @@ def forecast(
     Regions with fewer than ``MIN_POINTS`` months use the month-mean model; those with fewer than
     two points get no forecast (see ``too_short``).
     """
-    points = forecast_points(series, periods, mode)
-    waves = forecast_seasonal_trend(points, fit_seasonal_trend(series, yearly, monthly), yearly, monthly, level, clip)
+    waves = forecast_seasonal_trend(
+        fit_seasonal_trend(series, yearly, monthly), periods, mode, yearly, monthly, level, clip)
     short = fit_month_means(series).filter(F.col("n_points") < MIN_POINTS)
-    return waves.unionByName(forecast_month_means(points, short, level, clip))
+    return waves.unionByName(forecast_month_means(short, periods, mode, level, clip))
 
 
 def too_short(series: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from rainpanel.functions import rain_class
@@ -16,6 +16,7 @@ from rainpanel.operators.features import (
     RAW_VECTOR, SCALED_VECTOR, add_calendar_features, check_categories, feature_pipeline,
     feature_stages,
 )
+from rainpanel.sources.tables import use_checkpoint_folder
 
 # Settings of the two models.
 FOREST_SETTINGS = {"numTrees": 100, "maxDepth": 10, "seed": 42}
@@ -32,27 +33,21 @@ def regressor(kind: str, **settings):
     raise ValueError(f"unknown model kind: {kind}")
 
 
-def use_checkpoint_folder(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """Folder where long training cuts its lineage: the session's, else ``fallback`` if given.
+def _training_rows(df: DataFrame) -> DataFrame:
+    """Rows with a label, kept while models train on them; the category check fills the cache.
 
-    Boosting over many rounds then restarts from shared storage when an executor is lost.
+    With a checkpoint folder, boosting over many rounds restarts from shared storage when an
+    executor is lost.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if folder:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def _training_rows(df: DataFrame) -> DataFrame:
     use_checkpoint_folder(df.sparkSession)
-    train = add_calendar_features(df).filter(F.col(RAIN).isNotNull())
+    train = add_calendar_features(df).filter(F.col(RAIN).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     check_categories(train)
     return train
 
 
 def fit_model(kind: str, train: DataFrame, **settings) -> PipelineModel:
     """Fit features and model on training rows, as one pipeline that scores raw rows later."""
-    train = _training_rows(train).persist(StorageLevel.MEMORY_AND_DISK)
+    train = _training_rows(train)
     try:
         return Pipeline(stages=[*feature_stages(), regressor(kind, **settings)]).fit(train)
     finally:
@@ -154,8 +149,8 @@ def search_settings(
                 label = ", ".join(f"{name}={value}" for name, value in sorted(chosen.items()))
                 results.append((label, int(year), *metrics))
         finally:
-            inputs.unpersist()
-            test.unpersist()
+            for frame in (train, inputs, test):
+                frame.unpersist()
     return spark.createDataFrame(
         results, "settings string, test_year int, n bigint, rmse double, mae double, r2 double"
     )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rainpanel.operators import climatology, forecast, joins, models
 from rainpanel.operators.features import split_by_year
 from rainpanel.operators.quality import clean
-from rainpanel.sources import read_csv, save_model, write_csv
+from rainpanel.sources import read_csv, save_model, settled, write_csv
 
 
 def process(spark: SparkSession, source: str, target: str, threshold: float = 0.05) -> None:
@@ -99,7 +99,10 @@ class LongTerm:
 
 
 def predict_long_term(df: DataFrame, region: str | None = None, years: int = 10, **options) -> LongTerm:
-    """Forecast one region, or all when none is named or the name is unknown."""
-    series = forecast.monthly_series(forecast.region_or_all(df, region))
+    """Forecast one region, or all when none is named or the name is unknown.
+
+    The monthly series is settled first: the daily rows are read once for all four results.
+    """
+    series = settled(forecast.monthly_series(forecast.region_or_all(df, region)))
     rows = forecast.forecast(series, periods=years * 12, **options)
     return LongTerm(series, rows, forecast.trend_report(rows), forecast.monthly_pattern(rows))

@@ -87,3 +87,20 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ("anne
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
+def use_checkpoint_folder(spark: SparkSession) -> str | None:
+    """The session's shared checkpoint folder, made known to its context; None when it names none."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder once and go on from there.
+
+    For a small result of a long reading that several later steps use. Without a folder the frame
+    stays as it is and Spark works it out anew for each use.
+    """
+    return df.checkpoint() if use_checkpoint_folder(df.sparkSession) else df

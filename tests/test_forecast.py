@@ -30,10 +30,9 @@ def known(spark):
 
 @pytest.fixture(scope="module")
 def both_models(known):
-    points = fc.forecast_points(known, 24)
     return {
-        "waves": fc.forecast_seasonal_trend(points, fc.fit_seasonal_trend(known)).cache(),
-        "months": fc.forecast_month_means(points, fc.fit_month_means(known)).cache(),
+        "waves": fc.forecast_seasonal_trend(fc.fit_seasonal_trend(known), 24).cache(),
+        "months": fc.forecast_month_means(fc.fit_month_means(known), 24).cache(),
     }
 
 
@@ -131,9 +130,8 @@ def test_full_years(spark):
 def test_coefficients_saved_and_used_again(spark, known, tmp_path):
     fitted = fc.fit_seasonal_trend(known)
     sources.save_coefficients(fitted, str(tmp_path / "c"))
-    points = fc.forecast_points(known, 12)
-    before = fc.forecast_seasonal_trend(points, fitted).orderBy("region", "ds").collect()
-    after = fc.forecast_seasonal_trend(points, sources.load_coefficients(spark, str(tmp_path / "c"))).orderBy("region", "ds").collect()
+    before = fc.forecast_seasonal_trend(fitted, 12).orderBy("region", "ds").collect()
+    after = fc.forecast_seasonal_trend(sources.load_coefficients(spark, str(tmp_path / "c")), 12).orderBy("region", "ds").collect()
     assert [r["yhat"] for r in before] == pytest.approx([r["yhat"] for r in after])
     assert sources.load_coefficients(spark, str(tmp_path / "c"), "up").count() == 1
 
