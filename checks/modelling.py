@@ -61,7 +61,20 @@ def one_hot(spark, sf):
     ])
 
 
-@check("m4_assembled_rows")
+GAPPY_TIMED = f"{GAPPY}, timed AS (SELECT *, {SEASON} AS saison FROM gappy)"
+
+
+def width(where: str = "") -> str:
+    """Ten numbers and one slot per label seen when fitting."""
+    return ("CAST(10 + (SELECT count(DISTINCT region) + count(DISTINCT type_sol) + count(DISTINCT saison) "
+            f"FROM timed {where}) AS INTEGER)")
+
+
+COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in MODEL_NUMERIC if c != "jour_annee")
+
+
+@check("m4_assembled_rows", f"""
+WITH {GAPPY_TIMED} SELECT region, count(*) AS n, {width()} AS width FROM timed WHERE {COMPLETE} GROUP BY region""")
 def assembled_rows(spark, sf):
     df = features.add_calendar_features(star.gappy_observations(spark, sf))
     model = features.feature_pipeline().fit(df)
@@ -88,7 +101,8 @@ def standardised(spark, sf):
     return rounded(scaled.select("region", "date", *[F.get("z", F.lit(i)).alias(c) for i, c in enumerate(MODEL_NUMERIC)]))
 
 
-@check("m6_feature_pipeline")
+@check("m6_feature_pipeline", f"""
+WITH {TIMED} SELECT region, count(*) AS n, {width('WHERE annee < 2000')} AS width FROM timed WHERE annee >= 2000 GROUP BY region""")
 def feature_pipeline(spark, sf):
     train, test = features.split_by_year(prepared(spark, sf), TEST_YEAR)
     scaled = features.feature_pipeline().fit(train).transform(test)

@@ -16,6 +16,7 @@ from rainpanel.operators.features import (
     RAW_VECTOR, SCALED_VECTOR, add_calendar_features, check_categories, feature_pipeline,
     feature_stages,
 )
+from rainpanel.schema import MODEL_CATEGORICAL, MODEL_NUMERIC
 from rainpanel.sources.tables import use_checkpoint_folder
 
 # Settings of the two models.
@@ -40,7 +41,8 @@ def _training_rows(df: DataFrame) -> DataFrame:
     executor is lost.
     """
     use_checkpoint_folder(df.sparkSession)
-    train = add_calendar_features(df).filter(F.col(RAIN).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = add_calendar_features(df).filter(F.col(RAIN).isNotNull())
+    train = rows.select(RAIN, *MODEL_NUMERIC, *MODEL_CATEGORICAL).persist(StorageLevel.MEMORY_AND_DISK)
     check_categories(train)
     return train
 
