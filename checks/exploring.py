@@ -154,10 +154,10 @@ report AS (
   FROM years JOIN months USING (region))"""
 
 
-def report_select(columns: str = "") -> str:
-    return columns or f"""SELECT region, trend_direction, {rd('abs(slope)', 4)} AS trend_strength, {rd('pct_change', 4)} AS pct_change,
+def report_select(digits: int) -> str:
+    return f"""SELECT region, trend_direction, {rd('abs(slope)', digits)} AS trend_strength, {rd('pct_change', digits)} AS pct_change,
   wettest_year, driest_year, wettest_month, driest_month, start_year, end_year,
-  {rd('start_value', 4)} AS start_value, {rd('end_value', 4)} AS end_value FROM report"""
+  {rd('start_value', digits)} AS start_value, {rd('end_value', digits)} AS end_value FROM report"""
 
 
 def history(spark, sf):

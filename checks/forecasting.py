@@ -38,13 +38,13 @@ LEVELS = """
 numbered AS (SELECT region, ds, y, year(ds) * 12 + month(ds) - 1 AS x, month(ds) AS m FROM series),
 centred AS (SELECT *, y - avg(y) OVER w AS dy, x - avg(x) OVER w AS dx FROM numbered WINDOW w AS (PARTITION BY region, m)),
 lines AS (SELECT region, sum(dx * dy) / sum(dx * dx) AS b, count(*) AS n, count(DISTINCT m) AS k FROM centred GROUP BY region),
-levels AS (SELECT region, m, avg(y - b * x) AS level FROM numbered JOIN lines USING (region) GROUP BY 1, 2),
+levels AS (SELECT region, m, avg(x) AS mx, avg(y) AS my FROM numbered GROUP BY 1, 2),
 sigmas AS (
-  SELECT region, sqrt(sum((y - b * x - level) * (y - b * x - level)) / greatest(any_value(n) - any_value(k) - 1, 1)) AS sigma
+  SELECT region, sqrt(sum((y - my - b * (x - mx)) * (y - my - b * (x - mx))) / greatest(any_value(n) - any_value(k) - 1, 1)) AS sigma
   FROM numbered JOIN levels USING (region, m) JOIN lines USING (region) GROUP BY region),
 points AS (SELECT region, ds, TRUE AS is_history FROM series UNION ALL SELECT region, ds, FALSE FROM future),
 fc AS (
-  SELECT p.region, p.ds, is_history, sigma, b * (year(p.ds) * 12 + month(p.ds) - 1) + level AS yhat
+  SELECT p.region, p.ds, is_history, sigma, my + b * (year(p.ds) * 12 + month(p.ds) - 1 - mx) AS yhat
   FROM points p JOIN lines USING (region) JOIN sigmas USING (region)
     LEFT JOIN levels l ON l.region = p.region AND l.m = month(p.ds))"""
 FORECAST = f"{PANEL}, {SERIES}, {FUTURE}, {LEVELS}"
@@ -61,39 +61,39 @@ def seasonal_trend(spark, sf):
 
 
 @check("l8_month_mean_forecast", f"""
-WITH {FORECAST} SELECT region, ds, {rd('yhat', 4)} AS yhat, {rd(f'yhat - {Z95} * sigma', 4)} AS yhat_lower,
-  {rd(f'yhat + {Z95} * sigma', 4)} AS yhat_upper, is_history FROM fc""")
+WITH {FORECAST} SELECT region, ds, {rd('yhat')} AS yhat, {rd(f'yhat - {Z95} * sigma')} AS yhat_lower,
+  {rd(f'yhat + {Z95} * sigma')} AS yhat_upper, is_history FROM fc""")
 def month_mean_forecast(spark, sf):
-    return rounded(month_means(spark, sf), 4)
+    return rounded(month_means(spark, sf))
 
 
-@check("l9_trend_report", f"WITH {FORECAST}, {REPORT} {report_select()}")
+@check("l9_trend_report", f"WITH {FORECAST}, {REPORT} {report_select(6)}")
 def trend_report(spark, sf):
-    return rounded(forecast.trend_report(month_means(spark, sf)), 4)
+    return rounded(forecast.trend_report(month_means(spark, sf)))
 
 
 @check("l9_trend_report_full_years", f"""
 WITH {FORECAST.replace('fc AS (', 'all_fc AS (')},
 full_years AS (SELECT region, year(ds) AS y FROM all_fc GROUP BY 1, 2 HAVING count(DISTINCT month(ds)) = 12),
 fc AS (SELECT f.* FROM all_fc f JOIN full_years g ON f.region = g.region AND year(f.ds) = g.y),
-{REPORT} {report_select()}""")
+{REPORT} {report_select(6)}""")
 def trend_report_full_years(spark, sf):
-    return rounded(forecast.trend_report(month_means(spark, sf), full_years_only=True), 4)
+    return rounded(forecast.trend_report(month_means(spark, sf), full_years_only=True))
 
 
 @check("l10_monthly_pattern", f"""
-WITH {FORECAST} SELECT region, CAST(month(ds) AS INTEGER) AS month, {rd('avg(yhat)', 4)} AS yhat,
+WITH {FORECAST} SELECT region, CAST(month(ds) AS INTEGER) AS month, {rd('avg(yhat)')} AS yhat,
   {LABELS}[month(ds)] AS label FROM fc GROUP BY region, month(ds)""")
 def monthly_pattern(spark, sf):
-    return rounded(forecast.monthly_pattern(month_means(spark, sf)), 4)
+    return rounded(forecast.monthly_pattern(month_means(spark, sf)))
 
 
 @check("l11_chart_rows", f"""
-WITH {FORECAST} SELECT f.region, f.ds, {rd('yhat', 4)} AS yhat, {rd(f'yhat - {Z95} * sigma', 4)} AS yhat_lower,
-  {rd(f'yhat + {Z95} * sigma', 4)} AS yhat_upper, is_history, {rd('y', 4)} AS y, replace(f.region, ' ', '_') AS file_key
+WITH {FORECAST} SELECT f.region, f.ds, {rd('yhat')} AS yhat, {rd(f'yhat - {Z95} * sigma')} AS yhat_lower,
+  {rd(f'yhat + {Z95} * sigma')} AS yhat_upper, is_history, {rd('y')} AS y, replace(f.region, ' ', '_') AS file_key
 FROM fc f LEFT JOIN series s ON s.region = f.region AND s.ds = f.ds""")
 def chart_rows(spark, sf):
-    return rounded(forecast.chart_rows(month_means(spark, sf), series(spark, sf)), 4)
+    return rounded(forecast.chart_rows(month_means(spark, sf), series(spark, sf)))
 
 
 @check("l12_long_term_run")

@@ -101,9 +101,9 @@ def standardised(spark, sf):
     return rounded(scaled.select("region", "date", *[F.get("z", F.lit(i)).alias(c) for i, c in enumerate(MODEL_NUMERIC)]))
 
 
-@check("m6_feature_pipeline", f"""
+@check("m6_prepared_features", f"""
 WITH {TIMED} SELECT region, count(*) AS n, {width('WHERE annee < 2000')} AS width FROM timed WHERE annee >= 2000 GROUP BY region""")
-def feature_pipeline(spark, sf):
+def prepared_features(spark, sf):
     train, test = features.split_by_year(prepared(spark, sf), TEST_YEAR)
     scaled = features.feature_pipeline().fit(train).transform(test)
     return scaled.groupBy("region").agg(

@@ -78,7 +78,7 @@ def _dated(fitted: DataFrame, periods: int, mode: str) -> DataFrame:
 # --- straight trend plus month levels -------------------------------------------------------------
 
 def fit_month_means(series: DataFrame) -> DataFrame:
-    """Common slope and level of each month, one row per region with two points or more.
+    """Common slope and mean point of each month, one row per region with two points or more.
 
     Least squares of a straight trend and twelve month levels together: the slope comes from changes
     within each month over the years, so the season cannot tilt it. Without two years of any month
@@ -99,7 +99,7 @@ def fit_month_means(series: DataFrame) -> DataFrame:
         F.collect_list(F.struct("month", "mx", "my")).alias("means"),
         F.array_sort(F.flatten(F.collect_list("dates"))).alias("dates"),
     ).filter(F.col("n_points") >= 2)
-    levels = F.transform("means", lambda m: F.struct(m["month"], m["my"] - F.col("slope") * m["mx"]))
+    levels = F.transform("means", lambda m: F.struct(m["month"], F.struct(m["mx"].alias("x"), m["my"].alias("y"))))
     freedom = F.greatest(F.col("n_points") - F.col("n_months") - 1, F.lit(1))
     return folded.select(
         "region", "n_points", "slope", F.map_from_entries(levels).alias("levels"),
@@ -111,13 +111,14 @@ def forecast_month_means(
     fitted: DataFrame, periods: int = 120, mode: str = "month_start", level: float = 0.95, clip: bool = False
 ) -> DataFrame:
     """Evaluate the fit over history and future; a month never observed takes the mean of the levels."""
-    levels = F.map_values("levels")
-    mean_level = F.aggregate(levels, F.lit(0.0), lambda total, one: total + one) / F.size(levels)
-    season = F.coalesce(F.try_element_at("levels", F.month("ds")), mean_level)
-    return _with_interval(
-        _dated(fitted, periods, mode).withColumn("yhat", F.col("slope") * month_index("ds") + season),
-        F.col("sigma"), level, clip,
-    )
+    x, slope, levels = month_index("ds"), F.col("slope"), F.map_values("levels")
+
+    def at(level: Column) -> Column:
+        return level["y"] + slope * (x - level["x"])
+
+    mean = F.aggregate(levels, F.lit(0.0), lambda total, level: total + at(level)) / F.size(levels)
+    yhat = F.coalesce(at(F.try_element_at("levels", F.month("ds"))), mean)
+    return _with_interval(_dated(fitted, periods, mode).withColumn("yhat", yhat), F.col("sigma"), level, clip)
 
 
 def _with_interval(df: DataFrame, deviation: Column, level: float, clip: bool) -> DataFrame:
@@ -224,7 +225,7 @@ def forecast(
     """
     waves = forecast_seasonal_trend(
         fit_seasonal_trend(series, yearly, monthly), periods, mode, yearly, monthly, level, clip)
-    short = fit_month_means(series).filter(F.col("n_points") < MIN_POINTS)
+    short = fit_month_means(series).filter(F.size("dates") < MIN_POINTS)
     return waves.unionByName(forecast_month_means(short, periods, mode, level, clip))
 
 

@@ -51,12 +51,23 @@ def train(
 
 
 def target_dates(
-    dates: Iterable[dt.date] | None, days: int = 1, today: dt.date | None = None
+    dates: Iterable[dt.date | str] | None, days: int = 1, today: dt.date | None = None
 ) -> list[dt.date]:
-    """The dates given, else the single day ``days`` after today."""
-    if dates is not None:
-        return list(dates)
-    return [(today or dt.date.today()) + dt.timedelta(days=days)]
+    """The dates given, else the single day ``days`` after today.
+
+    A date may be ISO text; text that is not a date stands for that same day.
+    """
+    later = (today or dt.date.today()) + dt.timedelta(days=days)
+    return [later] if dates is None else [_as_date(date, later) for date in dates]
+
+
+def _as_date(date: dt.date | str, default: dt.date) -> dt.date:
+    if not isinstance(date, str):
+        return date
+    try:
+        return dt.date(*[int(part) for part in date.split("-")])
+    except (TypeError, ValueError):
+        return default
 
 
 def _observed(df: DataFrame, region: str | None) -> DataFrame:
@@ -71,7 +82,7 @@ def _observed(df: DataFrame, region: str | None) -> DataFrame:
 
 def predict_with_model(
     model: PipelineModel, df: DataFrame, region: str | None = None,
-    dates: Iterable[dt.date] | None = None, days: int = 1, today: dt.date | None = None,
+    dates: Iterable[dt.date | str] | None = None, days: int = 1, today: dt.date | None = None,
 ) -> DataFrame:
     """Model prediction for one region or all, from the mean weather of the observations."""
     cells = climatology.weather_cells(_observed(df, region))
@@ -80,7 +91,7 @@ def predict_with_model(
 
 
 def predict_from_climatology(
-    df: DataFrame, region: str | None = None, dates: Iterable[dt.date] | None = None,
+    df: DataFrame, region: str | None = None, dates: Iterable[dt.date | str] | None = None,
     days: int = 1, today: dt.date | None = None,
 ) -> DataFrame:
     """Climatology report for one region or all; ``ValueError`` for a region never observed."""

@@ -103,6 +103,7 @@ def test_job_for_one_region_and_unknown_region(spark, observed):
     df = df.withColumn("mois", F.month("date"))
     assert [r["region"] for r in jobs.predict_from_climatology(df, "B", days=3, today=day(2010, 2, 26)).collect()] == ["B"]
     assert jobs.target_dates(None, 3, day(2010, 2, 26)) == [day(2010, 3, 1)]
+    assert jobs.target_dates(["2025-5-1", "soon", day(2020, 1)], 2, day(2024, 12, 31)) == [day(2025, 5), day(2025, 1, 2), day(2020, 1)]
     with pytest.raises(ValueError, match="nowhere"):
         jobs.predict_from_climatology(df, "nowhere")
 

@@ -105,6 +105,11 @@ def test_short_series(spark):
     assert [tuple(r) for r in fc.too_short(series).collect()] == [("one", 1)]
 
 
+def test_copies_do_not_lose_a_short_region(spark):
+    rows = [("A", d, float(d.month)) for d in months(15) for _ in range(3)]
+    assert fc.forecast(spark.createDataFrame(rows, SERIES), 6).count() == 21
+
+
 def report_of(spark, yearly):
     rows = [("A", dt.date(y, m, 1), float(v)) for y, v in yearly.items() for m in (3, 9)]
     return fc.trend_report(spark.createDataFrame(rows, "region string, ds date, yhat double")).first()
