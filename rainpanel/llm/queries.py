@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rainpanel.llm import chat, quality, sharding, simhash, url_filter
+from rainpanel.llm import chat, packing, quality, sharding, simhash, toxicity, url_filter
 from rainpanel.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, folder, "documents"))
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packing_query(table(spark, folder, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.urls_query(table(spark, folder, "pages"))
 
@@ -30,8 +34,13 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_query(table(spark, folder, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_query(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_chat_perspectives, op4_simhash, op7_url_filter, op9_quality_rules)}
+    f.__name__: f for f in (
+        op1_sharding, op2_chat_perspectives, op4_simhash, op5_packing, op7_url_filter, op9_quality_rules, op10_toxicity)}
 SQL: dict[str, str] = {
     "op2_chat_perspectives": chat.perspectives_sql(),
     "op7_url_filter": url_filter.urls_sql(),
