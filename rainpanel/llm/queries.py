@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rainpanel.llm import chat, packing, quality, sharding, simhash, toxicity, url_filter
+from rainpanel.llm import chat, packing, quality, sharding, simhash, toxicity, url_filter, warc
 from rainpanel.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packing_query(table(spark, folder, "documents"))
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.warc_query(table(spark, folder, "pages"))
+
+
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.urls_query(table(spark, folder, "pages"))
 
@@ -40,7 +44,8 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_sharding, op2_chat_perspectives, op4_simhash, op5_packing, op7_url_filter, op9_quality_rules, op10_toxicity)}
+        op1_sharding, op2_chat_perspectives, op4_simhash, op5_packing, op6_warc, op7_url_filter,
+        op9_quality_rules, op10_toxicity)}
 SQL: dict[str, str] = {
     "op2_chat_perspectives": chat.perspectives_sql(),
     "op7_url_filter": url_filter.urls_sql(),
