@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rainpanel.llm import chat, packing, quality, sharding, simhash, toxicity, url_filter, warc
+from rainpanel.llm import chat, packing, quality, sharding, simhash, toxicity, url_filter, vectors, warc
 from rainpanel.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.urls_query(table(spark, folder, "pages"))
 
 
+def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_query(table(spark, folder, "documents"))
 
@@ -45,7 +49,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_chat_perspectives, op4_simhash, op5_packing, op6_warc, op7_url_filter,
-        op9_quality_rules, op10_toxicity)}
+        op8_embedding_dedup, op9_quality_rules, op10_toxicity)}
 SQL: dict[str, str] = {
     "op2_chat_perspectives": chat.perspectives_sql(),
     "op7_url_filter": url_filter.urls_sql(),
