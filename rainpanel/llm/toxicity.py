@@ -21,6 +21,8 @@ MAX_EXAMPLES = 20_000
 MAX_TERMS = 4_096
 NEIGHBOURS = 25
 BLOCK = 64
+#: Blocks that a search opens first.
+OPENED = 12
 CUT = 0.7
 PREFIX = 6
 #: What the votes of neighbours must outweigh.
@@ -41,26 +43,35 @@ def terms_of(text: str | None) -> Counter:
 
 
 class Vocabulary:
-    """Finds the terms of a fixed list in whole texts."""
-
-    def __init__(self, terms: Sequence[str]):
-        self.index = {t: i for i, t in enumerate(terms)}
-        self.words = {t for t in terms if not t.endswith("*")}
-        self.stems = {t[:-1] for t in terms if t.endswith("*")}
+    """Finds the terms of a fixed list in whole texts, remembering which tokens hold none."""
+
+    def __init__(self, terms: Sequence[str], remembered: int = 400_000):
+        self.index, self.remembered = {t: i for i, t in enumerate(terms)}, remembered
+        self.bare: set[str] = set()
+
+    def _terms(self, token: str) -> list[int]:
+        """Terms of a token between blanks; such a token may hold several words."""
+        index, found = self.index, []
+        for word in _WORD.findall(token):
+            if word in index:
+                found.append(index[word])
+            if len(word) > PREFIX and (stem := word[:PREFIX] + "*") in index:
+                found.append(index[stem])
+        return found
 
     def counts(self, text: str | None) -> dict[int, int]:
-        found = _WORD.findall((text or "").lower())
-        different = set(found)
-        words = self.words & different
-        stemmed = [w for w in different if len(w) > PREFIX and w[:PREFIX] in self.stems]
-        if not words and not stemmed:
-            return {}
-        often, result = Counter(found), {}
-        for w in words:
-            result[self.index[w]] = often[w]
-        for w in stemmed:
-            term = self.index[w[:PREFIX] + "*"]
-            result[term] = result.get(term, 0) + often[w]
+        tokens = (text or "").lower().split()
+        result: dict[int, int] = {}
+        often = None
+        for token in set(tokens) - self.bare:
+            if found := self._terms(token):
+                often = often or Counter(tokens)
+                for term in found:
+                    result[term] = result.get(term, 0) + often[token]
+            else:
+                if len(self.bare) >= self.remembered:
+                    self.bare.clear()
+                self.bare.add(token)
         return result
 
 
@@ -95,26 +106,28 @@ class BlockMaxIndex:
 
     def nearest(self, vector: tuple[tuple[int, float], ...], k: int) -> list[tuple[float, int]]:
         """The k best (cosine, vector number); of equals, the lower number."""
-        bound = np.zeros(self.blocks)
         known = [(w, self.lists[t]) for t, w in vector if t in self.lists]
-        for w, (_, _, at, _, most) in known:
-            bound[at] += w * most
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        best: list[tuple[float, int]] = []
-        for begin in range(0, len(order), 8):
-            if len(best) == k and bound[order[begin]] < -best[-1][0] - 1e-9:
+        if not known:
+            return []
+        at = np.concatenate([e[2] for _, e in known])
+        bound = np.bincount(at, np.concatenate([w * e[4] for w, e in known]), self.blocks)
+        ids = np.concatenate([e[0] for _, e in known])
+        weights = np.concatenate([w * e[1] for w, e in known])
+        closed, found, scores = bound > 0, np.zeros(0, dtype=np.int64), np.zeros(0)
+        least = float(np.partition(bound, -min(OPENED, self.blocks))[-min(OPENED, self.blocks)])
+        while True:
+            opened = closed & (bound >= least - 1e-9)
+            if not opened.any():
                 break
-            for b in order[begin:begin + 8]:
-                scores = np.zeros(self.block)
-                for w, (ids, weights, at, first, _) in known:
-                    j = int(np.searchsorted(at, b))
-                    if j < len(at) and at[j] == b:
-                        part = slice(first[j], first[j + 1])
-                        scores[ids[part] - b * self.block] += w * weights[part]
-                best += [(-round(float(scores[i]), 9), int(b) * self.block + int(i)) for i in np.nonzero(scores)[0]]
-            best = sorted(best)[:k]
-        return [(-s, i) for s, i in best]
+            closed &= ~opened
+            inside = opened[ids // self.block]
+            total = np.bincount(ids[inside], weights[inside], self.size)
+            new = np.nonzero(total)[0]
+            found, scores = np.append(found, new), np.append(scores, np.round(total[new], 9))
+            # Only blocks that can still reach the k-th best stay of interest.
+            least = float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
+        best = np.lexsort((found, -scores))[:k]
+        return [(float(scores[i]), int(found[i])) for i in best]
 
 
 class Model:
@@ -165,9 +178,9 @@ class Model:
             ends = [(x, r) for (low, high, _, _), r in zip(pools, rates, strict=True) for x in (low, high)]
             self.steps = [x for x, _ in ends], [float(r) for _, r in ends]
 
-    def score(self, text: str | None) -> tuple[float, list[int], list[str]]:
+    def score(self, counts: dict[int, int]) -> tuple[float, list[int], list[str]]:
         """Score, ids of the nearest examples, and the terms they were found by."""
-        vector = unit_vector(self.vocabulary.counts(text), self.idf)
+        vector = unit_vector(counts, self.idf)
         if not vector:
             return self.bare_rate, [], []
         if vector not in self._seen:
@@ -191,8 +204,9 @@ def _over_texts(documents: DataFrame, columns: Sequence[str], one, schema: str)
     return documents.select(*columns).mapInArrow(run, schema)
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS) -> Model:
-    """A model from the labels whose id may be learned from.
+def fit(documents: DataFrame, labels: DataFrame, keep: Sequence[str] = (), max_examples: int = MAX_EXAMPLES,
+        max_terms: int = MAX_TERMS) -> tuple[Model, DataFrame]:
+    """A model from the labels whose id may be learned from, and :func:`term_counts` of all documents.
 
     At most ``max_examples`` labelled ids, the lowest by hash, are joined to their texts; the terms
     come from a test on all their words; document frequencies are counted over all ``documents``.
@@ -222,7 +236,8 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
     per_term = examples.select(F.explode("terms").alias("term"), "toxic").groupBy("term").agg(
         F.count(F.lit(1)).alias("c"), F.sum("toxic").alias("a")).filter("c >= 3")
     terms = _telling_terms(per_term, n, toxic, max_terms) if 0 < toxic < n else []
-    frequencies, n_documents = _frequencies(documents, terms)
+    counted = settled(term_counts(documents, terms, keep))
+    frequencies, n_documents = _frequencies(counted, len(terms))
     idf = np.log1p(n_documents / np.maximum(frequencies, 1.0)) if terms else np.zeros(0)
     index = {t: i for i, t in enumerate(terms)}
     pairs = F.arrays_zip("terms", "counts")
@@ -232,7 +247,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
     bare, bare_toxic = n - len(rows), toxic - sum(r[1] for r in rows)
     model = Model(terms, idf, sorted(rows, key=lambda r: (r[0] is None, r[0])), (bare_toxic + 0.5) / (bare + 1))
     _calibrate(model, spark, rows)
-    return model
+    return model, counted
 
 
 def _telling_terms(per_term: DataFrame, n: int, toxic: int, most: int) -> list[str]:
@@ -249,22 +264,29 @@ def _telling_terms(per_term: DataFrame, n: int, toxic: int, most: int) -> list[s
     return [r[0] for r in scored.filter(F.col("g") > limit).orderBy(F.desc("g"), "term").limit(most).collect()]
 
 
-def _frequencies(documents: DataFrame, terms: list[str]) -> tuple[np.ndarray, int]:
-    """Documents that hold each term, and documents, over the whole corpus."""
-    vocabulary = Vocabulary(terms)
+def term_counts(documents: DataFrame, terms: Sequence[str], keep: Sequence[str], text: str = "text") -> DataFrame:
+    """Columns ``keep``, and how often each of the terms is in the whole text (``__t`` numbers, ``__n`` counts)."""
+    vocabulary, keep = Vocabulary(terms), list(keep)
+    schema = T.StructType([*(documents.schema[c] for c in keep), T.StructField("__t", T.ArrayType(T.IntegerType())),
+                           T.StructField("__n", T.ArrayType(T.IntegerType()))])
 
-    def count(batches):
-        total, found = 0, Counter()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(0):
-                found.update(vocabulary.counts(text.as_py()).keys())
-            total += batch.num_rows
-        found[-1] = total
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.int32()), pa.array(list(found.values()), pa.int64())], names=["term", "n"])
+            found = [vocabulary.counts(t.as_py()) for t in batch.column(batch.schema.get_field_index(text))]
+            yield pa.RecordBatch.from_arrays([
+                *(batch.column(batch.schema.get_field_index(c)) for c in keep),
+                pa.array([list(c) for c in found], pa.list_(pa.int32())),
+                pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], names=[*keep, "__t", "__n"])
 
-    counted = dict(_over_texts(documents, ("text",), count, "term int, n long").groupBy("term").sum("n").collect())
-    return np.array([counted.get(i, 0) for i in range(len(terms))], dtype=float), counted.get(-1, 0)
+    needed = list(dict.fromkeys([*keep, text]))
+    return documents.select(*(f"`{c}`" for c in needed)).mapInArrow(run, schema)
+
+
+def _frequencies(counted: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
+    """Documents that hold each term, and documents, over the whole corpus."""
+    held = F.concat(F.col("__t"), F.array(F.lit(-1)))
+    found = dict(counted.select(F.explode(held).alias("t")).groupBy("t").count().collect())
+    return np.array([found.get(i, 0) for i in range(n_terms)], dtype=float), found.get(-1, 0)
 
 
 def _calibrate(model: Model, spark, rows: list) -> None:
@@ -290,42 +312,50 @@ def _calibrate(model: Model, spark, rows: list) -> None:
     model.calibrate([tuple(r) for r in table.collect()])
 
 
-def score_documents(documents: DataFrame, model: Model, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
-    """``documents`` (or its columns ``keep``) and a struct ``__tox`` of score, predicted, evidence ids and terms.
-
-    Only the text counts. NULL, empty and blank texts, and texts without a term of the model, get
-    the rate of examples without one. Repeated rows score alike. One pass, no exchange.
-    """
-    columns = list(documents.columns if keep is None else keep)
+def score_counts(counted: DataFrame, model: Model) -> DataFrame:
+    """The columns of ``counted`` and a struct ``__tox`` of score, predicted, evidence ids and terms."""
+    columns = [c for c in counted.columns if c not in ("__t", "__n")]
     tox = T.StructType([
         T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
         T.StructField("evidence_ids", T.ArrayType(T.LongType())), T.StructField("evidence_terms", T.ArrayType(T.StringType()))])
-    schema = T.StructType([*(documents.schema[c] for c in columns), T.StructField("__tox", tox)])
+    schema = T.StructType([*(counted.schema[c] for c in columns), T.StructField("__tox", tox)])
     arrow = pa.struct([("score", pa.float64()), ("predicted", pa.int32()), ("evidence_ids", pa.list_(pa.int64())),
                        ("evidence_terms", pa.list_(pa.string()))])
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = counted.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
+            terms, often = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("__t", "__n"))
             found = []
-            for t in batch.column(batch.schema.get_field_index(text)):
-                score, ids, terms = m.score(t.as_py())
-                found.append({"score": score, "predicted": int(score >= CUT), "evidence_ids": ids, "evidence_terms": terms})
+            for t, n in zip(terms, often, strict=True):
+                score, ids, words = m.score(dict(zip(t, n, strict=True)))
+                found.append({"score": score, "predicted": int(score >= CUT), "evidence_ids": ids, "evidence_terms": words})
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in columns), pa.array(found, arrow)],
                 names=[*columns, "__tox"])
 
-    needed = list(dict.fromkeys([*columns, text]))
-    return documents.select(*(f"`{c}`" for c in needed)).mapInArrow(run, schema)
+    return counted.mapInArrow(run, schema)
+
+
+def score_documents(documents: DataFrame, labels: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Columns ``keep`` of every row and ``__tox``: one pass over the texts after the examples' own.
+
+    Only the text counts. NULL, empty and blank texts, and texts without a term of the model, get
+    the rate of examples without one. Repeated rows score alike; an empty table gives an empty result.
+    """
+    model, counted = fit(documents, labels, keep)
+    return score_counts(counted, model)
 
 
 def keep_harmless(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic, with their own columns."""
-    return score_documents(documents, fit(documents, labels)).filter("__tox.predicted = 0").drop("__tox")
+    """The documents that are not predicted toxic, with their own columns; two passes, no exchange of texts."""
+    model, _ = fit(documents, labels)
+    scored = score_counts(term_counts(documents, model.terms, documents.columns), model)
+    return scored.filter("__tox.predicted = 0").drop("__tox")
 
 
 def toxicity_query(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    scored = score_documents(documents.select("doc_id", "text"), fit(documents, labels), keep=["doc_id"])
+    scored = score_documents(documents, labels, ["doc_id"])
     held_out = F.coalesce(~learnable(F.col("doc_id")), F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "__tox.*")
