@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rainpanel.llm import chat, packing, quality, sharding, simhash, toxicity, url_filter, vectors, warc
+from rainpanel.llm import bpe, chat, packing, quality, sharding, simhash, toxicity, url_filter, vectors, warc
 from rainpanel.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return chat.perspectives_query(table(spark, folder, "conversations"))
 
 
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.bpe_query(table(spark, folder, "documents"))
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, folder, "documents"))
 
@@ -48,7 +52,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_sharding, op2_chat_perspectives, op4_simhash, op5_packing, op6_warc, op7_url_filter,
+        op1_sharding, op2_chat_perspectives, op3_byte_bpe, op4_simhash, op5_packing, op6_warc, op7_url_filter,
         op8_embedding_dedup, op9_quality_rules, op10_toxicity)}
 SQL: dict[str, str] = {
     "op2_chat_perspectives": chat.perspectives_sql(),
