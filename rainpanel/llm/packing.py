@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -23,38 +25,50 @@ REMEMBERED = 400_000
 
 
 class ChunkEncoder:
-    """Ids of whole texts by a ``tokenizers`` file, remembering those of space-separated chunks.
+    """Ids of whole texts as a ``tokenizers`` byte-level BPE file gives them, remembering those of chunks.
 
-    The byte-level pattern starts a new piece at every single space, so a text's ids are those of
-    its chunks, each with the space before it. Runs of spaces are the exception: such texts are
-    encoded whole.
+    The pattern starts a new piece at every single space, so a text's ids are those of its
+    space-separated chunks, each with the space before it; texts with runs of spaces are encoded
+    whole. Chunks go through ``tiktoken`` with the file's own vocabulary, whose ids are its ranks:
+    the ids are the same and come several times sooner. Texts that may name a special token are left
+    to ``tokenizers``.
     """
 
     def __init__(self, file: bytes, remembered: int = REMEMBERED):
+        import tiktoken
         from tokenizers import Tokenizer
         self.tokenizer, self.remembered = Tokenizer.from_buffer(file), remembered
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        special = {t["content"] for t in json.loads(file)["added_tokens"]}
+        byte_of = _byte_alphabet()
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in self.tokenizer.get_vocab(False).items() if token not in special}
+        self.fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.known: dict[str, bytes] = {}
+
+    def _learn(self, chunk: str) -> bytes:
+        if len(self.known) >= self.remembered:
+            self.known.clear()
+        self.known[chunk] = found = array("I", self.fast.encode_ordinary(chunk)).tobytes()
+        return found
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[bytes]:
         """Each text's ids as little-endian 32-bit numbers."""
+        known = self.known
         for text in texts:
             text = text or ""
-            if "  " in text or "<|" in text:  # a special token's name may span chunks
-                yield self._ids([text])[0]
-                continue
-            first, *rest = text.split(" ")
-            chunks = [first, *(" " + c for c in rest)]
-            missing = [c for c in dict.fromkeys(chunks) if c not in self.known]
-            if len(self.known) + len(missing) > self.remembered:
-                self.known = {"": b""}
-                missing = list(dict.fromkeys(c for c in chunks if c))
-            if missing:
-                self.known.update(zip(missing, self._ids(missing), strict=True))
-            yield b"".join(map(self.known.__getitem__, chunks))
+            if "<|" in text:
+                yield array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            elif "  " in text:
+                yield array("I", self.fast.encode_ordinary(text)).tobytes()
+            else:
+                first, *rest = text.split(" ")
+                yield b"".join([known.get(c) or self._learn(c) for c in (first, *(" " + c for c in rest))])
+
+
+def _byte_alphabet() -> dict[str, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
 _ENCODERS: dict[int, ChunkEncoder] = {}
