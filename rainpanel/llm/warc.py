@@ -30,6 +30,8 @@ DICTIONARY_BYTES = 64 << 10
 SAMPLE_BYTES = 3 << 20
 LEVEL = 3
 
+#: Columns that name a page and a payload, without NULLs so that they can be joined on.
+_KEY = ["__page", "__no_page", "__digest"]
 _FIELDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -64,12 +66,13 @@ def make_record(page_id: int | None, url: str | None, payload: bytes, digest: st
 
 def build_dictionary(records: Sequence[bytes]) -> bytes:
     """A dictionary trained on records from all over the archive; where they are too few, their own bytes."""
-    step = max(1, sum(map(len, records)) // SAMPLE_BYTES)
-    sample = [r[:1 << 17] for r in records[::step]]
+    total = sum(map(len, records))
+    sample = [r[:1 << 17] for r in records[::max(1, total // SAMPLE_BYTES)]]
+    size = min(DICTIONARY_BYTES, max(1024, total // 16))
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, sample, k=256, d=8).as_bytes()
+        return zstandard.train_dictionary(size, sample, k=256, d=8).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(sample)[-DICTIONARY_BYTES:]
+        return b"".join(sample)[-size:]
 
 
 def _dictionary(content: bytes) -> zstandard.ZstdCompressionDict:
@@ -135,37 +138,36 @@ def describe(fields: dict[str, str], block: bytes) -> tuple[int | None, int, str
 
 
 def first_copies(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """``page_id``, ``digest``, ``leader`` (largest id of the equal payloads) and ``copies``, one row for each pair.
+    """``leader`` (largest id of the equal payloads) and ``copies`` for each page and digest, one row for each pair.
 
     Only ids and digests move here. A payload shared by any part of the table is one group that is
     combined in each task first. Payloads below ``least_bytes`` lead themselves.
     """
-    keys = settled(pages.select("page_id", "__digest", "__bytes").groupBy("page_id", "__digest", "__bytes").agg(
-        F.count(F.lit(1)).alias("copies")))
-    leaders = keys.filter(F.col("__bytes") >= least_bytes).groupBy("__digest").agg(F.max("page_id").alias("leader"))
-    return keys.join(leaders.withColumnRenamed("__digest", "d"), F.col("d") == F.col("__digest"), "left").select(
-        F.col("page_id").alias("p"), F.col("__digest").alias("g"), "copies",
-        F.when(F.col("__bytes") >= least_bytes, F.col("leader")).otherwise(F.col("page_id")).alias("leader"),
-        (F.col("__bytes") >= least_bytes).alias("shared"))
+    keys = settled(pages.groupBy(*_KEY, "__bytes").agg(F.count(F.lit(1)).alias("copies")))
+    page = F.when(~F.col("__no_page"), F.col("__page"))
+    leaders = keys.filter(F.col("__bytes") >= least_bytes).groupBy("__digest").agg(F.max(page).alias("leader"))
+    return keys.join(leaders, "__digest", "left").select(
+        *_KEY, "copies", (F.col("__bytes") >= least_bytes).alias("shared"),
+        F.when(F.col("__bytes") >= least_bytes, F.col("leader")).otherwise(page).alias("leader"))
 
 
 def decide(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """``page_id``, ``url``, ``html``, ``digest``, ``leader`` and ``revisit`` for every row.
+    """``page_id``, ``url``, ``html``, ``leader`` and ``revisit`` for every row.
 
-    The join is by page, which is even, and not by payload, which is not. Of rows that repeat both
-    page and payload one is the response and the others revisit it.
+    Payloads are moved once, for the join by page and payload, which is even where pages are. Of
+    rows that repeat both, the first by url is the response and the others revisit it.
     """
     payload = F.coalesce("html", F.lit(""))
     # base32 of SHA-1 is made by the writer; grouping needs no more than the bytes themselves.
     marked = pages.select(
         "page_id", "url", payload.alias("html"), F.sha1(payload.cast("binary")).alias("__digest"),
-        F.octet_length(payload).cast("long").alias("__bytes"))
-    joined = marked.join(first_copies(marked, least_bytes), F.col("p").eqNullSafe(F.col("page_id")) & (F.col("g") == F.col("__digest")))
+        F.octet_length(payload).cast("long").alias("__bytes"), F.coalesce("page_id", F.lit(0)).alias("__page"),
+        F.col("page_id").isNull().alias("__no_page"))
+    turn = F.row_number().over(Window.partitionBy(*_KEY).orderBy("url"))  # within the join's partitions
     own = F.col("leader").eqNullSafe(F.col("page_id"))
-    once = joined.filter(~(own & F.col("shared") & (F.col("copies") > 1))).withColumn("revisit", ~own)
-    again = joined.filter(own & F.col("shared") & (F.col("copies") > 1))
-    turn = F.row_number().over(Window.partitionBy("page_id", "__digest").orderBy("url"))
-    return once.unionByName(again.withColumn("revisit", turn > 1)).select("page_id", "url", "html", "leader", "revisit")
+    repeated = F.col("shared") & (F.col("copies") > 1) & (F.col("turn") > 1)
+    return marked.join(first_copies(marked, least_bytes), _KEY).withColumn("turn", turn).select(
+        "page_id", "url", "html", "leader", (~own | repeated).alias("revisit"))
 
 
 def _location(folder: str) -> tuple[fs.FileSystem, str]:
