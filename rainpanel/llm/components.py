@@ -19,8 +19,9 @@ def component_roots(edges: DataFrame) -> DataFrame:
     """
     links = settled(
         edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo").distinct())
-    before = None
-    while True:
+    total = (F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")))
+    before = links.agg(*total).first()
+    while before[0]:
         both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
             links.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
@@ -32,7 +33,7 @@ def component_roots(edges: DataFrame) -> DataFrame:
             F.explode(F.array(F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")),
                               F.struct(F.col("hi"), F.col("m").alias("lo")))).alias("e")).select("e.hi", "e.lo")
         links = settled(small.filter("hi <> lo").distinct())
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
+        state = links.agg(*total).first()
         if state == before:
             break
         before = state

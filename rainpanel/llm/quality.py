@@ -81,7 +81,8 @@ def counts(documents: DataFrame, text: str = "text") -> DataFrame:
     lines = F.filter(F.split("__text", "\n"), lambda x: F.translate(x, BLANKS, "") != "")
     stop = F.filter(F.split(F.lower("__text"), "[ \\t-\\r.,;:!?]+"), lambda w: w.isin(*STOP_WORDS))
     hashed = split.withColumn("__windows", windows).withColumn("__lines", lines)
-    return hashed.withColumn("__q", F.struct(
+    # A generator of one row: filters on the counts stay above it and don't work them out anew.
+    return hashed.withColumn("__q", F.explode(F.array(F.struct(
         n.cast("long").alias("n_words"),
         F.length(F.translate("__text", BLANKS, "")).cast("long").alias("word_chars"),
         (F.length("__text") - F.length(F.translate("__text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -89,7 +90,7 @@ def counts(documents: DataFrame, text: str = "text") -> DataFrame:
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
         _repeat_words(words, F.col("__windows")).alias("n_repeat_words"),
         F.size(stop).cast("long").alias("n_stop_words"),
-    )).drop("__text", "__words", "__windows", "__lines")
+    )))).drop("__text", "__words", "__windows", "__lines")
 
 
 def _metrics(q: Column) -> dict[str, Column]:

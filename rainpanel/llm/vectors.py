@@ -36,21 +36,31 @@ class Settings:
 # ---- the graph of one shard -------------------------------------------------------------------
 
 
-def robust_prune(x: np.ndarray, node: int, candidates: np.ndarray, degree: int, alpha: float) -> np.ndarray:
-    """Neighbours of a node in falling similarity, without those that a kept one covers."""
-    candidates = np.unique(candidates[candidates != node])
-    near = x[candidates] @ x[node]
-    order = np.argsort(-near, kind="stable")
-    candidates, far = candidates[order], np.sqrt(np.maximum(2 - 2 * near[order], 0.0))
-    alive, kept = np.ones(len(candidates), dtype=bool), []
-    for i, c in enumerate(candidates):
-        if alive[i]:
-            kept.append(c)
-            if len(kept) == degree:
-                break
-            between = np.sqrt(np.maximum(2 - 2 * (x[candidates[i + 1:]] @ x[c]), 0.0))
-            alive[i + 1:] &= alpha * between > far[i + 1:]
-    return np.array(kept, dtype=np.int32)
+def robust_prune(x: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, degree: int, alpha: float) -> np.ndarray:
+    """Neighbours of each node in falling similarity, without those that a nearer kept one covers.
+
+    ``candidates`` has a row for each node, -1 filled; so has the result, ``degree`` wide. The nearest
+    64 candidates are looked at.
+    """
+    result = np.full((len(nodes), degree), -1, dtype=np.int32)
+    for begin in range(0, len(nodes), 256):
+        node, found = nodes[begin:begin + 256], np.sort(candidates[begin:begin + 256], axis=1)
+        found[:, 1:][found[:, 1:] == found[:, :-1]] = -1
+        found[found == node[:, None]] = -1
+        near = np.einsum("ijk,ik->ij", x[np.maximum(found, 0)], x[node])
+        near[found < 0] = -np.inf
+        order = np.argsort(-near, axis=1, kind="stable")[:, :64]
+        found, near = np.take_along_axis(found, order, 1), np.take_along_axis(near, order, 1)
+        each = x[np.maximum(found, 0)]
+        between = np.sqrt(np.maximum(2 - 2 * (each @ each.transpose(0, 2, 1)), 0.0))
+        far = np.sqrt(np.maximum(2 - 2 * near, 0.0))
+        alive, count = found >= 0, np.zeros(len(node), dtype=np.int64)
+        for i in range(found.shape[1]):
+            pick = np.nonzero(alive[:, i] & (count < degree))[0]
+            result[begin + pick, count[pick]] = found[pick, i]
+            count[pick] += 1
+            alive[pick] &= alpha * between[pick, i] > far[pick]
+    return result
 
 
 def greedy_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, beam: int) -> np.ndarray:
@@ -95,26 +105,30 @@ def build_graph(x: np.ndarray, s: Settings) -> np.ndarray:
     start = medoid(x)
     order = np.random.default_rng(n).permutation(n)
     order = np.concatenate([[start], order[order != start]])
-    lists: dict[int, np.ndarray] = {start: np.zeros(0, dtype=np.int32)}
     done = 1
     while done < n:
         batch = order[done:done + max(1, min(done, 512))]
         seen = greedy_search(x, graph, start, x[batch], s.beam)
-        back: dict[int, list[int]] = {}
-        for node, found in zip(batch.tolist(), seen, strict=True):
-            lists[node] = robust_prune(x, node, np.append(found[found >= 0], batch[:8]), s.degree, s.alpha)
-            for v in lists[node].tolist():
-                back.setdefault(v, []).append(node)
-        for v, sources in back.items():
-            merged = np.unique(np.append(lists.get(v, np.zeros(0, np.int32)), np.array(sources, np.int32)))
-            lists[v] = merged if len(merged) <= s.degree else robust_prune(x, v, merged, s.degree, s.alpha)
-        for v in {*batch.tolist(), *back}:
-            graph[v] = -1
-            graph[v, :len(lists[v])] = lists[v]
+        graph[batch] = robust_prune(x, batch, seen, s.degree, s.alpha)
+        row, col = np.nonzero(graph[batch] >= 0)
+        _link_back(x, graph, graph[batch][row, col], batch[row], s)
         done += len(batch)
     return graph
 
 
+def _link_back(x: np.ndarray, graph: np.ndarray, to: np.ndarray, new: np.ndarray, s: Settings) -> None:
+    """Add ``new`` nodes to the lists of ``to``; lists that grow too long are pruned."""
+    by = np.argsort(to, kind="stable")
+    nodes, first, count = np.unique(to[by], return_index=True, return_counts=True)
+    more = np.full((len(nodes), count.max(initial=0)), -1, dtype=np.int32)
+    more[np.repeat(np.arange(len(nodes)), count), np.arange(len(to)) - np.repeat(first, count)] = new[by]
+    wide = np.concatenate([graph[nodes], more], axis=1)
+    fits = (wide >= 0).sum(axis=1) <= s.degree
+    packed = np.take_along_axis(wide, np.argsort(wide < 0, axis=1, kind="stable"), 1)
+    graph[nodes[fits]] = packed[fits][:, :s.degree]
+    graph[nodes[~fits]] = robust_prune(x, nodes[~fits], wide[~fits], s.degree, s.alpha)
+
+
 def range_search(x: np.ndarray, lists: list[np.ndarray], start: int, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """All pairs (i < j) found at the similarity or more, by walking on from every node in range.
 
