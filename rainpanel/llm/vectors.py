@@ -25,8 +25,8 @@ class Settings:
     children: int = 128  # most centres of one split
     sample: int = 8_192  # vectors of a shard that its centres are fitted on, about, by hash
     overlap: int = 2  # shards that a vector joins: its nearest centres
-    degree: int = 24  # neighbours a node keeps
-    beam: int = 32  # open nodes of a greedy search
+    degree: int = 20  # neighbours a node keeps
+    beam: int = 24  # open nodes of a greedy search
     alpha: float = 1.2  # robust pruning: how much nearer a kept neighbour must be to cover another
     slack: float = 0.03  # range search expands nodes this far below the similarity
     audit: int = 200  # vectors compared with everything, to measure recall
@@ -63,8 +63,8 @@ def robust_prune(x: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, degre
     return result
 
 
-def greedy_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, beam: int) -> np.ndarray:
-    """For each query, the ids that a best-first walk from ``start`` keeps open (rows of ``beam``, -1 for none).
+def greedy_search(x: np.ndarray, graph: np.ndarray, starts: np.ndarray, queries: np.ndarray, beam: int) -> np.ndarray:
+    """For each query, the ids that a best-first walk from ``starts`` keeps open (rows of ``beam``, -1 for none).
 
     All queries take one step together. ``graph`` has a row of neighbours for every node, -1 filled.
     """
@@ -72,7 +72,8 @@ def greedy_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndar
     ids = np.full((n, beam), -1, dtype=np.int32)
     near = np.full((n, beam), -np.inf)
     open_ = np.zeros((n, beam), dtype=bool)
-    ids[:, 0], near[:, 0], open_[:, 0] = start, queries @ x[start], True
+    first = len(starts)
+    ids[:, :first], near[:, :first], open_[:, :first] = starts, queries @ x[starts].T, True
     for _ in range(4 * beam):
         at = np.argmax(np.where(open_, near, -np.inf), axis=1)
         live = open_[rows, at]
@@ -92,8 +93,12 @@ def greedy_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndar
     return ids
 
 
-def medoid(x: np.ndarray) -> int:
-    return int(np.argmax(x @ x.mean(axis=0)))
+def medoids(x: np.ndarray, most: int = 8) -> np.ndarray:
+    """The most central vector of the shard and of a few groups of it."""
+    pivots = x[np.random.default_rng(len(x)).choice(len(x), min(most - 1, len(x)), replace=False)]
+    own = np.argmax(x @ pivots.T, axis=1)
+    groups = [np.arange(len(x)), *(np.nonzero(own == k)[0] for k in range(len(pivots)))]
+    return np.unique([g[int(np.argmax(x[g] @ x[g].mean(axis=0)))] for g in groups if len(g)])
 
 
 def build_graph(x: np.ndarray, s: Settings) -> np.ndarray:
@@ -102,13 +107,14 @@ def build_graph(x: np.ndarray, s: Settings) -> np.ndarray:
     graph = np.full((n, s.degree), -1, dtype=np.int32)
     if n < 2:
         return graph
-    start = medoid(x)
-    order = np.random.default_rng(n).permutation(n)
-    order = np.concatenate([[start], order[order != start]])
-    done = 1
+    starts = medoids(x)
+    rest = np.random.default_rng(n).permutation(n)
+    order = np.concatenate([starts, rest[~np.isin(rest, starts)]])
+    graph[starts] = robust_prune(x, starts, np.tile(starts, (len(starts), 1)).astype(np.int32), s.degree, s.alpha)
+    done = len(starts)
     while done < n:
         batch = order[done:done + max(1, min(done, 512))]
-        seen = greedy_search(x, graph, start, x[batch], s.beam)
+        seen = greedy_search(x, graph, starts, x[batch], s.beam)
         graph[batch] = robust_prune(x, batch, seen, s.degree, s.alpha)
         row, col = np.nonzero(graph[batch] >= 0)
         _link_back(x, graph, graph[batch][row, col], batch[row], s)
@@ -129,10 +135,10 @@ def _link_back(x: np.ndarray, graph: np.ndarray, to: np.ndarray, new: np.ndarray
     graph[nodes[~fits]] = robust_prune(x, nodes[~fits], wide[~fits], s.degree, s.alpha)
 
 
-def range_search(x: np.ndarray, lists: list[np.ndarray], start: int, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+def range_search(x: np.ndarray, lists: list[np.ndarray], s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """All pairs (i < j) found at the similarity or more, by walking on from every node in range.
 
-    A greedy walk from the medoid, over the first neighbours of each list, reaches each query's
+    A greedy walk from the medoids, over the first neighbours of each list, reaches each query's
     neighbourhood; from there every node within the slack of the range is expanded, over its whole
     list, until no new one turns up. Pairs are verified in double precision.
     """
@@ -143,9 +149,11 @@ def range_search(x: np.ndarray, lists: list[np.ndarray], start: int, s: Settings
     degree = np.array([len(found) for found in lists])
     first_of, flat = np.r_[0, np.cumsum(degree)], np.concatenate(lists).astype(np.int64)
     left, right = [], []
+    starts = medoids(x)
+    reached = np.concatenate([greedy_search(x, graph, starts, x[at:at + 512], s.beam) for at in range(0, n, 512)])
     for begin in range(0, n, 64):
         q = np.arange(begin, min(n, begin + 64))
-        ids = greedy_search(x, graph, start, x[q], s.beam)
+        ids = reached[q]
         row, col = np.nonzero(ids >= 0)
         first = np.concatenate([row.astype(np.int64) * n + ids[row, col], np.arange(len(q)) * n + q])
         frontier = np.unique(first)
@@ -317,7 +325,7 @@ def shard_links(shards: DataFrame, near: DataFrame, s: Settings) -> DataFrame:
         for found in frame["near"]:
             at = np.minimum(np.searchsorted(ids, found), len(ids) - 1)
             lists.append(at[ids[at] == found])  # neighbours that are in this shard too
-        a, b = range_search(x, lists, medoid(x), s)
+        a, b = range_search(x, lists, s)
         homes = [tuple(h) for h in frame["homes"]]
         same = {h: i for i, h in enumerate(dict.fromkeys(homes))}
         kind = np.array([same[h] for h in homes])
@@ -366,7 +374,7 @@ def near_vectors(vectors: DataFrame, settings: Settings = Settings(), id_col: st
 
     Vectors of one label are dealt out to overlapping cluster shards; every shard gets a
     robust-pruned graph; a node's lists from all its shards are joined; range searches from each
-    shard's medoid then find the pairs, verified in double precision. Recall is measured on a sample
+    shard's medoids then find the pairs, verified in double precision. Recall is measured on a sample
     against all rows, and a wider index is built where it falls short.
 
     Rows with equal vectors and labels are one node (named by a 64-bit hash of both), whose copies link
