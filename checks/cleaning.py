@@ -136,3 +136,15 @@ def densify(spark, sf):
 @check("c9_densify_span", f"WITH {EVENTS}, {densified('event_panel', False)} SELECT region, date, {rd('precipitations')} AS precipitations FROM dense")
 def densify_span(spark, sf):
     return rounded(quality.densify(star.event_panel(spark, sf), whole_months=False))
+
+
+HOLES = "CASE WHEN day(date) % 5 = 0 THEN NULL ELSE precipitations END"
+
+
+@check("c9_densify_gappy", f"""
+WITH {PANEL}, holes AS (SELECT * REPLACE ({HOLES} AS precipitations) FROM panel), {densified('holes', True)}
+SELECT region, date, {rd('CASE WHEN h.region IS NULL THEN d.precipitations ELSE h.precipitations END')} AS precipitations
+FROM dense d LEFT JOIN (SELECT region, date, precipitations FROM holes) h USING (region, date)""")
+def densify_gappy(spark, sf):
+    """Recorded days whose measure is missing stay missing; days without a record become 0."""
+    return rounded(quality.densify(star.panel(spark, sf).withColumn("precipitations", F.expr(HOLES))))

@@ -8,6 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from rainpanel.schema import SCHEMA
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -38,20 +40,22 @@ def rd(expression: str, digits: int = 6) -> str:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder path in the session's shared checkpoint folder (a local one only without it)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    """A new folder path in the session's shared checkpoint folder.
+
+    Only a session on a single machine may do without that setting; it gets a temporary folder.
+    """
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if base is None:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="rainpanel-checkpoint-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/rainpanel-{uuid.uuid4().hex}"
 
 
-PANEL_COLUMNS = (
-    "region", "date", "annee", "mois", "jour", "precipitations", "temperature_min",
-    "temperature_max", "humidite", "vent", "pression", "latitude", "longitude", "altitude",
-    "type_sol", "distance_cote",
-)
-PANEL_DOUBLES = (
-    "precipitations", "temperature_min", "temperature_max", "humidite", "pression",
-    "latitude", "longitude",
-)
+PANEL_COLUMNS = tuple(SCHEMA.fieldNames())
+PANEL_DOUBLES = tuple(f.name for f in SCHEMA if isinstance(f.dataType, T.DoubleType))
 
 _PARTS = """CAST(year(date) AS INTEGER) AS annee, CAST(month(date) AS INTEGER) AS mois,
     CAST(day(date) AS INTEGER) AS jour"""

@@ -1,4 +1,4 @@
-"""Features and tree models (M). Tree counts are small here; the library's defaults are not."""
+"""Features and tree models (M), with the library's own settings. Each kind is fitted once a session and folder."""
 
 from __future__ import annotations
 
@@ -6,15 +6,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks.common import GAPPY, PANEL, check, rd, rounded
+from checks.fitted import TEST_YEAR, fitted
 from checks.functions import SEASON
 from checks.tables import DATES, asked
 from rainpanel.operators import climatology, features, models
 from rainpanel.plans import jobs, star
 from rainpanel.schema import MODEL_NUMERIC
 
-SMALL_FOREST = {"numTrees": 8, "maxDepth": 5}
-SMALL_BOOSTING = {"maxIter": 5, "maxDepth": 4}
-TEST_YEAR = 2000
 
 
 def prepared(spark, sf):
@@ -110,12 +108,6 @@ def prepared_features(spark, sf):
         F.count(F.lit(1)).alias("n"), F.min(F.size(vector_to_array("scaled_features"))).alias("width"))
 
 
-def fitted(kind, spark, sf):
-    train, test = features.split_by_year(star.panel(spark, sf), TEST_YEAR)
-    small = SMALL_FOREST if kind == "rf" else SMALL_BOOSTING
-    return models.fit_model(kind, train, **small), test
-
-
 @check("m7_random_forest")
 def random_forest(spark, sf):
     model, test = fitted("rf", spark, sf)
@@ -137,16 +129,13 @@ def evaluate(spark, sf):
 @check("m10_model_prediction")
 def model_prediction(spark, sf):
     panel = star.panel(spark, sf)
-    model = models.fit_model("gbt", features.split_by_year(panel, TEST_YEAR)[0], **SMALL_BOOSTING)
     return rounded(models.predict_rain(
-        model, climatology.expected_weather(asked(spark, sf), climatology.weather_cells(panel))), 4)
+        fitted("gbt", spark, sf)[0], climatology.expected_weather(asked(spark, sf), climatology.weather_cells(panel))), 4)
 
 
 @check("m10_model_prediction_job")
 def model_prediction_job(spark, sf):
-    panel = star.panel(spark, sf)
-    model = models.fit_model("rf", features.split_by_year(panel, TEST_YEAR)[0], **SMALL_FOREST)
-    return rounded(jobs.predict_with_model(model, panel, dates=DATES), 4)
+    return rounded(jobs.predict_with_model(fitted("rf", spark, sf)[0], star.panel(spark, sf), dates=DATES), 4)
 
 
 @check("m11_compare_models")
@@ -157,10 +146,10 @@ def compare_models(spark, sf):
 
 @check("m11_comparison_metrics")
 def comparison_metrics(spark, sf):
-    trained = jobs.train(
-        star.panel(spark, sf), test_year=TEST_YEAR, settings={"rf": SMALL_FOREST, "gbt": SMALL_BOOSTING})
-    bound = models.comparison_bound(trained.compared)
-    metrics = models.comparison_metrics(trained.compared, keys=["region"])
+    forest, test = fitted("rf", spark, sf)
+    compared = models.compare_models(forest, fitted("gbt", spark, sf)[0], test)
+    bound = models.comparison_bound(compared)
+    metrics = models.comparison_metrics(compared, keys=["region"])
     return rounded(metrics.withColumn("bound", bound.scalar()), 4)
 
 
@@ -173,5 +162,5 @@ def feature_importance(spark, sf):
 @check("m13_search_settings")
 def search_settings(spark, sf):
     found = models.search_settings(
-        "rf", star.panel(spark, sf), {"maxDepth": (3, 5), "numTrees": (4, 8)}, test_years=(1999, 2000))
+        "rf", star.panel(spark, sf), {"maxDepth": (5, 10)}, test_years=(1999, 2000, 2001))
     return rounded(models.best_settings(found))

@@ -76,11 +76,14 @@ def skipped_rows(df: DataFrame, columns: Sequence[str] = MODEL_NUMERIC) -> DataF
     return df.agg(F.count_if(missing).alias("skipped"), F.count(F.lit(1)).alias("n_rows"))
 
 
-def check_categories(df: DataFrame, columns: Sequence[str] = MODEL_CATEGORICAL, limit: int = 20_000) -> None:
-    """Stop before fitting when a category has more distinct values than one-hot slots allow.
+def check_categories(df: DataFrame, columns: Sequence[str] = MODEL_CATEGORICAL, limit: int | None = None) -> None:
+    """Stop before fitting when a category has more distinct values than ``limit``; without one, never.
 
-    Spark ML keeps the labels of an indexer on the driver and in every task.
+    Spark ML keeps the labels of an indexer on the driver and in every task, so a caller whose
+    categories may grow without bound sets the limit that fits the driver's memory.
     """
+    if limit is None:
+        return
     counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
     crowded = {c: n for c, n in counts.items() if n > limit}
     if crowded:

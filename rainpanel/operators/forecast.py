@@ -22,11 +22,9 @@ from rainpanel.functions import file_key, month_index, month_label
 from rainpanel.functions.calendar import DAYS_PER_YEAR
 from rainpanel.operators.explore import monthly_mean
 
-# Waves per year and per month, bends of the trend, share of history they may lie in.
+# Waves per year and per month.
 YEARLY_ORDER = 6
 MONTHLY_ORDER, MONTHLY_PERIOD = 5, 30.5
-MAX_BENDS, BEND_RANGE = 25, 0.8
-MIN_POINTS = 24
 
 # Labels of the trend direction.
 RISING, FALLING = "à la hausse", "à la baisse"
@@ -78,11 +76,11 @@ def _dated(fitted: DataFrame, periods: int, mode: str) -> DataFrame:
 # --- straight trend plus month levels -------------------------------------------------------------
 
 def fit_month_means(series: DataFrame) -> DataFrame:
-    """Common slope and mean point of each month, one row per region with two points or more.
+    """Common slope and mean point of each month, one row per region.
 
     Least squares of a straight trend and twelve month levels together: the slope comes from changes
     within each month over the years, so the season cannot tilt it. Without two years of any month
-    the slope is 0 and the season repeats.
+    the slope is 0 and the season repeats; a single point has a level and no deviation.
     """
     x = month_index("ds").cast("double")
     points = series.filter(F.col("y").isNotNull()).select(
@@ -98,12 +96,12 @@ def fit_month_means(series: DataFrame) -> DataFrame:
         F.greatest(F.sum("syy") - slope * F.sum("sxy"), F.lit(0.0)).alias("squares"),
         F.collect_list(F.struct("month", "mx", "my")).alias("means"),
         F.array_sort(F.flatten(F.collect_list("dates"))).alias("dates"),
-    ).filter(F.col("n_points") >= 2)
+    )
     levels = F.transform("means", lambda m: F.struct(m["month"], F.struct(m["mx"].alias("x"), m["my"].alias("y"))))
     freedom = F.greatest(F.col("n_points") - F.col("n_months") - 1, F.lit(1))
     return folded.select(
         "region", "n_points", "slope", F.map_from_entries(levels).alias("levels"),
-        F.sqrt(F.col("squares") / freedom).alias("sigma"), "dates",
+        F.when(F.col("n_points") > 1, F.sqrt(F.col("squares") / freedom)).alias("sigma"), "dates",
     )
 
 
@@ -133,8 +131,8 @@ def _with_interval(df: DataFrame, deviation: Column, level: float, clip: bool) -
 
 COEFFICIENT_SCHEMA = (
     "region string, n_points bigint, first_day double, span double, base double, slope double, "
-    "bends array<double>, bend_slopes array<double>, waves array<double>, sigma double, drift double, "
-    "days array<int>"
+    "bends array<double>, bend_slopes array<double>, cosine_periods array<double>, sine_periods array<double>, "
+    "waves array<double>, sigma double, drift double, days array<int>"
 )
 
 
@@ -150,36 +148,44 @@ def wave_periods(yearly: bool = True, monthly: bool = False) -> tuple[list[float
 
 def fit_seasonal_trend(
     series: DataFrame, yearly: bool = True, monthly: bool = False,
-    bend_penalty: float = 5.0, wave_penalty: float = 0.01,
+    bend_penalty: float = 5.0, wave_penalty: float = 0.01, max_bends: int = 25, bend_range: float = 0.8,
 ) -> DataFrame:
-    """Fitted coefficients, one row per region with at least ``MIN_POINTS`` monthly points.
+    """Fitted coefficients, one row per region with a monthly point, by one model for every length.
 
-    Copies of a date are averaged first, so a region never brings more rows than its calendar has.
+    The fewer the points, the more slope, bends and waves are held back, by a smooth rule: a short
+    history is close to its level, a long one free. Bends lie at up to ``max_bends`` points of the
+    first ``bend_range`` of the history. A single point has a level and no deviation. The row holds
+    the lengths of its waves, so it can be evaluated without knowing how it was fitted. Copies of a
+    date are averaged first, so a region never brings more rows than its calendar has.
     """
-    cosines, sines = (2 * np.pi / np.array(periods) for periods in wave_periods(yearly, monthly))
+    cosine_periods, sine_periods = wave_periods(yearly, monthly)
+    cosines, sines = (2 * np.pi / np.array(periods) for periods in (cosine_periods, sine_periods))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) < MIN_POINTS:
-            return pd.DataFrame(columns=[part.split()[0] for part in COEFFICIENT_SCHEMA.split(", ")])
         pdf = pdf.sort_values("day")
         day, y = pdf["day"].to_numpy(float), pdf["y"].to_numpy(float)
-        first, span = day[0], day[-1] - day[0]
+        first, span = day[0], max(day[-1] - day[0], DAYS_PER_YEAR / 12)
         t, size = (day - first) / span, max(np.abs(y).max(), 1e-12)
-        n_bends = min(MAX_BENDS, int(len(t) * BEND_RANGE) - 1)
-        bends = t[np.linspace(0, int(len(t) * BEND_RANGE) - 1, n_bends + 1).round().astype(int)][1:]
+        early = max(int(len(t) * bend_range), 1)
+        n_bends = min(max_bends, early - 1)
+        bends = t[np.linspace(0, early - 1, n_bends + 1).round().astype(int)][1:]
         waves = np.hstack([np.cos(np.outer(day, cosines)), np.sin(np.outer(day, sines))])
         x = np.column_stack([np.ones_like(t), t, np.maximum(t[:, None] - bends, 0), waves])
-        penalty = np.repeat([1e-9, 1e-9, bend_penalty, wave_penalty], [1, 1, n_bends, waves.shape[1]])
+        held_back = (12 / len(y)) ** 3
+        penalty = np.repeat(
+            [1e-9, 1e-9 + held_back, bend_penalty + held_back, wave_penalty + held_back], [1, 1, n_bends, waves.shape[1]])
         gram = x.T @ x + np.diag(penalty)
         beta = np.linalg.solve(gram, x.T @ y)
         used = np.trace(np.linalg.solve(gram, x.T @ x))
-        sigma = np.sqrt(np.sum((y - x @ beta) ** 2) / max(len(y) - used, 1.0))
+        sigma = np.sqrt(np.sum((y - x @ beta) ** 2) / max(len(y) - used, 1.0)) if len(y) > 1 else None
         bend_slopes = beta[2:2 + n_bends]
-        drift = np.sqrt(2 * n_bends) * np.abs(bend_slopes).mean() if sigma > 1e-9 * size else 0.0
+        bent = n_bends and sigma is not None and sigma > 1e-9 * size
         return pd.DataFrame([{
             "region": pdf["region"].iloc[0], "n_points": len(y), "first_day": first, "span": span,
             "base": beta[0], "slope": beta[1], "bends": bends, "bend_slopes": bend_slopes,
-            "waves": beta[2 + n_bends:], "sigma": sigma, "drift": drift, "days": day.astype(int),
+            "cosine_periods": cosine_periods, "sine_periods": sine_periods, "waves": beta[2 + n_bends:],
+            "sigma": sigma, "drift": np.sqrt(2 * n_bends) * np.abs(bend_slopes).mean() if bent else 0.0,
+            "days": day.astype(int),
         }])
 
     points = series.filter(F.col("y").isNotNull() & F.col("region").isNotNull())
@@ -189,8 +195,7 @@ def fit_seasonal_trend(
 
 
 def forecast_seasonal_trend(
-    fitted: DataFrame, periods: int = 120, mode: str = "month_start", yearly: bool = True,
-    monthly: bool = False, level: float = 0.95, clip: bool = False,
+    fitted: DataFrame, periods: int = 120, mode: str = "month_start", level: float = 0.95, clip: bool = False,
 ) -> DataFrame:
     """Evaluate saved or fresh coefficients over history and future, in Spark expressions only.
 
@@ -203,9 +208,11 @@ def forecast_seasonal_trend(
         F.zip_with("bends", "bend_slopes", lambda at, change: change * F.greatest(t - at, F.lit(0.0))),
         F.lit(0.0), lambda total, part: total + part,
     )
-    cosines, sines = wave_periods(yearly, monthly)
-    waves = [F.cos(day * F.lit(2 * math.pi / p)) for p in cosines] + [F.sin(day * F.lit(2 * math.pi / p)) for p in sines]
-    season = sum((F.get("waves", F.lit(i)) * wave for i, wave in enumerate(waves)), F.lit(0.0))
+    turns = F.concat(
+        F.transform("cosine_periods", lambda p: F.cos(day * 2 * math.pi / p)),
+        F.transform("sine_periods", lambda p: F.sin(day * 2 * math.pi / p)))
+    season = F.aggregate(
+        F.zip_with("waves", turns, lambda size, turn: size * turn), F.lit(0.0), lambda total, part: total + part)
     ahead = F.greatest(t - 1, F.lit(0.0))
     deviation = F.sqrt(F.col("sigma") ** 2 + F.col("drift") ** 2 * ahead * ahead * ahead / 3)
     return _with_interval(
@@ -220,18 +227,15 @@ def forecast(
 ) -> DataFrame:
     """Forecast every region: ``region, ds, yhat, yhat_lower, yhat_upper, is_history``.
 
-    Regions with fewer than ``MIN_POINTS`` months use the month-mean model; those with fewer than
-    two points get no forecast (see ``too_short``).
+    One model serves all lengths of history. A region with a single month has a level and NULL
+    bounds; one without an observed month cannot have a forecast (see ``without_months``).
     """
-    waves = forecast_seasonal_trend(
-        fit_seasonal_trend(series, yearly, monthly), periods, mode, yearly, monthly, level, clip)
-    short = fit_month_means(series).filter(F.size("dates") < MIN_POINTS)
-    return waves.unionByName(forecast_month_means(short, periods, mode, level, clip))
+    return forecast_seasonal_trend(fit_seasonal_trend(series, yearly, monthly), periods, mode, level, clip)
 
 
-def too_short(series: DataFrame) -> DataFrame:
-    """Regions left without a forecast, and their number of monthly points."""
-    return series.groupBy("region").agg(F.count("y").alias("n_points")).filter(F.col("n_points") < 2)
+def without_months(series: DataFrame) -> DataFrame:
+    """Regions of the series that hold no observed month, and so no forecast."""
+    return series.groupBy("region").agg(F.count("y").alias("n_points")).filter(F.col("n_points") == 0)
 
 
 # --- reports on a forecast ------------------------------------------------------------------------

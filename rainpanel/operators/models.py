@@ -34,8 +34,8 @@ def regressor(kind: str, **settings):
     raise ValueError(f"unknown model kind: {kind}")
 
 
-def _training_rows(df: DataFrame) -> DataFrame:
-    """Rows with a label, kept while models train on them; the category check fills the cache.
+def _training_rows(df: DataFrame, category_limit: int | None = None) -> DataFrame:
+    """Rows with a label, kept while models train on them.
 
     With a checkpoint folder, boosting over many rounds restarts from shared storage when an
     executor is lost.
@@ -43,13 +43,16 @@ def _training_rows(df: DataFrame) -> DataFrame:
     use_checkpoint_folder(df.sparkSession)
     rows = add_calendar_features(df).filter(F.col(RAIN).isNotNull())
     train = rows.select(RAIN, *MODEL_NUMERIC, *MODEL_CATEGORICAL).persist(StorageLevel.MEMORY_AND_DISK)
-    check_categories(train)
+    check_categories(train, limit=category_limit)
     return train
 
 
-def fit_model(kind: str, train: DataFrame, **settings) -> PipelineModel:
-    """Fit features and model on training rows, as one pipeline that scores raw rows later."""
-    train = _training_rows(train)
+def fit_model(kind: str, train: DataFrame, category_limit: int | None = None, **settings) -> PipelineModel:
+    """Fit features and model on training rows, as one pipeline that scores raw rows later.
+
+    ``category_limit`` is that of :func:`check_categories`.
+    """
+    train = _training_rows(train, category_limit)
     try:
         return Pipeline(stages=[*feature_stages(), regressor(kind, **settings)]).fit(train)
     finally:

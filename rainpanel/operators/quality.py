@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from rainpanel.operators.joins import unique_on
 from rainpanel.schema import DEFAULT_SOIL, NUMERIC_COLUMNS, nan_to_null
 
 KEEP, DROP_ROWS, FILL_MEAN, FILL_CONSTANT = "keep", "drop_rows", "fill_mean", "fill_constant"
@@ -171,14 +172,16 @@ def deduplicate(df: DataFrame, keys: tuple[str, ...] = ("region", "date")) -> Da
 def densify(panel: DataFrame, measure: str = "precipitations", whole_months: bool = True) -> DataFrame:
     """Add the days without a record, with 0 as the measure: ``region, date, <measure>``.
 
-    Each region runs from its own first to its own last day, widened to whole months by default.
+    Each region runs from its own first to its own last day, widened to whole months by default. A
+    recorded day keeps its value, a missing one too; a day recorded twice stops the job.
     """
     first, last = F.min("date"), F.max("date")
     if whole_months:
         first, last = F.trunc(first, "month"), F.last_day(last)
-    dated = panel.filter(F.col("date").isNotNull() & F.col("region").isNotNull())
+    dated = panel.filter(F.col("date").isNotNull() & F.col("region").isNotNull()).select("region", "date", measure)
     span = dated.groupBy("region").agg(first.alias("lo"), last.alias("hi"))
     calendar = span.select("region", F.explode(F.sequence("lo", "hi")).alias("date"))
-    return calendar.join(panel.select("region", "date", measure), ["region", "date"], "left").select(
-        "region", "date", F.coalesce(F.col(measure), F.lit(0).cast(panel.schema[measure].dataType)).alias(measure)
-    )
+    recorded = unique_on(dated, ["region", "date"]).withColumn("_recorded", F.lit(True))
+    added = F.lit(0).cast(panel.schema[measure].dataType)
+    return calendar.join(recorded, ["region", "date"], "left").select(
+        "region", "date", F.when(F.col("_recorded"), F.col(measure)).otherwise(added).alias(measure))

@@ -65,8 +65,8 @@ def _as_date(date: dt.date | str, default: dt.date) -> dt.date:
     if not isinstance(date, str):
         return date
     try:
-        return dt.date(*[int(part) for part in date.split("-")])
-    except (TypeError, ValueError):
+        return dt.datetime.strptime(date, "%Y-%m-%d").date()
+    except ValueError:
         return default
 
 
@@ -101,12 +101,16 @@ def predict_from_climatology(
 
 @dataclass(frozen=True)
 class LongTerm:
-    """Monthly series, forecast, trend report and monthly pattern, all regions in each frame."""
+    """Monthly series, forecast, trend report and monthly pattern, all regions in each frame.
+
+    ``rejects`` names the regions left out for want of an observed month.
+    """
 
     series: DataFrame
     forecast: DataFrame
     report: DataFrame
     pattern: DataFrame
+    rejects: DataFrame
 
 
 def predict_long_term(df: DataFrame, region: str | None = None, years: int = 10, **options) -> LongTerm:
@@ -116,4 +120,5 @@ def predict_long_term(df: DataFrame, region: str | None = None, years: int = 10,
     """
     series = settled(forecast.monthly_series(forecast.region_or_all(df, region)))
     rows = forecast.forecast(series, periods=years * 12, **options)
-    return LongTerm(series, rows, forecast.trend_report(rows), forecast.monthly_pattern(rows))
+    return LongTerm(
+        series, rows, forecast.trend_report(rows), forecast.monthly_pattern(rows), forecast.without_months(series))

@@ -24,11 +24,22 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = SCHEMA, bad_
     if bad_rows == "fail":
         reader = reader.option("mode", "FAILFAST")
     if bad_rows == "keep":
-        schema = T.StructType([*schema.fields, T.StructField(BAD_ROW, T.StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", BAD_ROW)
+        return nan_to_null(_with_bad_rows(spark, path, schema))
     return nan_to_null(reader.schema(schema).csv(path))
 
 
+def _with_bad_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The lines parsed as an expression, so that the rejected ones can be asked for alone.
+
+    Header lines are those that name the columns of the schema.
+    """
+    header = ",".join(schema.fieldNames())
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + f", `{BAD_ROW}` string"
+    options = {"mode": "PERMISSIVE", "dateFormat": ISO_FORMAT, "columnNameOfCorruptRecord": BAD_ROW}
+    lines = spark.read.text(path).filter((F.trim("value") != "") & (F.col("value") != header))
+    return lines.select(F.from_csv("value", F.lit(fields), options).alias("row")).select("row.*")
+
+
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header and types found by a first pass over the data."""
     return nan_to_null(spark.read.option("header", True).option("inferSchema", True).csv(path))
@@ -55,8 +66,13 @@ def read_csv_by_name(
     return nan_to_null(raw.select(*[typed(name) for name in raw.columns]))
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return nan_to_null(require_columns(spark.read.parquet(path)))
+def read_parquet(spark: SparkSession, path: str, normalise: bool = False) -> DataFrame:
+    """Parquet as :func:`write_parquet` leaves it, without NaN, so that filters on numbers reach the files.
+
+    ``normalise`` turns the NaN of foreign files into NULL, at the price of those filters.
+    """
+    df = require_columns(spark.read.parquet(path))
+    return nan_to_null(df) if normalise else df
 
 
 def from_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType = SCHEMA) -> DataFrame:
@@ -84,6 +100,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ("anne
     The rebalance hint lets Spark gather a year's rows into files of the advised size and split a
     year that holds far more rows than the others.
     """
+    df = nan_to_null(df)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

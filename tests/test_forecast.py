@@ -96,13 +96,28 @@ def test_august_peak(spark, mode, month):
     assert fc.trend_report(future).first()["wettest_month"] == month
 
 
-def test_short_series(spark):
-    rows = [("short", d, float(d.month)) for d in months(12)] + [("one", dt.date(2020, 1, 1), 1.0)]
-    rows += [("long", d, float(d.month)) for d in months(36)]
+def test_every_length_has_a_forecast(spark):
+    lengths = {"one": 1, "two": 2, "short": 12, "nearly": 23, "two_years": 24, "long": 36}
+    rows = [(r, d, 5.0 + d.month) for r, n in lengths.items() for d in months(n)] + [("none", dt.date(2020, 1, 1), None)]
     series = spark.createDataFrame(rows, SERIES)
-    counts = {r["region"]: r["count"] for r in fc.forecast(series, 6).groupBy("region").count().collect()}
-    assert counts == {"short": 18, "long": 42}
-    assert [tuple(r) for r in fc.too_short(series).collect()] == [("one", 1)]
+    got = fc.forecast(series, 6).collect()
+    assert {r: sum(x["region"] == r for x in got) for r in lengths} == {r: n + 6 for r, n in lengths.items()}
+    assert all(-5 < x["yhat"] < 30 for x in got)
+    assert all((x["yhat_lower"] is None) == (x["region"] == "one") for x in got)
+    assert [x["yhat"] for x in got if x["region"] == "one"] == pytest.approx([6.0] * 7, abs=1.0)
+    assert [tuple(r) for r in fc.without_months(series).collect()] == [("none", 0)]
+    ones = fc.forecast_month_means(fc.fit_month_means(series.filter("region = 'one'")), 3).collect()
+    assert [(x["yhat"], x["yhat_lower"]) for x in ones] == [(6.0, None)] * 4
+
+
+@pytest.mark.parametrize("yearly", [True, False])
+@pytest.mark.parametrize("monthly", [True, False])
+def test_coefficients_know_their_waves(spark, known, tmp_path, yearly, monthly):
+    fitted = fc.fit_seasonal_trend(known, yearly, monthly)
+    sources.save_coefficients(fitted, str(tmp_path / "c"))
+    again = fc.forecast_seasonal_trend(sources.load_coefficients(spark, str(tmp_path / "c")), 6).orderBy("region", "ds").collect()
+    direct = fc.forecast(known, 6, yearly=yearly, monthly=monthly).orderBy("region", "ds").collect()
+    assert [r["yhat"] for r in again] == pytest.approx([r["yhat"] for r in direct], abs=1e-6)
 
 
 def test_copies_do_not_lose_a_short_region(spark):
