@@ -20,8 +20,8 @@ from rainpanel.llm.common import settled
 WINDOW = 1024
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
-#: Different space-separated chunks that a worker remembers the ids of.
-REMEMBERED = 400_000
+#: Different space-separated chunks that a task remembers the ids of.
+REMEMBERED = 250_000
 
 
 class ChunkEncoder:
@@ -71,17 +71,6 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-_ENCODERS: dict[int, ChunkEncoder] = {}
-
-
-def _encoder(file: bytes) -> ChunkEncoder:
-    """One for each worker process and file: workers serve many tasks."""
-    name = zlib.crc32(file)
-    if name not in _ENCODERS:
-        _ENCODERS[name] = ChunkEncoder(file)
-    return _ENCODERS[name]
-
-
 def pieces(
     documents: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, end_id: int = END_ID,
     file: str | None = None, carry_ids: bool = False,
@@ -100,7 +89,7 @@ def pieces(
     tail = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, ranks, part = _encoder(shared.value), [0] * (window + 1), TaskContext.get().partitionId()
+        encoder, ranks, part = ChunkEncoder(shared.value), [0] * (window + 1), TaskContext.get().partitionId()
         for batch in batches:
             source, rows = [], []
             for i, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):

@@ -45,7 +45,7 @@ def terms_of(text: str | None) -> Counter:
 class Vocabulary:
     """Finds the terms of a fixed list in whole texts, remembering which tokens hold none."""
 
-    def __init__(self, terms: Sequence[str], remembered: int = 400_000):
+    def __init__(self, terms: Sequence[str], remembered: int = 200_000):
         self.index, self.remembered = {t: i for i, t in enumerate(terms)}, remembered
         self.bare: set[str] = set()
 
@@ -184,7 +184,7 @@ class Model:
         if not vector:
             return self.bare_rate, [], []
         if vector not in self._seen:
-            if len(self._seen) > 50_000:
+            if len(self._seen) > 20_000:
                 self._seen.clear()
             vote, near = self.vote(vector)
             score = float(np.interp(vote, *self.steps)) if near else self.bare_rate
@@ -348,11 +348,22 @@ def score_documents(documents: DataFrame, labels: DataFrame, keep: Sequence[str]
     return score_counts(counted, model)
 
 
-def keep_harmless(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic, with their own columns; two passes, no exchange of texts."""
+def keep_harmless(documents: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
+    """The documents that are not predicted toxic, with their own columns.
+
+    The model's counts take one pass over the texts, the filter another, in which a row goes through
+    one worker only; texts are not exchanged.
+    """
     model, _ = fit(documents, labels)
-    scored = score_counts(term_counts(documents, model.terms, documents.columns), model)
-    return scored.filter("__tox.predicted = 0").drop("__tox")
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text))
+            yield batch.filter(pa.array([m.score(m.vocabulary.counts(t.as_py()))[0] < CUT for t in texts], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
 
 
 def toxicity_query(documents: DataFrame, labels: DataFrame) -> DataFrame:
