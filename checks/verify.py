@@ -6,6 +6,7 @@ import glob
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -18,7 +19,8 @@ def session(cores: str = "8") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName("rainpanel-checks")
         .config("spark.sql.shuffle.partitions", cores).config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "12g").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="rainpanel-checkpoint-")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
