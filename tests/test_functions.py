@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rainpanel import functions as fn
+from rainpanel.plans import jobs
 
 
 def one(spark, *columns):
@@ -61,3 +62,12 @@ def test_cyclic_neighbours(spark):
     b = one(spark, *fn.cyclic_day(last))
     assert math.dist(a, b) < 0.03
     assert one(spark, *fn.cyclic_month(F.lit(12)))[1] == pytest.approx(1.0)
+
+
+def test_both_forms_read_the_same_dates(spark):
+    texts = ["2024-01-05", "2024-1-5", "24-1-5", "2024-1_0-5", "2024-13-01", "2024-02-30", "05/01/2024", "", "soon", "2024-1"]
+    today, rows = dt.date(2020, 5, 1), []
+    for text in texts:
+        rows.append((text, jobs.target_dates([text], 1, today)[0]))
+    frame = spark.createDataFrame(rows, "text string, expected date").withColumn("ref", F.lit(today))
+    assert frame.filter(~fn.target_date("text", "ref", 1).eqNullSafe(F.col("expected"))).collect() == []

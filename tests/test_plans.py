@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import QUERIES
 from rainpanel import sources
-from rainpanel.operators import climatology, explore, joins
+from rainpanel.operators import climatology, explore, forecast, joins
 from rainpanel.plans import jobs, star
 
 FOLDER = "/root/testdata/sf0.001"
@@ -63,3 +63,18 @@ def test_no_raw_rows_are_shuffled_for_climatology(spark, stored):
     """The only exchange of raw rows is of partial aggregates."""
     plan = climatology.rain_cells(sources.read_parquet(spark, stored))._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange") < plan.index("partial_count") < plan.index("FileScan")
+
+
+def test_filters_on_numbers_reach_the_scan(spark, stored):
+    plan = plan_of(sources.read_parquet(spark, stored).filter("precipitations > 40"))
+    assert "GreaterThan(precipitations,40.0)" in plan
+
+
+def test_a_forecast_reads_the_panel_once(spark, stored):
+    panel = sources.read_parquet(spark, stored)
+    assert len(scans(forecast.forecast(forecast.monthly_series(panel), 12))) == 1
+
+
+def test_ladder_predictions_share_one_reading(spark, stored):
+    cells = climatology.weather_cells(sources.read_parquet(spark, stored))
+    assert len(scans(climatology.expected_weather_all(cells, jobs.target_dates(None, 1)))) == 1
