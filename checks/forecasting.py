@@ -119,3 +119,15 @@ def chart_rows(spark, sf):
 @check("l12_long_term_run")
 def long_term_run(spark, sf):
     return rounded(jobs.predict_long_term(star.panel(spark, sf)).report, 4)
+
+
+@check("l12_hold_out", f"""
+WITH {PANEL}, {SERIES.replace('series AS', 'whole AS')},
+series AS (SELECT * FROM whole WHERE year(ds) < 2001), {FUTURE}, {LEVELS},
+scored AS (SELECT w.region, w.y, f.yhat FROM whole w JOIN fc f ON f.region = w.region AND f.ds = w.ds AND year(w.ds) >= 2001)
+SELECT region, count(*) AS n, {rd('sqrt(avg((yhat - y) * (yhat - y)))', 4)} AS rmse, {rd('avg(abs(yhat - y))', 4)} AS mae,
+  CASE WHEN var_pop(y) > 0 THEN {rd('1 - sum((yhat - y) * (yhat - y)) / (var_pop(y) * count(*))', 4)} END AS r2
+FROM scored GROUP BY region""")
+def hold_out(spark, sf):
+    """Months from 2001 on, by the month-mean model, which SQL can fit too."""
+    return rounded(jobs.hold_out_long_term(star.panel(spark, sf), 2001, "months"), 4)

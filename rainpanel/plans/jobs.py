@@ -7,8 +7,9 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rainpanel.functions import month_index
 from rainpanel.operators import climatology, forecast, joins, models
 from rainpanel.operators.features import split_by_year
 from rainpanel.operators.quality import clean
@@ -122,3 +123,26 @@ def predict_long_term(df: DataFrame, region: str | None = None, years: int = 10,
     rows = forecast.forecast(series, periods=years * 12, **options)
     return LongTerm(
         series, rows, forecast.trend_report(rows), forecast.monthly_pattern(rows), forecast.without_months(series))
+
+
+def hold_out_long_term(df: DataFrame, test_year: int = 2021, model: str = "waves") -> DataFrame:
+    """RMSE, MAE and R² of the monthly forecast in each region, on months it has not seen.
+
+    The model, ``"waves"`` (bending trend and yearly waves) or ``"months"`` (trend and month means),
+    is fitted on the months before ``test_year`` and scored on the observed ones from then on.
+    Regions without months on both sides have no row.
+    """
+    series = settled(forecast.monthly_series(df))
+    early, late = series.filter(F.year("ds") < test_year), series.filter(F.year("ds") >= test_year)
+    index = month_index("ds")
+    last = early.groupBy("region").agg(F.max(index).alias("last")).agg(F.min("last")).first()[0]
+    end = late.agg(F.max(index)).first()[0]
+    periods = max(end - last, 1) if end is not None and last is not None else 1
+    if model == "waves":
+        rows = forecast.forecast_seasonal_trend(forecast.fit_seasonal_trend(early), periods)
+    elif model == "months":
+        rows = forecast.forecast_month_means(forecast.fit_month_means(early), periods)
+    else:
+        raise ValueError(f"model must be waves or months, not {model!r}")
+    both = rows.filter(~F.col("is_history")).select("region", "ds", "yhat").join(late, ["region", "ds"])
+    return models.regression_metrics(both, "yhat", "y", ["region"])

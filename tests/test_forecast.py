@@ -174,3 +174,13 @@ def test_long_term_job(spark):
     chart = fc.chart_rows(result.forecast, result.series)
     assert chart.filter("y is null").count() == 24
     assert fc.horizon_years(result.forecast).first()["years"] == 6
+
+
+def test_hold_out(spark, known):
+    days = known.select("region", F.col("ds").alias("date"), F.col("y").alias("precipitations"))
+    got = {r["region"]: r for r in jobs.hold_out_long_term(days, 2018).collect()}
+    assert {r: got[r]["n"] for r in got} == {"up": 24, "down": 24}
+    assert all(r["rmse"] < 1.5 and r["r2"] > 0.9 and r["mae"] <= r["rmse"] for r in got.values())
+    assert jobs.hold_out_long_term(days, 1990).count() == 0
+    with pytest.raises(ValueError):
+        jobs.hold_out_long_term(days, 2018, "other")
