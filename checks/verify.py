@@ -45,12 +45,12 @@ def table(names: list[str], rows) -> tuple[list[str], list[tuple]]:
     return [names[i] for i in order], sorted(tuple(normal(row[i]) for i in order) for row in rows)
 
 
-def compare(spark: SparkSession, con, folder: str, name: str) -> tuple[bool, str]:
-    df = QUERIES[name](spark, folder)
+def compare(spark: SparkSession, con, folder: str, name: str, queries=QUERIES, sql=SQL) -> tuple[bool, str]:
+    df = queries[name](spark, folder)
     columns, rows = table(df.columns, df.collect())
-    if name not in SQL:
+    if name not in sql:
         return bool(rows), f"{len(rows)} rows, no SQL"
-    result = con.execute(SQL[name])
+    result = con.execute(sql[name])
     expected_columns, expected = table([d[0] for d in result.description], result.fetchall())
     if columns != expected_columns:
         return False, f"columns {columns} != {expected_columns}"

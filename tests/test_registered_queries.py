@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_point
+from checks.registry import SQL
 from checks.verify import compare, database
 
 FOLDER = "/root/testdata/sf0.001"
@@ -16,7 +17,7 @@ def con():
     return database(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_sql(spark, con, name):
     good, message = compare(spark, con, FOLDER, name)
     assert good, message
