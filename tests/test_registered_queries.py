@@ -17,7 +17,8 @@ def con():
     return database(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+# A hundred rounds of boosting take minutes; test_models saves and loads a small model.
+@pytest.mark.parametrize("name", sorted(set(SQL) - {"s7_model_load"}))
 def test_equals_sql(spark, con, name):
     good, message = compare(spark, con, FOLDER, name)
     assert good, message
