@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -29,8 +30,10 @@ class Settings:
     beam: int = 24  # open nodes of a greedy search
     alpha: float = 1.2  # robust pruning: how much nearer a kept neighbour must be to cover another
     slack: float = 0.03  # range search expands nodes this far below the similarity
-    audit: int = 200  # vectors compared with everything, to measure recall
-    recall: float = 0.95  # below it, the index is built again, wider
+    audit: int = 200  # vectors of a label, at least, compared with all of it, to measure recall
+    audit_root: float = 4.0  # and so many times the square root of the label's rows
+    recall: float = 0.95  # below it, a label's index is built again, wider; at last all its pairs are compared
+    block: int = 4_096  # vectors of a block, where blocks are compared with blocks
 
 
 # ---- the graph of one shard -------------------------------------------------------------------
@@ -252,11 +255,12 @@ def split_shards(nodes: DataFrame, s: Settings) -> DataFrame:
     """``nodes`` (``node``, ``x``, ``m``, ``shard``) with every shard over ``s.most`` split, again and again.
 
     Centres of a shard are fitted on a bounded sample of it and joined to its vectors by the shard's
-    name; each vector goes on to its ``overlap`` nearest centres. Near copies, which centres cannot
-    tell apart, are cut along their main direction instead, so every split makes shards smaller.
+    name; each vector goes on to its ``overlap`` nearest centres. Shards of near copies, which centres
+    cannot tell apart, stay whole and are marked so (``whole``): all their pairs are compared.
     """
+    nodes = nodes.withColumn("whole", F.lit(False))
     while True:
-        large = settled(nodes.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > s.most))
+        large = settled(nodes.filter("not whole").groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > s.most))
         if large.isEmpty():
             return nodes
         big = nodes.join(large, "shard")
@@ -273,20 +277,27 @@ def split_shards(nodes: DataFrame, s: Settings) -> DataFrame:
         def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 frame = batch.to_pandas()
-                new, source = [], []
+                new, source, whole = [], [], []
                 for shard, part in frame.groupby("shard", sort=False):
+                    if part["cuts"].iloc[0] is not None:
+                        new += [shard] * len(part)
+                        source += part.index.tolist()
+                        whole += [True] * len(part)
+                        continue
                     centres = np.array([list(c) for c in part["centres"].iloc[0]])
-                    parts = _children(_matrix(part), centres, part["cuts"].iloc[0], s.overlap)
+                    parts = _children(_matrix(part), centres, None, s.overlap)
                     pairs = dict.fromkeys((i, c) for own in parts for i, c in zip(part.index.tolist(), own.tolist(), strict=True))
                     new += [f"{shard}/{c}" for _, c in pairs]
                     source += [i for i, _ in pairs]
+                    whole += [False] * len(pairs)
                 at = pa.array(source, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).take(at) for k in range(3)), pa.array(new, pa.string())], names=["node", "x", "m", "shard"])
+                    [*(batch.column(k).take(at) for k in range(3)), pa.array(new, pa.string()), pa.array(whole, pa.bool_())],
+                    names=["node", "x", "m", "shard", "whole"])
 
         moved = big.join(fitted, "shard").select("node", "x", "m", "shard", "centres", "cuts").mapInArrow(
-            assign, "node long, x array<double>, m long, shard string")
-        rest = nodes.join(large, "shard", "left_anti").select("node", "x", "m", "shard")
+            assign, "node long, x array<double>, m long, shard string, whole boolean")
+        rest = nodes.join(large, "shard", "left_anti").select("node", "x", "m", "shard", "whole")
         nodes = settled(rest.unionByName(moved))
 
 
@@ -309,13 +320,24 @@ def adjacency(shards: DataFrame, s: Settings) -> DataFrame:
     return lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
 
 
-def shard_links(shards: DataFrame, near: DataFrame, s: Settings) -> DataFrame:
+def homes_of(shards: DataFrame) -> DataFrame:
+    """All shards of each node, in order."""
+    return shards.groupBy("node").agg(F.sort_array(F.collect_set("shard")).alias("homes"))
+
+
+def _owner(frame: pd.DataFrame, shard: str) -> tuple[np.ndarray, np.ndarray]:
+    """The kind of each row, by its shards, and whether a pair of kinds counts its links in this shard."""
+    homes = [tuple(h) for h in frame["homes"]]
+    same = {h: i for i, h in enumerate(dict.fromkeys(homes))}
+    return np.array([same[h] for h in homes]), np.array([[min(set(g) & set(h)) == shard for h in same] for g in same])
+
+
+def shard_links(shards: DataFrame, near: DataFrame, homes: DataFrame, s: Settings) -> DataFrame:
     """For every node of every shard: links whose lowest common shard this is, and a local root.
 
     Both ends of a pair count it in the same one of their common shards, so counts add up over
     shards without any pair leaving its task.
     """
-    homes = shards.groupBy("node").agg(F.sort_array(F.collect_set("shard")).alias("homes"))
     rows = shards.join(near, "node").join(homes, "node")
 
     def search(key, frame: pd.DataFrame) -> pd.DataFrame:
@@ -326,11 +348,7 @@ def shard_links(shards: DataFrame, near: DataFrame, s: Settings) -> DataFrame:
             at = np.minimum(np.searchsorted(ids, found), len(ids) - 1)
             lists.append(at[ids[at] == found])  # neighbours that are in this shard too
         a, b = range_search(x, lists, s)
-        homes = [tuple(h) for h in frame["homes"]]
-        same = {h: i for i, h in enumerate(dict.fromkeys(homes))}
-        kind = np.array([same[h] for h in homes])
-        names = list(same)
-        owner = np.array([[min(set(g) & set(h)) == key[0] for h in names] for g in names])
+        kind, owner = _owner(frame, key[0])
         mine = owner[kind[a], kind[b]]
         links, copies = np.zeros(len(ids), dtype=np.int64), frame["m"].to_numpy()
         np.add.at(links, a[mine], copies[b[mine]])
@@ -340,32 +358,91 @@ def shard_links(shards: DataFrame, near: DataFrame, s: Settings) -> DataFrame:
     return rows.groupBy("shard").applyInPandas(search, "node long, links long, root long")
 
 
-def audit_recall(nodes: DataFrame, found: DataFrame, s: Settings) -> float:
-    """Links found, of those that comparing a bounded sample of vectors with all rows finds."""
-    spark = nodes.sparkSession
-    drawn = nodes.orderBy(F.xxhash64("node", F.lit(9))).limit(s.audit).collect()
-    if not drawn:
-        return 1.0
-    shared = spark.sparkContext.broadcast(
-        (np.array([r["x"] for r in drawn]), np.array([r["node"] for r in drawn]), [r["shard"] for r in drawn]))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries, ids, labels = shared.value
-        total = np.zeros(len(ids), dtype=np.int64)
-        labels = np.array(labels)
-        for batch in batches:
-            frame = batch.to_pandas()
-            near = np.array(frame["x"].tolist()) @ queries.T >= s.similarity
-            near &= frame["shard"].to_numpy()[:, None] == labels[None, :]
-            near &= frame["node"].to_numpy()[:, None] != ids[None, :]
-            total += (near * frame["m"].to_numpy()[:, None]).sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total)], names=["node", "links"])
-
-    true = nodes.select("node", "x", "m", "shard").mapInArrow(compare, "node long, links long").groupBy("node").agg(
-        F.sum("links").alias("true"))
-    got, there = true.join(found, "node", "left").agg(
-        F.sum(F.least(F.coalesce("links", F.lit(0)), "true")), F.sum("true")).first()
-    return float(got or 0) / there if there else 1.0
+def _reached(near: np.ndarray, same: bool) -> np.ndarray:
+    """The smallest position reachable, of the rows and then of the columns (``same``: the rows again)."""
+    high = near.shape[0]
+    root = np.arange(high if same else sum(near.shape), dtype=np.int32)
+    none = np.int32(len(root))
+    while True:
+        before = root.copy()
+        columns = slice(0 if same else high, None)
+        root[columns] = np.minimum(root[columns], np.where(near, root[:high, None], none).min(axis=0))
+        root[:high] = np.minimum(root[:high], np.where(near, root[None, columns], none).min(axis=1))
+        root = root[root]
+        if (root == before).all():
+            return root
+
+
+def whole_links(shards: DataFrame, homes: DataFrame, s: Settings) -> DataFrame:
+    """What :func:`shard_links` gives, from all pairs of every shard: each block against each, a task's work each.
+
+    Links are counted in the tasks; a vector goes to as many of them as its shard has blocks.
+    """
+    blocks = shards.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("blocks"))
+    dealt = shards.join(homes, "node").join(blocks, "shard").withColumn(
+        "block", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int"))
+    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "node", "x", "m", "homes", "block", "shard", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+
+    def compare(key, frame: pd.DataFrame) -> pd.DataFrame:
+        shard, low, high = key
+        frame = frame.sort_values(["block", "node"]).reset_index(drop=True)
+        ids, copies, same = frame["node"].to_numpy(), frame["m"].to_numpy(), low == high
+        first = len(frame) if same else int((frame["block"] == low).sum())
+        a, b = slice(0, first), slice(0 if same else first, None)
+        links, root = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
+        if 0 < first and (same or first < len(ids)):
+            x, (kind, owner) = _matrix(frame), _owner(frame, shard)
+            near = np.empty((first, len(x[b])), dtype=bool)
+            for at in range(0, first, 512):
+                part = slice(at, min(first, at + 512))
+                hit = x[part] @ x[b].T >= s.similarity
+                if same:
+                    hit[np.arange(len(hit)), np.arange(at, at + len(hit))] = False
+                near[part] = hit
+                mine = hit if owner.all() else hit & owner[kind[part, None], kind[None, b]]
+                links[part] += mine @ copies[b]
+                if not same:
+                    links[b] += copies[part] @ mine
+            root = _reached(near, same)
+        return pd.DataFrame({"node": ids, "links": links, "root": ids[root]})
+
+    return paired.groupBy("shard", "low", "high").applyInPandas(compare, "node long, links long, root long")
+
+
+#: Vectors that a task of the audit compares its queries with.
+AUDIT_PART = 16_384
+
+
+def audit_recall(nodes: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
+    """By label (``shard``): links ``found`` of those (``true``) that a sample has with all vectors of its label.
+
+    The sample grows with the square root of the label's vectors, so a label of at most ``s.audit``
+    is compared whole.
+    """
+    sizes = nodes.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "parts", F.ceil(F.col("n") / AUDIT_PART).cast("int"))
+    sized = nodes.join(sizes, "shard")
+    rate = F.greatest(F.lit(float(s.audit)), s.audit_root * F.sqrt("n")) / F.col("n") * float(1 << 30)
+    asked = sized.filter(F.pmod(F.xxhash64("node", F.lit(9)), F.lit(1 << 30)) < rate).select(
+        "node", "x", "m", "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("asked"))
+    every = sized.select(
+        "node", "x", "m", "shard", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("asked"))
+
+    def compare(key, frame: pd.DataFrame) -> pd.DataFrame:
+        ask, rows = frame[frame["asked"]], frame[~frame["asked"]]
+        ids, links = ask["node"].to_numpy(), np.zeros(len(ask), dtype=np.int64)
+        if len(ask) and len(rows):
+            queries, x, nodes, copies = _matrix(ask), _matrix(rows), rows["node"].to_numpy(), rows["m"].to_numpy()
+            for at in range(0, len(ids), 256):
+                part = slice(at, at + 256)
+                links[part] = ((queries[part] @ x.T >= s.similarity) & (ids[part, None] != nodes[None, :])) @ copies
+        return pd.DataFrame({"shard": key[0], "node": ids, "links": links})
+
+    true = asked.unionByName(every).groupBy("shard", "part").applyInPandas(
+        compare, "shard string, node long, links long").groupBy("shard", "node").agg(F.sum("links").alias("true"))
+    return true.join(found, "node", "left").groupBy("shard").agg(
+        F.sum(F.least(F.coalesce("links", F.lit(0)), "true")).alias("found"), F.sum("true").alias("true"))
 
 
 def near_vectors(vectors: DataFrame, settings: Settings = Settings(), id_col: str = "vec_id",
@@ -374,8 +451,10 @@ def near_vectors(vectors: DataFrame, settings: Settings = Settings(), id_col: st
 
     Vectors of one label are dealt out to overlapping cluster shards; every shard gets a
     robust-pruned graph; a node's lists from all its shards are joined; range searches from each
-    shard's medoids then find the pairs, verified in double precision. Recall is measured on a sample
-    against all rows, and a wider index is built where it falls short.
+    shard's medoids then find the pairs, verified in double precision. Families of near copies larger
+    than a shard are compared whole, block by block. Recall is measured on a sample of each label
+    against all its rows; where it falls short, a wider index is built, twice at most, and then all
+    pairs of the label are compared.
 
     Rows with equal vectors and labels are one node (named by a 64-bit hash of both), whose copies link
     to one another. NULL, zero
@@ -392,14 +471,24 @@ def near_vectors(vectors: DataFrame, settings: Settings = Settings(), id_col: st
             F.min("id").alias("first"), F.count(F.lit(1)).alias("m"), F.first("shard").alias("shard"), F.first("v").alias("v"))
         .withColumn("v", F.transform("v", lambda v: v / peak)).withColumn("length", length)
         .select("node", "first", "m", F.transform("v", lambda v: v / F.col("length")).alias("x"), "shard"))
-    s = settings
+    s, left, parts = settings, nodes.select("node", "x", "m", "shard"), []
     for _ in range(3):
-        shards = settled(split_shards(nodes.select("node", "x", "m", "shard"), s))
-        found = settled(shard_links(shards, settled(adjacency(shards, s)), s))
+        shards = settled(split_shards(left, s))
+        homes, flat, whole = settled(homes_of(shards)), shards.filter("not whole"), shards.filter("whole")
+        found = shard_links(flat, settled(adjacency(flat, s)), homes, s)
+        found = settled(found if whole.isEmpty() else found.unionByName(whole_links(whole, homes, s)))
         links = found.groupBy("node").agg(F.sum("links").alias("links"))
-        if audit_recall(nodes, links, s) >= s.recall:
+        short = settled(audit_recall(left, links, s).filter(F.col("found") < s.recall * F.col("true")).select("shard"))
+        if short.isEmpty():
+            parts.append(found)
             break
+        left = settled(left.join(short, "shard").select("node", "x", "m", "shard"))
+        parts.append(found.join(left.select("node"), "node", "left_anti"))
         s = replace(s, overlap=s.overlap + 1, beam=2 * s.beam, degree=s.degree + 16)
+    else:
+        parts.append(settled(whole_links(left, homes_of(left), s)))
+    found = reduce(DataFrame.unionByName, parts)
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = component_roots(found.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     rooted = nodes.select("node", "first", "m").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -72,3 +72,28 @@ def test_near_copies_are_cut_along_their_main_direction():
     centres, cuts = vectors._fit_split(x, 4_000, Settings(shard=1_000, most=1_500))
     parts = vectors._children(x, centres, cuts, 2)
     assert max(np.bincount(np.concatenate(parts))) < 0.76 * len(x)
+
+
+def family(n=2_500, seed=3):
+    """Near copies, all within the similarity, beside some other vectors of their label."""
+    rng = np.random.default_rng(seed)
+    x = np.ones((n, 16)) + rng.normal(size=(n, 16)) * 0.03
+    return np.vstack([x, rng.normal(size=(100, 16))])
+
+
+def test_a_family_larger_than_a_shard_is_compared_whole(spark):
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(family())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(4)
+    got = vectors.near_vectors(frame, Settings(shard=200, most=400, children=8, block=300)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == brute(rows)
+
+
+@pytest.mark.parametrize("block", [100, 4_096])
+def test_a_label_that_stays_short_is_compared_whole(spark, monkeypatch, block):
+    x, labels = planted()
+    rows = [(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(x, labels, strict=True))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(4)
+    nothing = "node long, links long, root long"
+    monkeypatch.setattr(vectors, "shard_links", lambda shards, *_: shards.sparkSession.createDataFrame([], nothing))
+    got = vectors.near_vectors(frame, Settings(block=block)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == brute(rows)
