@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rainpanel.llm.common import bind
+from rainpanel.llm.common import SPACE_IN_RUN, bind
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Different words that a worker remembers the ids of.
@@ -95,9 +95,9 @@ def _fold_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class WordEncoder:
     """Ids of whole texts, folding each different word once.
 
-    The pattern starts a new piece at every single space, so the pieces of a text are those of its
-    space-separated chunks, each with the space before it. Runs of spaces are the exception: such
-    texts are split by the pattern as a whole.
+    The pattern starts a new piece at every space that white space does not surround, so the pieces of
+    a text are those of its space-separated chunks, each with the space before it. Texts with a space
+    inside or at the end of a run of any white space are split by the pattern as a whole.
     """
 
     def __init__(self, content: bytes, pattern: str = public_tokenizers.PATTERN, remembered: int = REMEMBERED):
@@ -114,7 +114,7 @@ class WordEncoder:
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids."""
         text, known = text or "", self.known
-        if "  " in text:
+        if SPACE_IN_RUN.search(text):
             return b"".join([known.get(p) or self._learn(p, [p]) for p in self.pattern.findall(text)])
         first, *rest = text.split(" ")
         chunks = [first, *(" " + c for c in rest)]

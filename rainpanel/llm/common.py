@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 
 #: Words are runs of anything but the six ASCII blanks.
 BLANKS = " \t\n\x0b\f\r"
+#: A space inside or at the end of a run of white space (U+00A0 and others too): the byte-level BPE
+#: pattern takes such a run as one piece, so the text must not be split at its spaces.
+SPACE_IN_RUN = re.compile(r"(?<=\s) (?!\S)")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rainpanel.llm.common import settled
+from rainpanel.llm.common import SPACE_IN_RUN, settled
 
 WINDOW = 1024
 END_ID = 0
@@ -27,9 +27,9 @@ REMEMBERED = 250_000
 class ChunkEncoder:
     """Ids of whole texts as a ``tokenizers`` byte-level BPE file gives them, remembering those of chunks.
 
-    The pattern starts a new piece at every single space, so a text's ids are those of its
-    space-separated chunks, each with the space before it; texts with runs of spaces are encoded
-    whole. Chunks go through ``tiktoken`` with the file's own vocabulary, whose ids are its ranks:
+    The pattern starts a new piece at every space that white space does not surround, so a text's ids
+    are those of its space-separated chunks, each with the space before it; texts with a space inside
+    or at the end of a run of any white space are encoded whole. Chunks go through ``tiktoken`` with the file's own vocabulary, whose ids are its ranks:
     the ids are the same and come several times sooner. Texts that may name a special token are left
     to ``tokenizers``.
     """
@@ -57,7 +57,7 @@ class ChunkEncoder:
             text = text or ""
             if "<|" in text:
                 yield array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-            elif "  " in text:
+            elif SPACE_IN_RUN.search(text):
                 yield array("I", self.fast.encode_ordinary(text)).tobytes()
             else:
                 first, *rest = text.split(" ")

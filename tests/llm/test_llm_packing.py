@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from llm_cases import clashing, documents
 from tokenizers import Tokenizer
@@ -44,6 +44,17 @@ def test_repeated_rows_and_null_ids_are_packed_too(spark):
     assert got == Counter(str(r.doc_id) for r in documents(spark).collect())
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("a \u00a0\n\u3000.")), max_size=16))
+@example("foo \u00a0 \u00a0 bar")
+def test_chunks_of_mixed_white_space(tokenizer, text):
+    with open(public_tokenizers.path(packing.TOKENIZER), "rb") as file:
+        encoder = test_chunks_of_mixed_white_space.__dict__.setdefault("encoder", None) or packing.ChunkEncoder(file.read())
+    test_chunks_of_mixed_white_space.encoder = encoder
+    got = np.frombuffer(next(iter(encoder.encode([text]))), "<u4").tolist()
+    assert got == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_sequences_are_padded(spark):
     rows = packing.sequences(packing.pack(documents(spark), carry_ids=True)).collect()
     assert {len(r.input_ids) for r in rows} == {1024}

@@ -5,10 +5,11 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import tiktoken
 import xxhash
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from llm_cases import CLASHING, clashing, documents
 from public_tokenizers import PATTERN
@@ -47,6 +48,15 @@ def test_bpe_on_any_text(ranks, reference, text):
     assert [int.from_bytes(got[i:i + 4], "little") for i in range(0, len(got), 4)] == reference.encode_ordinary(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("a \u00a0\n\u3000.")), max_size=16))
+@example("foo \u00a0 \u00a0 bar")
+@example("foo \u00a0 \u00a0 \u00a0 \u00a0 ")
+def test_bpe_on_runs_of_mixed_white_space(ranks, reference, text):
+    encoder = test_bpe_on_runs_of_mixed_white_space.__dict__.setdefault("encoder", bpe.WordEncoder(bpe.read_file()))
+    assert np.frombuffer(encoder.encode(text), "<i4").tolist() == reference.encode_ordinary(text)
+
+
 def test_long_pieces_merge_alike(ranks):
     rng = random.Random(3)
     for _ in range(20):
