@@ -97,3 +97,17 @@ def test_a_label_that_stays_short_is_compared_whole(spark, monkeypatch, block):
     monkeypatch.setattr(vectors, "shard_links", lambda shards, *_: shards.sparkSession.createDataFrame([], nothing))
     got = vectors.near_vectors(frame, Settings(block=block)).collect()
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == brute(rows)
+
+
+def test_the_audit_looks_at_every_label_and_grows(spark):
+    """One label of two has no links found; few of its vectors have any."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6_000, 16))
+    x[1::100] = x[::100]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(i, v.tolist(), 1, str(i // 3_000)) for i, v in enumerate(x)]
+    nodes = spark.createDataFrame(rows, "node long, x array<double>, m long, shard string")
+    found = spark.createDataFrame([(i, 1) for i in range(3_000)], "node long, links long")
+    by_label = {r.shard: r for r in vectors.audit_recall(nodes, found, Settings(audit=200, audit_root=20.0)).collect()}
+    assert by_label["0"].found == by_label["0"].true > 0
+    assert by_label["1"].found == 0 < by_label["1"].true
