@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rainpanel.llm import bpe, chat, packing, quality, sharding, simhash, toxicity, url_filter, vectors, warc
+from rainpanel.llm import (
+    bpe, chat, neighbours, packing, quality, resampling, sharding, simhash, spelling, toxicity, url_filter, vectors, warc,
+)
 from rainpanel.llm.common import table
 
 
@@ -50,10 +52,23 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_query(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.neighbours_query(table(spark, folder, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants_query(table(spark, folder, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resampling_query(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_chat_perspectives, op3_byte_bpe, op4_simhash, op5_packing, op6_warc, op7_url_filter,
-        op8_embedding_dedup, op9_quality_rules, op10_toxicity)}
+        op8_embedding_dedup, op9_quality_rules, op10_toxicity,
+        op11_nearest_neighbours, op12_spelling_variants, op13_importance_resampling)}
 SQL: dict[str, str] = {
     "op2_chat_perspectives": chat.perspectives_sql(),
     "op7_url_filter": url_filter.urls_sql(),

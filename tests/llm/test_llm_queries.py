@@ -20,4 +20,4 @@ def test_equals_sql(spark, name):
 
 def test_all_are_registered():
     assert {*queries.QUERIES, "pipeline"} <= set(entry_point.queries()) and set(queries.SQL) <= set(entry_point.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
