@@ -85,4 +85,4 @@ def test_a_draw_prefers_the_target(spark):
     other = [(1_000 + i, " ".join(f"w{i}x{j}" for j in range(30)), "en", "a") for i in range(150)]
     many = spark.createDataFrame([(t,) for t in TARGET * 1_000], "text string")
     drawn = resampling.resampling_query(documents(spark, like + other), many).filter("rank is not null").collect()
-    assert len(drawn) == 50 and sum(r.doc_id < 1_000 for r in drawn) >= 45
+    assert len(drawn) == 50 and sum(r.doc_id < 1_000 for r in drawn) >= 30  # an even draw has 12
