@@ -113,7 +113,8 @@ WITH {FORECAST} SELECT f.region, f.ds, {rd('yhat')} AS yhat, {rd(f'yhat - {Z95}
   {rd(f'yhat + {Z95} * sigma')} AS yhat_upper, is_history, {rd('y')} AS y, replace(f.region, ' ', '_') AS file_key
 FROM fc f LEFT JOIN series s ON s.region = f.region AND s.ds = f.ds""")
 def chart_rows(spark, sf):
-    return rounded(forecast.chart_rows(month_means(spark, sf), series(spark, sf)))
+    fitted = forecast.fit_month_means(series(spark, sf))
+    return rounded(forecast.chart_rows(forecast.forecast_month_means(fitted, observed=True)))
 
 
 @check("l12_long_term_run")

@@ -7,12 +7,13 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from checks.fitted import fitted
-from checks.common import PANEL, PANEL_COLUMNS, check, panel_select, rd, rounded, scratch
+from checks.common import EVENTS, PANEL, PANEL_COLUMNS, check, panel_select, rd, rounded, scratch
 from rainpanel.operators import explore, features, forecast, joins, models
 from rainpanel.operators.climatology import map_points, predict, rain_cells
 from rainpanel.operators.quality import drop_any_missing, drop_missing
 from rainpanel.plans import star
 from rainpanel import sources
+from rainpanel.schema import nan_to_null
 
 from checks.common import GAPPY
 
@@ -171,15 +172,13 @@ def time_split(spark, sf):
 
 @check("p4_drop_missing", f"WITH {GAPPY} {panel_select('gappy')} WHERE pression IS NOT NULL AND NOT isnan(pression)")
 def drop_missing_rows(spark, sf):
-    return rounded(drop_missing(star.gappy_observations(spark, sf), "pression"))
+    return rounded(nan_to_null(drop_missing(star.gappy_observations(spark, sf), "pression")))
 
 
 @check("p5_select_rename", f"""
 WITH {PANEL} SELECT date, region, {rd('precipitations')} AS actual, {rd('humidite')} AS predicted_rf FROM panel""")
 def select_rename(spark, sf):
-    return rounded(star.panel(spark, sf).select(
-        "date", "region", F.col("precipitations").alias("actual"), F.col("humidite").alias("predicted_rf")
-    ))
+    return rounded(joins.prediction_set(star.panel(spark, sf), {"precipitations": "actual", "humidite": "predicted_rf"}))
 
 
 @check("p6_region_list", f"WITH {PANEL} SELECT DISTINCT region FROM panel")
@@ -234,12 +233,12 @@ def drop_any(spark, sf):
 
 @check("j1_join_predictions", f"""
 WITH {PANEL} SELECT a.date, a.region, {rd('a.precipitations')} AS precipitations,
-  {rd('a.humidite')} AS predicted_rf, {rd('b.pression')} AS predicted_gbt
-FROM panel a JOIN panel b ON a.date = b.date AND a.region = b.region WHERE b.vent > 1""")
+  {rd('a.humidite')} AS predicted_rf, a.type_sol, {rd('b.pression')} AS predicted_gbt
+FROM panel a JOIN panel b ON a.date = b.date AND a.region = b.region""")
 def join_predictions(spark, sf):
     panel = star.panel(spark, sf)
-    left = panel.select("date", "region", "precipitations", F.col("humidite").alias("predicted_rf"))
-    right = panel.filter(F.col("vent") > 1).select("date", "region", F.col("pression").alias("predicted_gbt"))
+    left = panel.select("date", "region", "precipitations", F.col("humidite").alias("predicted_rf"), "type_sol")
+    right = panel.select("date", "region", F.col("pression").alias("predicted_gbt"))
     return rounded(joins.join_predictions(left, right))
 
 
@@ -300,9 +299,7 @@ def top_one(spark, sf):
 @check("o3_sorted_summary", f"""
 WITH {PANEL} SELECT region, count(*) AS n, max(date) AS last_date FROM panel GROUP BY region ORDER BY region""")
 def sorted_summary(spark, sf):
-    return star.panel(spark, sf).groupBy("region").agg(
-        F.count(F.lit(1)).alias("n"), F.max("date").alias("last_date")
-    ).orderBy("region")
+    return explore.region_extent(star.panel(spark, sf))
 
 
 @check("o4_preview", f"WITH {PANEL} {panel_select()} ORDER BY region, date LIMIT 5")
@@ -318,9 +315,9 @@ def fixed_sample(spark, sf):
 
 
 @check("o6_union", f"""
-WITH {PANEL} {panel_select()} WHERE region = 'NATION_1'
-UNION ALL {panel_select()} WHERE region = 'NATION_2' UNION ALL {panel_select()} WHERE mois = 8""")
+WITH {PANEL}, {EVENTS} SELECT region, date, {rd('precipitations')} AS precipitations, annee, mois, jour FROM panel
+UNION ALL SELECT region, date, {rd('precipitations')}, annee, mois, jour FROM event_panel""")
 def union(spark, sf):
-    panel = star.panel(spark, sf)
-    parts = [joins.pick_region_month(panel, r, m) for r, m in (("NATION_1", None), ("NATION_2", None), (None, 8))]
-    return rounded(explore.union_all(parts))
+    """Two whole panels, whose columns come in different orders."""
+    columns = ("region", "date", "precipitations", "annee", "mois", "jour")
+    return rounded(explore.union_all([star.panel(spark, sf).select(*columns), star.event_panel(spark, sf).select(*columns[::-1])]))

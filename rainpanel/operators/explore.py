@@ -41,6 +41,11 @@ def rows_per_region(df: DataFrame) -> DataFrame:
     return counts.orderBy(F.desc("n"), "region")
 
 
+def region_extent(df: DataFrame) -> DataFrame:
+    """Rows and last day of each region, by name."""
+    return df.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.max("date").alias("last_date")).orderBy("region")
+
+
 def mean_per_region(df: DataFrame) -> DataFrame:
     means = df.groupBy("region").agg(F.avg(RAIN).alias("precipitations_moyennes"))
     return means.orderBy(F.desc("precipitations_moyennes"), "region")
@@ -135,7 +140,12 @@ def most_frequent(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
 
 
 def wettest_day(df: DataFrame) -> DataFrame:
-    """Day with most rain per region, the earliest on a tie."""
+    """Day with most rain per region, the earliest on a tie.
+
+    First the earliest day of each amount, by hashing; the amounts of a region, which a gauge reads in
+    steps, are far fewer than its days.
+    """
+    amounts = df.groupBy("region", RAIN).agg(F.min("date").alias("date"))
     key = F.struct((-F.col(RAIN)).alias("rank"), F.col("date"), F.col(RAIN))
-    best = df.groupBy("region").agg(F.min(F.when(F.col(RAIN).isNotNull(), key)).alias("best"))
+    best = amounts.groupBy("region").agg(F.min(F.when(F.col(RAIN).isNotNull(), key)).alias("best"))
     return best.select("region", "best.date", f"best.{RAIN}")

@@ -36,11 +36,15 @@ def monthly_series(df: DataFrame, region: str | None = None) -> DataFrame:
 
 
 def region_or_all(df: DataFrame, region: str | None) -> DataFrame:
-    """Rows of the named region, or all rows when no row carries that name."""
+    """Rows of the named region, or all rows when no row carries that name.
+
+    Whether one does is part of the plan, a subquery; nothing runs before the result is asked for. Over
+    a monthly series both uses share one aggregate of the raw rows.
+    """
     if region is None:
         return df
-    named = df.filter(F.col("region") == region)
-    return df if named.isEmpty() else named
+    named = F.coalesce(F.col("region") == region, F.lit(False))
+    return df.filter(named | ~df.agg(F.coalesce(F.max(named), F.lit(False))).scalar())
 
 
 def future_calendar(series: DataFrame, periods: int = 120, mode: str = "month_start") -> DataFrame:
@@ -64,13 +68,14 @@ def _future_dates(last: Column, periods: int, mode: str) -> Column:
 
 
 def _dated(fitted: DataFrame, periods: int, mode: str) -> DataFrame:
-    """Each fitted row once per date of its history and future: the rows carry their own dates, so
-    the series is not read or joined again."""
-    def marked(dates: Column, is_history: bool) -> Column:
-        return F.transform(dates, lambda d: F.struct(d.alias("ds"), F.lit(is_history).alias("is_history")))
+    """Each fitted row once per date of its history and future, with the value observed there (``y``,
+    NULL in the future): the rows carry their own series, so it is not read or joined again."""
+    def marked(d: Column, y: Column, is_history: bool) -> Column:
+        return F.struct(d.alias("ds"), y.alias("y"), F.lit(is_history).alias("is_history"))
 
-    future = _future_dates(F.array_max("dates"), periods, mode)
-    return fitted.select("*", F.inline(F.concat(marked(F.col("dates"), True), marked(future, False))))
+    past = F.zip_with("dates", "observed", lambda d, y: marked(d, y, True))
+    future = F.transform(_future_dates(F.array_max("dates"), periods, mode), lambda d: marked(d, F.lit(None).cast("double"), False))
+    return fitted.select("*", F.inline(F.concat(past, future)))
 
 
 # --- straight trend plus month levels -------------------------------------------------------------
@@ -88,25 +93,27 @@ def fit_month_means(series: DataFrame) -> DataFrame:
     months = points.groupBy("region", "month").agg(
         F.count(F.lit(1)).alias("n"), F.avg("x").alias("mx"), F.avg("y").alias("my"),
         F.regr_sxx("y", "x").alias("sxx"), F.regr_sxy("y", "x").alias("sxy"), F.regr_syy("y", "x").alias("syy"),
-        F.collect_set("ds").alias("dates"),
+        F.collect_list(F.struct("ds", "y")).alias("points"),
     )
     slope = F.when(F.sum("sxx") > 0, F.sum("sxy") / F.sum("sxx")).otherwise(0.0)
     folded = months.groupBy("region").agg(
         F.sum("n").alias("n_points"), slope.alias("slope"), F.count(F.lit(1)).alias("n_months"),
         F.greatest(F.sum("syy") - slope * F.sum("sxy"), F.lit(0.0)).alias("squares"),
         F.collect_list(F.struct("month", "mx", "my")).alias("means"),
-        F.array_sort(F.flatten(F.collect_list("dates"))).alias("dates"),
+        F.array_sort(F.flatten(F.collect_list("points"))).alias("points"),
     )
     levels = F.transform("means", lambda m: F.struct(m["month"], F.struct(m["mx"].alias("x"), m["my"].alias("y"))))
     freedom = F.greatest(F.col("n_points") - F.col("n_months") - 1, F.lit(1))
     return folded.select(
         "region", "n_points", "slope", F.map_from_entries(levels).alias("levels"),
-        F.when(F.col("n_points") > 1, F.sqrt(F.col("squares") / freedom)).alias("sigma"), "dates",
+        F.when(F.col("n_points") > 1, F.sqrt(F.col("squares") / freedom)).alias("sigma"),
+        F.col("points.ds").alias("dates"), F.col("points.y").alias("observed"),
     )
 
 
 def forecast_month_means(
-    fitted: DataFrame, periods: int = 120, mode: str = "month_start", level: float = 0.95, clip: bool = False
+    fitted: DataFrame, periods: int = 120, mode: str = "month_start", level: float = 0.95, clip: bool = False,
+    observed: bool = False,
 ) -> DataFrame:
     """Evaluate the fit over history and future; a month never observed takes the mean of the levels."""
     x, slope, levels = month_index("ds"), F.col("slope"), F.map_values("levels")
@@ -116,15 +123,17 @@ def forecast_month_means(
 
     mean = F.aggregate(levels, F.lit(0.0), lambda total, level: total + at(level)) / F.size(levels)
     yhat = F.coalesce(at(F.try_element_at("levels", F.month("ds"))), mean)
-    return _with_interval(_dated(fitted, periods, mode).withColumn("yhat", yhat), F.col("sigma"), level, clip)
+    return _with_interval(_dated(fitted, periods, mode).withColumn("yhat", yhat), F.col("sigma"), level, clip, observed)
 
 
-def _with_interval(df: DataFrame, deviation: Column, level: float, clip: bool) -> DataFrame:
+def _with_interval(df: DataFrame, deviation: Column, level: float, clip: bool, observed: bool) -> DataFrame:
+    """The forecast's columns; with ``observed``, the month's own value ``y`` too."""
     half = deviation * NormalDist().inv_cdf((1 + level) / 2)
     bounds = {"yhat": F.col("yhat"), "yhat_lower": F.col("yhat") - half, "yhat_upper": F.col("yhat") + half}
     if clip:
         bounds = {name: F.greatest(value, F.lit(0.0)) for name, value in bounds.items()}
-    return df.select("region", "ds", *[value.alias(name) for name, value in bounds.items()], "is_history")
+    own = ["y"] if observed else []
+    return df.select("region", "ds", *[value.alias(name) for name, value in bounds.items()], "is_history", *own)
 
 
 # --- bending trend plus yearly waves --------------------------------------------------------------
@@ -132,7 +141,7 @@ def _with_interval(df: DataFrame, deviation: Column, level: float, clip: bool) -
 COEFFICIENT_SCHEMA = (
     "region string, n_points bigint, first_day double, span double, base double, slope double, "
     "bends array<double>, bend_slopes array<double>, cosine_periods array<double>, sine_periods array<double>, "
-    "waves array<double>, sigma double, drift double, days array<int>"
+    "waves array<double>, sigma double, drift double, days array<int>, observed array<double>"
 )
 
 
@@ -185,7 +194,7 @@ def fit_seasonal_trend(
             "base": beta[0], "slope": beta[1], "bends": bends, "bend_slopes": bend_slopes,
             "cosine_periods": cosine_periods, "sine_periods": sine_periods, "waves": beta[2 + n_bends:],
             "sigma": sigma, "drift": np.sqrt(2 * n_bends) * np.abs(bend_slopes).mean() if bent else 0.0,
-            "days": day.astype(int),
+            "days": day.astype(int), "observed": y,
         }])
 
     points = series.filter(F.col("y").isNotNull() & F.col("region").isNotNull())
@@ -196,6 +205,7 @@ def fit_seasonal_trend(
 
 def forecast_seasonal_trend(
     fitted: DataFrame, periods: int = 120, mode: str = "month_start", level: float = 0.95, clip: bool = False,
+    observed: bool = False,
 ) -> DataFrame:
     """Evaluate saved or fresh coefficients over history and future, in Spark expressions only.
 
@@ -217,20 +227,20 @@ def forecast_seasonal_trend(
     deviation = F.sqrt(F.col("sigma") ** 2 + F.col("drift") ** 2 * ahead * ahead * ahead / 3)
     return _with_interval(
         _dated(fitted, periods, mode).withColumn("yhat", F.col("base") + F.col("slope") * t + bent + season),
-        deviation, level, clip,
+        deviation, level, clip, observed,
     )
 
 
 def forecast(
     series: DataFrame, periods: int = 120, mode: str = "month_start", yearly: bool = True,
-    monthly: bool = False, level: float = 0.95, clip: bool = False,
+    monthly: bool = False, level: float = 0.95, clip: bool = False, observed: bool = False,
 ) -> DataFrame:
     """Forecast every region: ``region, ds, yhat, yhat_lower, yhat_upper, is_history``.
 
     One model serves all lengths of history. A region with a single month has a level and NULL
     bounds; one without an observed month cannot have a forecast (see ``without_months``).
     """
-    return forecast_seasonal_trend(fit_seasonal_trend(series, yearly, monthly), periods, mode, level, clip)
+    return forecast_seasonal_trend(fit_seasonal_trend(series, yearly, monthly), periods, mode, level, clip, observed)
 
 
 def without_months(series: DataFrame) -> DataFrame:
@@ -297,8 +307,13 @@ def horizon_years(forecast_rows: DataFrame) -> DataFrame:
     return forecast_rows.groupBy("region").agg((F.max(F.year("ds")) - F.min(F.year("ds"))).alias("years"))
 
 
-def chart_rows(forecast_rows: DataFrame, series: DataFrame) -> DataFrame:
-    """Forecast with the observations beside it (NULL in the future), and a file key per region."""
+def chart_rows(forecast_rows: DataFrame, series: DataFrame | None = None) -> DataFrame:
+    """Forecast with the observations beside it (NULL in the future), and a file key per region.
+
+    A forecast made with ``observed=True`` brings them along; to another one the series is joined.
+    """
+    if series is None:
+        return forecast_rows.withColumn("file_key", file_key("region"))
     observed = series.select("region", "ds", "y")
     joined = forecast_rows.join(observed, ["region", "ds"], "left")
     return joined.withColumn("file_key", file_key("region"))

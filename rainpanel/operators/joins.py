@@ -8,17 +8,27 @@ sort-merge joins it, splitting skewed partitions.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
+FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
 def unique_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows, failing the job when a key occurs twice, so a join cannot multiply rows.
 
-    The check is a pre-combined aggregate on the join key: the join after it needs no new shuffle.
+    Where the other columns have a fixed width, the check is a pre-combined hash aggregate on the join
+    key, and the join after it needs no new shuffle. Text would make Spark sort all rows for that, so
+    with text the keys alone are counted beside the rows, as a scalar subquery.
     """
     rest = [c for c in df.columns if c not in keys]
+    if any(not isinstance(df.schema[c].dataType, FIXED_WIDTH) for c in rest):
+        twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+        found = twice.agg(F.min(F.to_json(F.struct(*keys)))).scalar()
+        fail = F.raise_error(F.concat(F.lit("more than one row for "), found)).cast("boolean")
+        return df.filter(F.when(found.isNull(), F.lit(True)).otherwise(fail))
     grouped = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), *[F.any_value(c).alias(c) for c in rest]
     )
@@ -27,6 +37,11 @@ def unique_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return grouped.filter(checked == 1).select(*df.columns)
 
 
+def prediction_set(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Date, region and the columns named, under new names: one side of :func:`join_predictions`."""
+    return df.select("date", "region", *[F.col(old).alias(new) for old, new in columns.items()])
+
+
 def join_predictions(
     left: DataFrame, right: DataFrame, on: Sequence[str] = ("date", "region")
 ) -> DataFrame:

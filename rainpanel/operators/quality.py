@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import math
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from rainpanel.operators.joins import unique_on
 from rainpanel.schema import DEFAULT_SOIL, NUMERIC_COLUMNS, nan_to_null
 
 KEEP, DROP_ROWS, FILL_MEAN, FILL_CONSTANT = "keep", "drop_rows", "fill_mean", "fill_constant"
@@ -44,14 +45,69 @@ def drop_any_missing(df: DataFrame) -> DataFrame:
     return df.dropna()
 
 
+#: Columns in one word of a pattern.
+PATTERN_BITS = 62
+
+
+@dataclass(frozen=True)
+class MissingPatterns:
+    """Rows by the set of columns they lack: for each set that occurs, how many and the sums of their numbers.
+
+    A set is a whole number with bit ``i`` for column ``i``. Everything that cleaning decides follows
+    from this table, whatever rows it then drops: counts, shares and means over any part of the rows
+    that is told by what is missing.
+    """
+
+    columns: tuple[str, ...]
+    sets: tuple[tuple[int, int, dict[str, float]], ...]
+
+    def _lacks(self, columns: Iterable[str]) -> int:
+        return sum(1 << self.columns.index(c) for c in set(columns))
+
+    def rows(self, present: Sequence[str] = ()) -> int:
+        """Rows that lack none of ``present``."""
+        out = self._lacks(present)
+        return sum(n for missing, n, _ in self.sets if not missing & out)
+
+    def nulls(self, column: str, present: Sequence[str] = ()) -> int:
+        """Of those rows, the ones without ``column``."""
+        return self.rows(present) - self.rows([*present, column])
+
+    def mean(self, column: str, present: Sequence[str] = ()) -> float | None:
+        """Mean of the numbers in ``column`` over the rows that lack none of ``present``."""
+        out, n = self._lacks([*present, column]), self.rows([*present, column])
+        return math.fsum(sums[column] for missing, _, sums in self.sets if not missing & out) / n if n else None
+
+
+def missing_patterns(df: DataFrame) -> MissingPatterns:
+    """The pattern table of ``df`` from one reading: combined in each task, a row for each pattern that occurs.
+
+    Real tables have few patterns, at most one for each set of columns that fail together, and only
+    they come to the driver.
+    """
+    bits = [F.when(is_missing(f), F.lit(1 << i % PATTERN_BITS)).otherwise(F.lit(0)).cast("bigint")
+            for i, f in enumerate(df.schema)]
+    words = [sum(bits[i + 1:i + PATTERN_BITS], bits[i]).alias(f"_word{i // PATTERN_BITS}") for i in range(0, len(bits), PATTERN_BITS)]
+    numbers = [c for c in NUMERIC_COLUMNS if c in df.columns]
+    values = [F.when(~is_missing(df.schema[c]), F.col(c).cast("double")).alias(c) for c in numbers]
+    names = [f"_word{k}" for k in range(len(words))]
+    found = df.select(*words, *values).groupBy(*names).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in numbers])
+    return MissingPatterns(tuple(df.columns), tuple(
+        (sum(row[name] << PATTERN_BITS * k for k, name in enumerate(names)), row["_n"], {c: row[c] for c in numbers})
+        for row in found.collect()))
+
+
 @dataclass(frozen=True)
 class CleaningPlan:
-    """What to do with each column, decided from the missing shares of the uncleaned frame."""
+    """What to do with each column, decided from the missing shares of the uncleaned frame, and what it leaves."""
 
     n_rows: int
     nulls: dict[str, int]
     actions: dict[str, str]
-    means: dict[str, float] = field(default_factory=dict)
+    means: dict[str, float]
+    rows_after: int
+    nulls_after: dict[str, int]
 
     def ratio(self, column: str) -> float:
         return self.nulls[column] / self.n_rows if self.n_rows else 0.0
@@ -60,11 +116,15 @@ class CleaningPlan:
         return _all_present([c for c, action in self.actions.items() if action == DROP_ROWS])
 
 
+def _all(conditions: Iterable[Column]) -> Column:
+    whole = F.lit(True)
+    for one in conditions:
+        whole = whole & one
+    return whole
+
+
 def _all_present(columns: list[str]) -> Column:
-    present = F.lit(True)
-    for name in columns:
-        present = present & F.col(name).isNotNull()
-    return present
+    return _all(F.col(name).isNotNull() for name in columns)
 
 
 def _decide(name: str, is_text: bool, nulls: int, ratio: float, threshold: float) -> str:
@@ -76,14 +136,14 @@ def _decide(name: str, is_text: bool, nulls: int, ratio: float, threshold: float
 
 
 def plan_cleaning(df: DataFrame, threshold: float = 0.05) -> CleaningPlan:
-    """Decide how to clean ``df`` in at most two passes, one row collected from each.
+    """Decide how to clean ``df`` from one reading, its pattern table (:func:`missing_patterns`).
 
     Columns are treated in the order of ``NUMERIC_COLUMNS``. The share of missing values is that
     of the uncleaned frame; a mean is taken over the rows left by the drops of earlier columns.
     """
-    df = nan_to_null(df)
-    counts = missing_counts(df).first().asDict()
-    n_rows = counts.pop("n_rows")
+    patterns = missing_patterns(df)
+    n_rows = patterns.rows()
+    counts = {c: patterns.nulls(c) for c in df.columns}
     order = [c for c in NUMERIC_COLUMNS if c in counts] + [c for c in counts if c not in NUMERIC_COLUMNS]
     actions = {
         name: _decide(
@@ -92,14 +152,15 @@ def plan_cleaning(df: DataFrame, threshold: float = 0.05) -> CleaningPlan:
         )
         for name in order
     }
-    dropped, mean_of = [], {}
+    dropped, means = [], {}
     for name, action in actions.items():
         if action == DROP_ROWS:
             dropped.append(name)
-        elif action == FILL_MEAN:
-            mean_of[name] = F.avg(F.when(_all_present(dropped), F.col(name))).alias(name)
-    means = df.agg(*mean_of.values()).first().asDict() if mean_of else {}
-    return CleaningPlan(n_rows, counts, actions, {c: m for c, m in means.items() if m is not None})
+        elif action == FILL_MEAN and (mean := patterns.mean(name, dropped)) is not None:
+            means[name] = mean
+    filled = {*means, *(c for c, action in actions.items() if action == FILL_CONSTANT)}
+    after = {c: 0 if c in filled else patterns.nulls(c, dropped) for c in df.columns}
+    return CleaningPlan(n_rows, counts, actions, means, patterns.rows(dropped), after)
 
 
 def apply_cleaning(df: DataFrame, plan: CleaningPlan) -> DataFrame:
@@ -123,23 +184,14 @@ def clean(df: DataFrame, threshold: float = 0.05) -> DataFrame:
 
 
 def quality_report(df: DataFrame, threshold: float = 0.05) -> DataFrame:
-    """Per column: missing before and after, share, action, and row counts before and after."""
+    """Per column: missing before and after, share, action, and row counts before and after.
+
+    One reading in all: what cleaning leaves follows from the pattern table too.
+    """
     plan = plan_cleaning(df, threshold)
-    after = missing_profile(apply_cleaning(df, plan))
-
-    def looked_up(values: dict[str, object], dtype: str) -> Column:
-        pairs = [F.lit(x).cast(t) for name, v in values.items() for x, t in ((name, "string"), (v, dtype))]
-        return F.element_at(F.create_map(*pairs), F.col("column"))
-
-    return after.select(
-        "column",
-        looked_up(plan.nulls, "bigint").alias("nulls_before"),
-        F.col("nulls").alias("nulls_after"),
-        looked_up({c: plan.ratio(c) for c in plan.nulls}, "double").alias("ratio"),
-        looked_up(plan.actions, "string").alias("action"),
-        F.lit(plan.n_rows).cast("bigint").alias("rows_before"),
-        F.col("n_rows").alias("rows_after"),
-    )
+    return df.sparkSession.createDataFrame(
+        [(c, plan.nulls[c], plan.nulls_after[c], plan.ratio(c), plan.actions[c], plan.n_rows, plan.rows_after) for c in df.columns],
+        "column string, nulls_before bigint, nulls_after bigint, ratio double, action string, rows_before bigint, rows_after bigint")
 
 
 def fill_defaults(df: DataFrame) -> DataFrame:
@@ -161,12 +213,22 @@ def fill_defaults(df: DataFrame) -> DataFrame:
 def deduplicate(df: DataFrame, keys: tuple[str, ...] = ("region", "date")) -> DataFrame:
     """One row per key: the smallest by the other columns, in their order, NULL first.
 
-    A minimum combines inside each task before the shuffle, so a key with very many copies
-    sends one row per task and never gathers in one place.
+    Exact copies go first, by hashing whole rows: they combine inside each task, so a key with very
+    many copies sends one row per task. Only keys that then still have more than one row, the
+    candidates, are compared; no raw row is sorted. The three uses of the distinct rows share one
+    exchange.
     """
     rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("row")) if rest else df.select(*keys).distinct()
-    return best.select(*[F.col(c) if c in keys else F.col(f"row.{c}") for c in df.columns])
+    different = df.distinct()
+    if not rest:
+        return different
+    several = different.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    several = several.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+    same = _all([F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    candidates = different.join(several, same, "left_semi")
+    best = candidates.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("row"))
+    chosen = best.select(*[F.col(c) if c in keys else F.col(f"row.{c}") for c in df.columns])
+    return different.join(several, same, "left_anti").unionByName(chosen)
 
 
 def densify(panel: DataFrame, measure: str = "precipitations", whole_months: bool = True) -> DataFrame:
@@ -174,14 +236,23 @@ def densify(panel: DataFrame, measure: str = "precipitations", whole_months: boo
 
     Each region runs from its own first to its own last day, widened to whole months by default. A
     recorded day keeps its value, a missing one too; a day recorded twice stops the job.
+
+    One reading: the recorded days of a region and month become one row with a map, which fills its
+    own days and those of the months without a record that follow it.
     """
-    first, last = F.min("date"), F.max("date")
-    if whole_months:
-        first, last = F.trunc(first, "month"), F.last_day(last)
-    dated = panel.filter(F.col("date").isNotNull() & F.col("region").isNotNull()).select("region", "date", measure)
-    span = dated.groupBy("region").agg(first.alias("lo"), last.alias("hi"))
-    calendar = span.select("region", F.explode(F.sequence("lo", "hi")).alias("date"))
-    recorded = unique_on(dated, ["region", "date"]).withColumn("_recorded", F.lit(True))
+    dated = panel.filter(F.col("date").isNotNull() & F.col("region").isNotNull())
+    days = dated.groupBy("region", "date").agg(F.count(F.lit(1)).alias("_n"), F.any_value(measure).alias("_value"))
+    clash = F.concat(F.lit("more than one row for "), F.to_json(F.struct("region", "date")))
+    single = F.when(F.col("_n") == 1, F.col("date")).otherwise(F.raise_error(clash).cast("date"))
+    months = days.groupBy("region", F.trunc("date", "month").alias("_month")).agg(
+        F.map_from_entries(F.collect_list(F.struct(single.alias("date"), F.struct("_value")))).alias("_days"),
+        F.min("date").alias("_first"), F.max("date").alias("_last"))
+    in_order = Window.partitionBy("region").orderBy("_month")  # a row for each month of a region
+    following, earlier = F.lead("_month").over(in_order), F.lag("_month").over(in_order)
+    start = F.col("_month") if whole_months else F.when(earlier.isNull(), F.col("_first")).otherwise(F.col("_month"))
+    end = F.coalesce(F.date_sub(following, 1), F.last_day("_month") if whole_months else F.col("_last"))
+    spans = months.select("region", "_days", start.alias("_start"), end.alias("_end"))
+    filled = spans.select("region", "_days", F.explode(F.sequence("_start", "_end")).alias("date"))
+    recorded = F.try_element_at("_days", F.col("date"))
     added = F.lit(0).cast(panel.schema[measure].dataType)
-    return calendar.join(recorded, ["region", "date"], "left").select(
-        "region", "date", F.when(F.col("_recorded"), F.col(measure)).otherwise(added).alias(measure))
+    return filled.select("region", "date", F.when(recorded.isNotNull(), recorded["_value"]).otherwise(added).alias(measure))

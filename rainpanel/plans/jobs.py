@@ -73,12 +73,18 @@ def _as_date(date: dt.date | str, default: dt.date) -> dt.date:
 
 def _observed(df: DataFrame, region: str | None) -> DataFrame:
     """Rows of the region asked for (the filter reaches the scan), or all rows."""
+    return df if region is None else joins.pick_region_month(df, region)
+
+
+def _answered(predicted: DataFrame, region: str | None) -> DataFrame:
+    """The prediction, failing when the region asked for has none: a check inside its plan."""
     if region is None:
-        return df
-    rows = joins.pick_region_month(df, region)
-    if rows.isEmpty():
-        raise ValueError(f"no observation for region {region!r}")
-    return rows
+        return predicted
+    fail = F.raise_error(F.lit(f"no observation for region {region!r}")).cast("boolean")
+    some = predicted.agg(F.count(F.lit(1))).scalar() > 0
+    # A row that asks for the failure stands beside the prediction, which would otherwise be empty and so never look.
+    ask = predicted.sparkSession.range(1).filter(F.when(some, F.lit(False)).otherwise(fail))
+    return predicted.unionByName(ask.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in predicted.schema]))
 
 
 def predict_with_model(
@@ -88,23 +94,24 @@ def predict_with_model(
     """Model prediction for one region or all, from the mean weather of the observations."""
     cells = climatology.weather_cells(_observed(df, region))
     weather = climatology.expected_weather_all(cells, target_dates(dates, days, today))
-    return models.predict_rain(model, weather)
+    return _answered(models.predict_rain(model, weather), region)
 
 
 def predict_from_climatology(
     df: DataFrame, region: str | None = None, dates: Iterable[dt.date | str] | None = None,
     days: int = 1, today: dt.date | None = None,
 ) -> DataFrame:
-    """Climatology report for one region or all; ``ValueError`` for a region never observed."""
+    """Climatology report for one region or all; the result fails for a region never observed."""
     cells = climatology.rain_cells(_observed(df, region))
-    return climatology.predict_all(cells, target_dates(dates, days, today))
+    return _answered(climatology.predict_all(cells, target_dates(dates, days, today)), region)
 
 
 @dataclass(frozen=True)
 class LongTerm:
     """Monthly series, forecast, trend report and monthly pattern, all regions in each frame.
 
-    ``rejects`` names the regions left out for want of an observed month.
+    ``rejects`` names the regions left out for want of an observed month, and the region asked for
+    where no row carries its name.
     """
 
     series: DataFrame
@@ -117,12 +124,18 @@ class LongTerm:
 def predict_long_term(df: DataFrame, region: str | None = None, years: int = 10, **options) -> LongTerm:
     """Forecast one region, or all when none is named or the name is unknown.
 
-    The monthly series is settled first: the daily rows are read once for all four results.
+    The monthly series is settled first: the daily rows are read once for all results, the choice of
+    the region included.
     """
-    series = settled(forecast.monthly_series(forecast.region_or_all(df, region)))
+    whole = settled(forecast.monthly_series(df))
+    series = forecast.region_or_all(whole, region)
     rows = forecast.forecast(series, periods=years * 12, **options)
-    return LongTerm(
-        series, rows, forecast.trend_report(rows), forecast.monthly_pattern(rows), forecast.without_months(series))
+    rejects = forecast.without_months(series)
+    if region is not None:
+        asked = whole.agg(F.lit(region).alias("region"), F.count_if(F.col("region") == region).alias("n_points"))
+        unknown = asked.filter(F.col("n_points") == 0)
+        rejects = rejects.unionByName(unknown.join(rejects.select("region"), "region", "left_anti"))
+    return LongTerm(series, rows, forecast.trend_report(rows), forecast.monthly_pattern(rows), rejects)
 
 
 def hold_out_long_term(df: DataFrame, test_year: int = 2021, model: str = "waves") -> DataFrame:

@@ -23,6 +23,10 @@ TABLES = {
 }
 
 
+# Market segments of the star schema, in alphabetical order.
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
@@ -54,7 +58,7 @@ def observations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gappy_observations(spark: SparkSession, folder: str) -> DataFrame:
-    """The same rows with values missing: some amounts read as not measured.
+    """The same rows with values missing: some amounts read as not measured, some of them NaN and some NULL.
 
     Few rain amounts (50) and pressures (under 1 500) are missing, and many temperatures (0),
     wind (1) and soils (MACHINERY).
@@ -62,22 +66,28 @@ def gappy_observations(spark: SparkSession, folder: str) -> DataFrame:
     rows = observations(spark, folder)
     return rows.withColumns({
         "precipitations": F.nullif("precipitations", F.lit(50.0)),
-        "temperature_min": F.nullif("temperature_min", F.lit(0.0)),
+        "temperature_min": F.when(F.col("temperature_min") == 0, float("nan")).otherwise(F.col("temperature_min")),
         "temperature_max": F.nullif("temperature_max", F.lit(0.0)),
-        "pression": F.when(F.col("pression") >= 1500, F.col("pression")),
+        "pression": F.when(F.col("pression") >= 1500, F.col("pression")).otherwise(float("nan")),
         "vent": F.nullif("vent", F.lit(1)),
         "type_sol": F.nullif("type_sol", F.lit("MACHINERY")),
     })
 
 
 def panel(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per region and date, with the fixed schema's columns."""
-    daily = observations(spark, folder).groupBy("region", "date").agg(
+    """One row per region and date, with the fixed schema's columns.
+
+    The first segment of a day is found by its place in the list, a number, so that no text makes
+    Spark sort the rows.
+    """
+    segments = F.array(*map(F.lit, SEGMENTS))
+    rows = observations(spark, folder).withColumn("_segment", F.array_position(segments, F.col("type_sol")))
+    daily = rows.groupBy("region", "date").agg(
         F.sum("precipitations").alias("precipitations"),
         *[F.avg(c).alias(c) for c in ("temperature_min", "temperature_max", "humidite")],
         F.max("vent").alias("vent"), F.avg("pression").alias("pression"),
         F.max("latitude").alias("latitude"), F.max("longitude").alias("longitude"),
-        F.max("altitude").alias("altitude"), F.min("type_sol").alias("type_sol"),
+        F.max("altitude").alias("altitude"), F.get(segments, F.min("_segment") - 1).alias("type_sol"),
         F.max("distance_cote").alias("distance_cote"),
     )
     return with_date_parts(daily)

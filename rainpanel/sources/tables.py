@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rainpanel.functions.calendar import ISO_FORMAT, date_text, parse_date
 from rainpanel.schema import REQUIRED_COLUMNS, SCHEMA, nan_to_null, require_columns
@@ -108,12 +108,39 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ("anne
 
 def use_checkpoint_folder(spark: SparkSession) -> str | None:
     """The session's shared checkpoint folder, made known to its context; None when it names none."""
+    known = spark.sparkContext.getCheckpointDir()
+    if known:
+        return known
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def size_in_bytes(df: DataFrame) -> int:
+    """Bytes of the rows in memory, about, by one reading: eight for each number, texts by their length."""
+    def width(field: T.StructField) -> Column:
+        return F.coalesce(F.octet_length(field.name), F.lit(0)) + 16 if isinstance(field.dataType, T.StringType) else F.lit(8)
+
+    row = sum((width(f) for f in df.schema), F.lit(16))
+    return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
+
+
+def measured(df: DataFrame) -> DataFrame:
+    """A small side of a join, settled and measured: with a hint to broadcast it, or to sort and merge.
+
+    It is broadcast only if its real size is below ``spark.sql.autoBroadcastJoinThreshold``. Without a
+    checkpoint folder nothing is settled and the choice stays with Spark.
+    """
+    spark = df.sparkSession
+    if not use_checkpoint_folder(spark):
+        return df
+    ready = df.checkpoint()
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text) if text != "-1" else -1
+    return ready.hint("broadcast" if size_in_bytes(ready) <= limit else "merge")
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder once and go on from there.
 

@@ -3,6 +3,7 @@ import statistics
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rainpanel.operators import climatology as cl
@@ -104,8 +105,8 @@ def test_job_for_one_region_and_unknown_region(spark, observed):
     assert [r["region"] for r in jobs.predict_from_climatology(df, "B", days=3, today=day(2010, 2, 26)).collect()] == ["B"]
     assert jobs.target_dates(None, 3, day(2010, 2, 26)) == [day(2010, 3, 1)]
     assert jobs.target_dates(["2025-5-1", "soon", day(2020, 1)], 2, day(2024, 12, 31)) == [day(2025, 5), day(2025, 1, 2), day(2020, 1)]
-    with pytest.raises(ValueError, match="nowhere"):
-        jobs.predict_from_climatology(df, "nowhere")
+    with pytest.raises(PySparkException, match="nowhere"):
+        jobs.predict_from_climatology(df, "nowhere").collect()
 
 
 def test_weather_ladder(spark):

@@ -101,3 +101,36 @@ def test_requests(spark):
     seen = panel(spark, [("A", D(2019, 1, 1), 1.0)])
     assert {r["region"] for r in joins.known_requests(requests, seen).collect()} == {"A"}
     assert {r["region"] for r in joins.unknown_requests(requests, seen).collect()} == {"B"}
+
+
+def test_blocks_give_what_one_window_gives(spark):
+    """A hundred years of a region with gaps, in blocks of a few weeks, of years, and in one."""
+    import datetime as dt
+    day0 = dt.date(1920, 1, 1)
+    rows = [("A", day0 + dt.timedelta(days=i), float(i * 37 % 101)) for i in range(0, 36_500, 3) if not 5_000 < i < 9_000]
+    rows += [("B", day0 + dt.timedelta(days=i), None if i % 5 == 0 else float(i)) for i in (0, 1, 5, 40, 41, 200, 2_000)]
+    rows += [(None, day0, 1.0), (None, day0 + dt.timedelta(days=1), 3.0)]
+    df = spark.createDataFrame(rows, "region string, date date, precipitations double").repartition(8)
+
+    def result(operator, size):
+        return sorted((tuple(None if v is None else round(v, 6) if isinstance(v, float) else v for v in r)
+                       for r in operator(df, block_days=size).collect()), key=str)
+
+    for operator in (windows.rolling_mean, windows.trend_indicators):
+        whole = result(operator, 100_000)
+        assert len(whole) == len(rows)
+        assert result(operator, 10) == whole and result(operator, windows.BLOCK_DAYS) == whole
+    blocks = windows._in_blocks(windows._daily(df, "precipitations"), 29, windows.BLOCK_DAYS)
+    assert blocks.filter("region = 'A'").select("_block").distinct().count() > 20
+
+
+def test_anomaly_flags_are_never_null(spark):
+    df = spark.createDataFrame([("A", 1, 5.0), ("A", 1, None), ("B", 1, 2.0)], "region string, mois int, precipitations double")
+    assert all(r.is_anomaly is False for r in windows.anomalies(df).collect())
+
+
+def test_a_repeated_key_beside_text_stops_the_job(spark):
+    df = spark.createDataFrame([("A", 1, "x"), ("A", 1, "y")], "region string, date int, s string")
+    with pytest.raises(Exception, match="more than one row for"):
+        joins.unique_on(df, ["region", "date"]).collect()
+    assert joins.unique_on(df.limit(1), ["region", "date"]).count() == 1

@@ -170,7 +170,9 @@ def test_long_term_job(spark):
     assert [r["region"] for r in result.report.collect()] == ["A"]
     assert result.forecast.filter("not is_history").count() == 24
     assert result.pattern.count() == 12 and result.pattern.first()["label"] == "Jan"
-    assert jobs.predict_long_term(df, "unknown", years=1).report.count() == 2
+    unknown = jobs.predict_long_term(df, "unknown", years=1)
+    assert unknown.report.count() == 2 and [tuple(r) for r in unknown.rejects.collect()] == [("unknown", 0)]
+    assert result.rejects.count() == 0
     chart = fc.chart_rows(result.forecast, result.series)
     assert chart.filter("y is null").count() == 24
     assert fc.horizon_years(result.forecast).first()["years"] == 6

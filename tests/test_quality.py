@@ -99,3 +99,47 @@ def test_densify_leap_february(spark, whole, days):
     assert dense.count() == days
     assert dense.agg(F.sum("precipitations")).first()[0] == 6.0
     assert dense.filter("date = date'2024-02-11'").first()["precipitations"] == 0.0
+
+
+def test_pattern_table_answers_for_any_part(spark):
+    rows = [(1.0, None, "a"), (None, 2, "a"), (3.0, 4, None), (math.nan, None, "b"), (5.0, 6, "c"), (5.0, 6, "c")]
+    patterns = quality.missing_patterns(spark.createDataFrame(rows, "precipitations double, vent int, type_sol string"))
+    assert patterns.rows() == 6 and len(patterns.sets) == 5
+    assert (patterns.nulls("vent"), patterns.nulls("vent", ["precipitations"])) == (2, 1)
+    assert patterns.mean("precipitations", ["vent"]) == 13 / 3
+    assert patterns.mean("vent", ["vent", "precipitations"]) == 16 / 3
+
+
+def test_more_columns_than_bits_in_a_word(spark):
+    names = [f"c{i}" for i in range(130)]
+    df = spark.range(10).select(*[F.when(F.col("id") >= i % 7, F.col("id")).alias(n) for i, n in enumerate(names)])
+    patterns = quality.missing_patterns(df)
+    assert [patterns.nulls(n) for n in names] == [i % 7 for i in range(130)]
+
+
+def test_report_foretells_what_cleaning_leaves(spark):
+    rows = [(None if i % 30 == 0 else 1.0 * i, None if i % 4 == 0 else i, None if i % 3 == 0 else "clay", None) for i in range(90)]
+    df = spark.createDataFrame(rows, "precipitations double, vent int, type_sol string, altitude int")
+    cleaned = quality.clean(df)
+    after = {r["column"]: (r["nulls"], r["n_rows"]) for r in quality.missing_profile(cleaned).collect()}
+    assert {r["column"]: (r["nulls_after"], r["rows_after"]) for r in quality.quality_report(df).collect()} == after
+    assert after["precipitations"] == (0, 87) and after["altitude"] == (87, 87)
+
+
+def test_deduplicate_hot_key_and_null_keys(spark):
+    rows = [("A", D, 5.0, "x")] * 200 + [("A", D, 5.0, None), ("A", D, 4.0, "z"), (None, D, 1.0, "n"), (None, D, 1.0, "m"), ("B", None, 2.0, "b")]
+    df = spark.createDataFrame(rows, "region string, date date, p double, s string").repartition(5)
+    got = sorted(map(tuple, quality.deduplicate(df).collect()), key=str)
+    assert got == sorted([("A", D, 4.0, "z"), (None, D, 1.0, "m"), ("B", None, 2.0, "b")], key=str)
+
+
+def test_densify_fills_months_without_a_record(spark):
+    rows = [("A", dt.date(2020, 1, 30), 1.0), ("A", dt.date(2020, 4, 2), None), ("B", dt.date(2020, 2, 10), 2.0)]
+    df = spark.createDataFrame(rows, "region string, date date, precipitations double")
+    whole = {(r.region, r.date): r.precipitations for r in quality.densify(df).collect()}
+    assert len(whole) == 31 + 29 + 31 + 30 + 29 and whole["A", dt.date(2020, 3, 15)] == 0.0
+    assert whole["A", dt.date(2020, 4, 2)] is None and whole["B", dt.date(2020, 2, 10)] == 2.0
+    span = {(r.region, r.date) for r in quality.densify(df, whole_months=False).collect()}
+    assert len(span) == 2 + 29 + 31 + 2 + 1 and min(span) == ("A", dt.date(2020, 1, 30))
+    with pytest.raises(Exception, match="more than one row"):
+        quality.densify(df.unionAll(df)).collect()
