@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,154 +16,159 @@ from pyspark.sql import types as T
 from rainpanel.llm.common import settled
 
 #: Labelled documents that may become examples, chosen by a hash of their id: the documented bound.
-MAX_EXAMPLES = 20_000
-#: Terms of the vector space: the most telling ones, by a likelihood-ratio test on the examples.
-MAX_TERMS = 4_096
+MAX_EXAMPLES = 10_000
 NEIGHBOURS = 25
 BLOCK = 64
 #: Blocks that a search opens first.
-OPENED = 12
+OPENED = 8
 CUT = 0.7
-PREFIX = 6
+#: Longer words also count by their first letters.
+PREFIX = 7
+#: What a term without telling power keeps of its weight.
+FLOOR = 0.1
+#: Added to a neighbour's distance before its vote is divided by it, so a copy outweighs a crowd.
+NEARNESS = 0.01
 #: What the votes of neighbours must outweigh.
 DOUBT = 0.5
+#: Bytes of text that are split at once.
+SPLIT = 6_000_000
 
-_WORD = re.compile(r"[^\W\d_]+")
-
-
-def terms_of(text: str | None) -> Counter:
-    """Counts of lower-case words, and of the first letters of longer ones (marked with ``*``)."""
-    words = Counter(_WORD.findall((text or "").lower()))
-    stems: Counter = Counter()
-    for word, n in words.items():
-        if len(word) > PREFIX:
-            stems[word[:PREFIX] + "*"] += n
-    words.update(stems)
-    return words
-
-
-class Vocabulary:
-    """Finds the terms of a fixed list in whole texts, remembering which tokens hold none."""
-
-    def __init__(self, terms: Sequence[str], remembered: int = 400_000):
-        self.index, self.remembered = {t: i for i, t in enumerate(terms)}, remembered
-        self.bare: set[str] = set()
-
-    def _terms(self, token: str) -> list[int]:
-        """Terms of a token between blanks; such a token may hold several words."""
-        index, found = self.index, []
-        for word in _WORD.findall(token):
-            if word in index:
-                found.append(index[word])
-            if len(word) > PREFIX and (stem := word[:PREFIX] + "*") in index:
-                found.append(index[stem])
-        return found
-
-    def counts(self, text: str | None) -> dict[int, int]:
-        tokens = (text or "").lower().split()
-        result: dict[int, int] = {}
-        often = None
-        for token in set(tokens) - self.bare:
-            if found := self._terms(token):
-                often = often or Counter(tokens)
-                for term in found:
-                    result[term] = result.get(term, 0) + often[token]
-            else:
-                if len(self.bare) >= self.remembered:
-                    self.bare.clear()
-                self.bare.add(token)
-        return result
-
-
-def unit_vector(counts: dict[int, int], idf: np.ndarray) -> tuple[tuple[int, float], ...]:
-    """(term, weight) pairs in term order, of length 1; empty without terms."""
-    weights = [(t, (1 + math.log(n)) * float(idf[t])) for t, n in sorted(counts.items())]
-    norm = math.sqrt(sum(w * w for _, w in weights))
-    return tuple((t, round(w / norm, 9)) for t, w in weights) if norm else ()
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Different lower-case words (runs of letters) of the texts, and the word and text of each occurrence."""
+    lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"[^\p{L}]+")
+    coded = lists.flatten().dictionary_encode()
+    word, owner = coded.indices.to_numpy(zero_copy_only=False), pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
+    real = pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False)[word]
+    return coded.dictionary, word[real], owner[real]
+
+
+def stems_of(words: pa.Array) -> pa.Array:
+    """The first letters of longer words, marked with ``*``; NULL for the others."""
+    stems = pc.binary_join_element_wise(pc.utf8_slice_codeunits(words, 0, PREFIX), "*", "")
+    return pc.if_else(pc.greater(pc.utf8_length(words), PREFIX), stems, pa.scalar(None, pa.string()))
+
+
+def counted_terms(texts: pa.Array, terms: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, term number and count of every term (of the sorted-out list ``terms``) in every text, in this order."""
+    words, word, owner = words_of(texts)
+    if not len(terms) or not len(word):
+        return (np.zeros(0, dtype=np.int64),) * 3
+    numbers = []
+    for names in (words, stems_of(words)):
+        found = pc.fill_null(pc.index_in(names, value_set=terms, skip_nulls=True), -1).to_numpy(zero_copy_only=False)[word]
+        numbers.append(owner[found >= 0].astype(np.int64) * len(terms) + found[found >= 0])
+    keys, counts = np.unique(np.concatenate(numbers), return_counts=True)
+    return keys // len(terms), keys % len(terms), counts
+
+
+def parts_of(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """The texts of a batch, a bounded number of bytes at a time, with the place of the first."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.unique(np.append(np.nonzero(np.diff(ends // SPLIT, prepend=0))[0], [0, len(texts)]))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        yield a, texts.slice(a, b - a)
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The whole numbers from each start on, so many of each."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + size, size)
 
 
 class BlockMaxIndex:
-    """Inverted lists over different example vectors, cut into blocks that know their largest weight.
+    """Inverted lists over example vectors, cut into blocks of examples that know each term's largest weight.
 
-    Vectors are sorted, so that a block holds like ones. A query adds up each block's largest
-    possible score and opens blocks in falling order of it; it ends when no closed block can reach
-    the k-th best score found, so the result is that of comparing with every vector.
+    A query adds up the largest possible score of each block and opens blocks in falling order of it,
+    reading only their parts of the lists; it ends when no closed block can reach the k-th best score
+    found, so the result is that of comparing with every vector.
     """
 
-    def __init__(self, vectors: Sequence[tuple[tuple[int, float], ...]], block: int = BLOCK):
-        self.block, self.size = block, len(vectors)
-        self.blocks = -(-self.size // block)
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for i, vector in enumerate(vectors):
-            for t, w in vector:
-                lists.setdefault(t, []).append((i, w))
-        self.lists = {}
-        for t, found in lists.items():
-            ids = np.array([i for i, _ in found], dtype=np.int32)
-            weights = np.array([w for _, w in found])
-            at, first = np.unique(ids // block, return_index=True)
-            self.lists[t] = (ids, weights, at, np.append(first, len(ids)), np.maximum.reduceat(weights, first))
-
-    def nearest(self, vector: tuple[tuple[int, float], ...], k: int) -> list[tuple[float, int]]:
-        """The k best (cosine, vector number); of equals, the lower number."""
-        known = [(w, self.lists[t]) for t, w in vector if t in self.lists]
-        if not known:
-            return []
-        at = np.concatenate([e[2] for _, e in known])
-        bound = np.bincount(at, np.concatenate([w * e[4] for w, e in known]), self.blocks)
-        ids = np.concatenate([e[0] for _, e in known])
-        weights = np.concatenate([w * e[1] for w, e in known])
+    def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, size: int, n_terms: int, block: int = BLOCK):
+        self.block, self.size, self.blocks = block, size, -(-size // block)
+        order = np.lexsort((example, term))
+        self.example, self.weight, term = example[order].astype(np.int32), weight[order].astype(np.float32), term[order]
+        at = self.example // block
+        self.start = np.nonzero(np.append(True, (term[1:] != term[:-1]) | (at[1:] != at[:-1])))[0] if len(term) else np.zeros(0, int)
+        self.count = np.diff(np.append(self.start, len(term)))
+        self.at = at[self.start]
+        self.most = np.maximum.reduceat(self.weight, self.start) if len(term) else np.zeros(0, np.float32)
+        self.first = np.searchsorted(term[self.start], np.arange(n_terms + 1))
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and cosines of the k best vectors; of equals, the lower number."""
+        a, n = self.first[term], self.first[term + 1] - self.first[term]
+        part, w = _ranges(a, n), np.repeat(weight, n)
+        if not len(part):
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
+        at = self.at[part]
+        bound = np.bincount(at, w * self.most[part], self.blocks)
         closed, found, scores = bound > 0, np.zeros(0, dtype=np.int64), np.zeros(0)
         least = float(np.partition(bound, -min(OPENED, self.blocks))[-min(OPENED, self.blocks)])
         while True:
-            opened = closed & (bound >= least - 1e-9)
+            opened = closed & (bound >= least - 1e-6)
             if not opened.any():
                 break
             closed &= ~opened
-            inside = opened[ids // self.block]
-            total = np.bincount(ids[inside], weights[inside], self.size)
+            inside = opened[at]
+            count = self.count[part[inside]]
+            place = _ranges(self.start[part[inside]], count)
+            total = np.bincount(self.example[place], np.repeat(w[inside], count) * self.weight[place], self.size)
             new = np.nonzero(total)[0]
-            found, scores = np.append(found, new), np.append(scores, np.round(total[new], 9))
+            found, scores = np.append(found, new), np.append(scores, np.round(total[new], 6))
             # Only blocks that can still reach the k-th best stay of interest.
             least = float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
         best = np.lexsort((found, -scores))[:k]
-        return [(float(scores[i]), int(found[i])) for i in best]
+        return found[best], scores[best]
 
 
 class Model:
-    """What scoring needs, all of it bounded by the numbers of examples and of terms."""
-
-    def __init__(self, terms: list[str], idf: np.ndarray, examples: list[tuple[int | None, int, dict[int, int]]],
-                 bare_rate: float, neighbours: int = NEIGHBOURS):
-        self.vocabulary, self.terms, self.idf = Vocabulary(terms), terms, idf
-        self.bare_rate, self.neighbours = bare_rate, neighbours
-        votes: dict[tuple, list] = {}
-        for doc, toxic, counts in examples:
-            if vector := unit_vector(counts, idf):
-                vote = votes.setdefault(vector, [0, 0, doc])
+    """What scoring needs, all of it bounded by the examples and their words.
+
+    ``examples`` are (id, label, term numbers, counts) of the labelled texts; all their words and stems
+    are terms. A term weighs more the rarer it is among all documents and the likelier its examples are
+    toxic; none is left out.
+    """
+
+    def __init__(self, terms: pa.Array, weight: np.ndarray, examples: pa.Table, bare_rate: float, neighbours: int = NEIGHBOURS):
+        self.terms, self.weight, self.bare_rate, self.neighbours = terms, weight, bare_rate, neighbours
+        votes: dict[bytes, list] = {}
+        columns = [examples.column(c).to_pylist() for c in ("doc_id", "toxic")]
+        lists = [examples.column(c).combine_chunks() for c in ("terms", "counts")]
+        for i, (doc, toxic) in enumerate(zip(*columns, strict=True)):
+            term, count = (c[i].values.to_numpy(zero_copy_only=False) for c in lists)
+            if len(term):
+                vote = votes.setdefault(term.tobytes() + count.tobytes(), [0, 0, doc, term, count])
                 vote[0] += 1
                 vote[1] += toxic
-                vote[2] = doc if vote[2] is None else min(vote[2], doc) if doc is not None else vote[2]
-        self.vectors = sorted(votes)
-        self.all = np.array([votes[v][0] for v in self.vectors], dtype=float)
-        self.toxic = np.array([votes[v][1] for v in self.vectors], dtype=float)
-        self.docs = [votes[v][2] for v in self.vectors]
-        self.place = {v: i for i, v in enumerate(self.vectors)}
-        self.index = BlockMaxIndex(self.vectors)
+                vote[2] = min(vote[2], doc)
+        # Like examples lie together: by their commonest word, which tells the language, then by the most telling term.
+        vectors = sorted(votes.values(), key=lambda v: (int(v[3][np.argmin(weight[v[3]])]), int(v[3][np.argmax(weight[v[3]])]), v[2]))
+        self.all, self.toxic, self.docs = (np.array([v[j] for v in vectors], dtype=np.int64) for j in range(3))
+        unit = [self.unit(v[3], v[4]) for v in vectors]
+        sizes = np.array([len(u) for u in unit], dtype=np.int64)
+        self.ends = np.append(0, np.cumsum(sizes))
+        self.term = np.concatenate([v[3] for v in vectors]).astype(np.int32) if vectors else np.zeros(0, np.int32)
+        self.value = np.concatenate(unit).astype(np.float32) if vectors else np.zeros(0, np.float32)
+        self.index = BlockMaxIndex(np.repeat(np.arange(len(vectors)), sizes), self.term, self.value, len(vectors), len(terms))
         self.steps: tuple[list[float], list[float]] = ([0.0, 1.0], [0.0, 1.0])
         self._seen: dict = {}
 
-    def vote(self, vector: tuple, leave: int | None = None) -> tuple[float, list[tuple[float, int]]]:
-        """Share of toxic votes of the neighbours, weighted by squared cosine; ``leave``: take out one such label."""
-        near = self.index.nearest(vector, self.neighbours)
-        votes = toxic = 0.0
-        for cosine, i in near:
-            n, t = self.all[i], self.toxic[i]
-            if leave is not None and self.vectors[i] == vector:
-                n, t = n - 1, t - leave
-            votes += cosine * cosine * n
-            toxic += cosine * cosine * t
-        return toxic / (votes + DOUBT), near
+    def unit(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Weights of a text's terms, of length 1."""
+        weight = (1 + np.log(count)) * self.weight[term]
+        return weight / np.sqrt((weight ** 2).sum())
+
+    def vote(self, term: np.ndarray, weight: np.ndarray, leave: tuple[int, int] | None = None) -> tuple[float, np.ndarray]:
+        """Share of toxic votes of the neighbours, each by its cosine over its distance; ``leave``: a vector and one label of it to take out."""
+        near, cosine = self.index.nearest(term, weight, self.neighbours)
+        n, toxic = self.all[near].astype(float), self.toxic[near].astype(float)
+        if leave is not None:
+            own = near == leave[0]
+            n[own] -= 1
+            toxic[own] -= leave[1]
+        pull = cosine / (np.maximum(1 - cosine, 0) + NEARNESS)
+        return float((pull * toxic).sum() / ((pull * n).sum() + DOUBT)), near
 
     def calibrate(self, table: list[tuple[float, int, int]]) -> None:
         """Fit a rising step function to (vote, examples, toxic ones), by pooling adjacent violators."""
@@ -178,18 +183,28 @@ class Model:
             ends = [(x, r) for (low, high, _, _), r in zip(pools, rates, strict=True) for x in (low, high)]
             self.steps = [x for x, _ in ends], [float(r) for _, r in ends]
 
-    def score(self, counts: dict[int, int]) -> tuple[float, list[int], list[str]]:
-        """Score, ids of the nearest examples, and the terms they were found by."""
-        vector = unit_vector(counts, self.idf)
-        if not vector:
+    def score(self, term: np.ndarray, count: np.ndarray) -> tuple[float, list[int], list[str]]:
+        """Score, ids of the nearest examples, and the terms that weigh most."""
+        if not len(term):
             return self.bare_rate, [], []
-        if vector not in self._seen:
+        key = xxhash.xxh128_digest(term.tobytes() + count.tobytes())
+        if key not in self._seen:
             if len(self._seen) > 20_000:
                 self._seen.clear()
-            vote, near = self.vote(vector)
-            score = float(np.interp(vote, *self.steps)) if near else self.bare_rate
-            self._seen[vector] = score, [self.docs[i] for _, i in near[:3]], [self.terms[t] for t, _ in vector[:8]]
-        return self._seen[vector]
+            weight = self.unit(term, count)
+            vote, near = self.vote(term, weight)
+            score = float(np.interp(vote, *self.steps)) if len(near) else self.bare_rate
+            heavy = term[np.argsort(-weight, kind="stable")[:8]]
+            self._seen[key] = score, self.docs[near[:3]].tolist(), [self.terms[int(t)].as_py() for t in heavy]
+        return self._seen[key]
+
+    def scores(self, texts: pa.Array) -> Iterator[tuple[float, list[int], list[str]]]:
+        """:meth:`score` of every text of a batch, in order."""
+        for _, part in parts_of(texts):
+            owner, term, count = counted_terms(part, self.terms)
+            ends = np.searchsorted(owner, np.arange(len(part) + 1))
+            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                yield self.score(term[a:b], count[a:b])
 
 
 def learnable(doc_id):
@@ -197,171 +212,159 @@ def learnable(doc_id):
     return F.crc32(doc_id.cast("string")) % 3 != 1
 
 
-def _over_texts(documents: DataFrame, columns: Sequence[str], one, schema: str) -> DataFrame:
-    """``one(batch rows)`` over the texts, batch by batch."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from one(batches)
-    return documents.select(*columns).mapInArrow(run, schema)
-
+def example_texts(documents: DataFrame, labels: DataFrame, max_examples: int) -> DataFrame:
+    """``doc_id, text, toxic`` of at most ``max_examples`` labelled ids, the lowest by hash.
 
-def fit(documents: DataFrame, labels: DataFrame, keep: Sequence[str] = (), max_examples: int = MAX_EXAMPLES,
-        max_terms: int = MAX_TERMS) -> tuple[Model, DataFrame]:
-    """A model from the labels whose id may be learned from, and :func:`term_counts` of all documents.
-
-    At most ``max_examples`` labelled ids, the lowest by hash, are joined to their texts; the terms
-    come from a test on all their words; document frequencies are counted over all ``documents``.
-    Of repeated labels of an id, the larger counts; of repeated texts, the last in order. NULL ids
-    and labels are left out. Without examples, every score is the rate of an even guess.
+    Of repeated labels of an id, the larger counts; of repeated texts, the last in order.
     """
-    spark = documents.sparkSession
     chosen = (
         labels.filter(F.col("toxic").isNotNull() & learnable(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples))
     # The side sent to all executors holds max_examples rows of an id and a label at most.
-    texts = documents.select("doc_id", "text").join(F.broadcast(settled(chosen)), "doc_id").groupBy("doc_id").agg(
+    return documents.select("doc_id", "text").join(F.broadcast(settled(chosen)), "doc_id").groupBy("doc_id").agg(
         F.max(F.coalesce("text", F.lit(""))).alias("text"), F.first("toxic").alias("toxic"))
 
-    def split(batches):
-        for batch in batches:
-            found = [terms_of(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(2), pa.array([list(c) for c in found], pa.list_(pa.string())),
-                pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))],
-                names=["doc_id", "toxic", "terms", "counts"])
-
-    examples = settled(_over_texts(
-        texts, ("doc_id", "text", "toxic"), split, "doc_id long, toxic int, terms array<string>, counts array<int>"))
-    n, toxic = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    per_term = examples.select(F.explode("terms").alias("term"), "toxic").groupBy("term").agg(
-        F.count(F.lit(1)).alias("c"), F.sum("toxic").alias("a")).filter("c >= 3")
-    terms = _telling_terms(per_term, n, toxic, max_terms) if 0 < toxic < n else []
-    counted = settled(term_counts(documents, terms, keep))
-    frequencies, n_documents = _frequencies(counted, len(terms))
-    idf = np.log1p(n_documents / np.maximum(frequencies, 1.0)) if terms else np.zeros(0)
-    index = {t: i for i, t in enumerate(terms)}
-    pairs = F.arrays_zip("terms", "counts")
-    kept = examples.select("doc_id", "toxic", F.filter(pairs, lambda p: p["terms"].isin(terms)).alias("p")) if terms else (
-        examples.select("doc_id", "toxic", pairs.alias("p")).filter("false"))
-    rows = [(r[0], r[1], {index[p["terms"]]: p["counts"] for p in r[2]}) for r in kept.filter("size(p) > 0").collect()]
-    bare, bare_toxic = n - len(rows), toxic - sum(r[1] for r in rows)
-    model = Model(terms, idf, sorted(rows, key=lambda r: (r[0] is None, r[0])), (bare_toxic + 0.5) / (bare + 1))
-    _calibrate(model, spark, rows)
-    return model, counted
-
-
-def _telling_terms(per_term: DataFrame, n: int, toxic: int, most: int) -> list[str]:
-    """Terms over-represented in toxic examples by more than chance allows among so many terms."""
-    def h(*cells):
-        return sum((F.when(F.expr(c) > 0, F.expr(f"({c}) * ln({c})")).otherwise(0.0) for c in cells), F.lit(0.0))
-
-    a, b, c, d = "a", f"{toxic} - a", "c - a", f"{n - toxic} - c + a"
-    ratio = 2 * (h(a, b, c, d) - h(f"({a}) + ({b})", f"({c}) + ({d})") - h(f"({a}) + ({c})", f"({b}) + ({d})")
-                 + F.lit(n * math.log(n)))
-    scored = per_term.filter(F.col("a") * n > F.col("c") * toxic).withColumn("g", ratio)
-    tried = scored.count()
-    limit = 4 + 2 * math.log(tried + 1)
-    return [r[0] for r in scored.filter(F.col("g") > limit).orderBy(F.desc("g"), "term").limit(most).collect()]
-
-
-def term_counts(documents: DataFrame, terms: Sequence[str], keep: Sequence[str], text: str = "text") -> DataFrame:
-    """Columns ``keep``, and how often each of the terms is in the whole text (``__t`` numbers, ``__n`` counts)."""
-    vocabulary, keep = Vocabulary(terms), list(keep)
-    schema = T.StructType([*(documents.schema[c] for c in keep), T.StructField("__t", T.ArrayType(T.IntegerType())),
-                           T.StructField("__n", T.ArrayType(T.IntegerType()))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [vocabulary.counts(t.as_py()) for t in batch.column(batch.schema.get_field_index(text))]
-            yield pa.RecordBatch.from_arrays([
-                *(batch.column(batch.schema.get_field_index(c)) for c in keep),
-                pa.array([list(c) for c in found], pa.list_(pa.int32())),
-                pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], names=[*keep, "__t", "__n"])
+def _term_labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Examples that hold each term, and toxic ones among them, added up for each batch."""
+    for batch in batches:
+        toxic = batch.column(2).to_numpy(zero_copy_only=False)
+        for begin, part in parts_of(batch.column(1)):
+            words, word, owner = words_of(part)
+            names = pa.concat_arrays([words, pc.drop_null(stems_of(words))]).unique()
+            owner, term, _ = counted_terms(part, names)
+            n = np.bincount(term, minlength=len(names))
+            bad = np.bincount(term, toxic[begin + owner], minlength=len(names)).astype(np.int64)
+            held = np.nonzero(n)[0]
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(held)), pa.array(n[held]), pa.array(bad[held])], names=["term", "n", "bad"])
 
-    needed = list(dict.fromkeys([*keep, text]))
-    return documents.select(*(f"`{c}`" for c in needed)).mapInArrow(run, schema)
 
+def telling(n: np.ndarray, bad: np.ndarray, n_all: int, bad_all: int) -> np.ndarray:
+    """How much likelier than chance an example with the term is toxic: the log of smoothed odds, none below 0."""
+    share = bad_all / n_all
+    return np.maximum(np.log((bad + share) / (n - bad + 1 - share)) - math.log(share / (1 - share)), 0.0)
 
-def _frequencies(counted: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
-    """Documents that hold each term, and documents, over the whole corpus."""
-    held = F.concat(F.col("__t"), F.array(F.lit(-1)))
-    found = dict(counted.select(F.explode(held).alias("t")).groupBy("t").count().collect())
-    return np.array([found.get(i, 0) for i in range(n_terms)], dtype=float), found.get(-1, 0)
 
+def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> Model:
+    """A model from the labels whose id may be learned from.
 
-def _calibrate(model: Model, spark, rows: list) -> None:
+    Examples are bounded by ``max_examples``; all their words are terms. Document frequencies are
+    counted over all ``documents``. NULL ids and labels are left out. Without examples of both kinds,
+    every score is the rate of an even guess.
+    """
+    spark = documents.sparkSession
+    examples = settled(example_texts(documents, labels, max_examples))
+    n, toxic = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < toxic < n:
+        none = pa.table({"doc_id": pa.array([], pa.int64()), "toxic": pa.array([], pa.int32()),
+                         "terms": pa.array([], pa.list_(pa.int32())), "counts": pa.array([], pa.list_(pa.int32()))})
+        return Model(pa.array([], pa.string()), np.zeros(0), none, (toxic + 0.5) / (n + 1))
+    found = examples.mapInArrow(_term_labels, "term string, n long, bad long").groupBy("term").agg(
+        F.sum("n").alias("n"), F.sum("bad").alias("bad")).toArrow().sort_by("term")
+    terms = found.column("term").combine_chunks()
+    named = spark.sparkContext.broadcast(terms)  # the words of at most max_examples texts
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = np.zeros(len(named.value), dtype=np.int64), 0
+        for batch in batches:
+            rows += len(batch)
+            for _, part in parts_of(batch.column(0)):
+                held += np.bincount(counted_terms(part, named.value)[1], minlength=len(held))
+        some = np.nonzero(held)[0]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(some, -1).astype(np.int32)), pa.array(np.append(held[some], rows))], names=["term", "n"])
+
+    counted = documents.select("text").mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    number, held = (counted.column(c).to_numpy() for c in ("term", "n"))
+    frequency = np.ones(len(terms))
+    frequency[number[number >= 0]] = held[number >= 0]
+    idf = np.log(max(int(held[number < 0].sum()), 1) / frequency) + 0.01
+    label_counts = [found.column(c).to_numpy().astype(float) for c in ("n", "bad")]
+    weight = np.maximum(idf, 0.01) * (FLOOR + telling(*label_counts, n, toxic))
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, part in parts_of(batch.column(1)):
+                owner, term, count = counted_terms(part, named.value)
+                ends = pa.array(np.searchsorted(owner, np.arange(len(part) + 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(begin, len(part)), batch.column(2).slice(begin, len(part)),
+                    *(pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (term, count))],
+                    names=["doc_id", "toxic", "terms", "counts"])
+
+    table = examples.mapInArrow(vectors, "doc_id long, toxic int, terms array<int>, counts array<int>").toArrow()
+    bare = pc.equal(pc.list_value_length(table.column("terms")), 0)
+    empty = table.filter(bare)
+    rate = ((pc.sum(empty.column("toxic")).as_py() or 0) + toxic / n) / (len(empty) + 1)
+    model = Model(terms, weight, table.filter(pc.invert(bare)).sort_by("doc_id"), rate)
+    _calibrate(model, spark)
+    return model
+
+
+def _calibrate(model: Model, spark) -> None:
     """Each example's vote without its own label, worked out by tasks, then pooled."""
-    if not rows:
+    if not len(model.docs):
         return
     shared = spark.sparkContext.broadcast(model)
-    frame = spark.createDataFrame([(i,) for i in range(len(rows))], "i int").repartition(
-        min(64, 1 + len(rows) // 500))
-    data = spark.sparkContext.broadcast([(r[1], r[2]) for r in rows])
+    frame = spark.range(len(model.docs)).repartition(min(64, 1 + len(model.docs) // 250))
 
-    def leave_one_out(batches):
-        m, examples = shared.value, data.value
+    def leave_one_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, found = shared.value, []
         for batch in batches:
-            votes, toxic = [], []
             for i in batch.column(0).to_pylist():
-                label, counts = examples[i]
-                votes.append(round(m.vote(unit_vector(counts, m.idf), label)[0], 3))
-                toxic.append(label)
-            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(toxic, pa.int32())], names=["v", "y"])
-
-    table = frame.mapInArrow(leave_one_out, "v double, y int").groupBy("v").agg(F.count(F.lit(1)), F.sum("y"))
+                at = slice(m.ends[i], m.ends[i + 1])
+                for label, n in ((1, m.toxic[i]), (0, m.all[i] - m.toxic[i])):
+                    if n:
+                        found.append((round(m.vote(m.term[at], m.value[at], (i, label))[0], 3), int(n), int(n) * label))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([f[j] for f in found], t) for j, t in enumerate((pa.float64(), pa.int64(), pa.int64()))], names=["v", "n", "y"])
+
+    table = frame.mapInArrow(leave_one_out, "v double, n long, y long").groupBy("v").agg(F.sum("n"), F.sum("y"))
     model.calibrate([tuple(r) for r in table.collect()])
 
 
-def score_counts(counted: DataFrame, model: Model) -> DataFrame:
-    """The columns of ``counted`` and a struct ``__tox`` of score, predicted, evidence ids and terms."""
-    columns = [c for c in counted.columns if c not in ("__t", "__n")]
+def score_documents(documents: DataFrame, labels: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Columns ``keep`` of every row and a struct ``__tox`` of score, predicted, evidence ids and terms.
+
+    Only the text counts. Texts without a word that some example holds, NULL, empty and blank ones
+    among them, get the rate of such examples, or of all where there is none. Repeated rows score alike; an empty table gives an empty result.
+    """
     tox = T.StructType([
         T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
         T.StructField("evidence_ids", T.ArrayType(T.LongType())), T.StructField("evidence_terms", T.ArrayType(T.StringType()))])
-    schema = T.StructType([*(counted.schema[c] for c in columns), T.StructField("__tox", tox)])
+    keep = list(keep)
+    schema = T.StructType([*(documents.schema[c] for c in keep), T.StructField("__tox", tox)])
     arrow = pa.struct([("score", pa.float64()), ("predicted", pa.int32()), ("evidence_ids", pa.list_(pa.int64())),
                        ("evidence_terms", pa.list_(pa.string()))])
-    shared = counted.sparkSession.sparkContext.broadcast(model)
+    shared = documents.sparkSession.sparkContext.broadcast(fit(documents, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            terms, often = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("__t", "__n"))
-            found = []
-            for t, n in zip(terms, often, strict=True):
-                score, ids, words = m.score(dict(zip(t, n, strict=True)))
-                found.append({"score": score, "predicted": int(score >= CUT), "evidence_ids": ids, "evidence_terms": words})
+            found = [{"score": score, "predicted": int(score >= CUT), "evidence_ids": ids, "evidence_terms": words}
+                     for score, ids, words in m.scores(batch.column(batch.schema.get_field_index("text")))]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(batch.schema.get_field_index(c)) for c in columns), pa.array(found, arrow)],
-                names=[*columns, "__tox"])
-
-    return counted.mapInArrow(run, schema)
-
+                [*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(found, arrow)], names=[*keep, "__tox"])
 
-def score_documents(documents: DataFrame, labels: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Columns ``keep`` of every row and ``__tox``: one pass over the texts after the examples' own.
-
-    Only the text counts. NULL, empty and blank texts, and texts without a term of the model, get
-    the rate of examples without one. Repeated rows score alike; an empty table gives an empty result.
-    """
-    model, counted = fit(documents, labels, keep)
-    return score_counts(counted, model)
+    needed = list(dict.fromkeys([*keep, "text"]))
+    return documents.select(*(f"`{c}`" for c in needed)).mapInArrow(run, schema)
 
 
 def keep_harmless(documents: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that are not predicted toxic, with their own columns.
+    """The documents that are not predicted toxic, with their own columns, whatever their names.
 
     The model's counts take one pass over the texts, the filter another, in which a row goes through
-    one worker only; texts are not exchanged.
+    one worker only; texts are not exchanged. NULL and empty texts stay, as harmless as examples without
+    a word; an empty table gives an empty one.
     """
-    model, _ = fit(documents, labels)
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = documents.sparkSession.sparkContext.broadcast(fit(documents, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
-            yield batch.filter(pa.array([m.score(m.vocabulary.counts(t.as_py()))[0] < CUT for t in texts], pa.bool_()))
+            yield batch.filter(pa.array([score < CUT for score, _, _ in m.scores(texts)], pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
 

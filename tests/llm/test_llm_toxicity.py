@@ -1,7 +1,11 @@
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import CLASHING, clashing, documents
 
@@ -60,18 +64,88 @@ def test_nothing_but_learnable_labels_counts(spark):
 
 def test_index_equals_all_vectors():
     rng = np.random.default_rng(2)
-    vectors = sorted({toxicity.unit_vector({int(t): int(n) for t, n in zip(rng.choice(40, 5, replace=False), rng.integers(1, 4, 5), strict=True)},
-                                           np.linspace(1, 5, 40)) for _ in range(900)})
-    index = toxicity.BlockMaxIndex(vectors, block=8)
-    dense = np.zeros((len(vectors), 40))
-    for i, v in enumerate(vectors):
-        for t, w in v:
-            dense[i, t] = w
-    for q in rng.choice(len(vectors), 60):
-        scores = np.round(dense @ dense[q], 9)
-        want = sorted(((-s, i) for i, s in enumerate(scores) if s > 0))[:25]
-        got = index.nearest(vectors[q], 25)
-        assert np.allclose([s for s, _ in got], [-s for s, _ in want], atol=2e-9) and got[0][1] == q
+    dense = np.zeros((900, 40), dtype=np.float32)
+    for row in dense:
+        row[rng.choice(40, 5, replace=False)] = rng.integers(1, 4, 5)
+    dense /= np.linalg.norm(dense, axis=1)[:, None]
+    example, term = np.nonzero(dense)
+    index = toxicity.BlockMaxIndex(example, term, dense[example, term], 900, 40, block=8)
+    for q in rng.choice(900, 60):
+        scores = np.round(dense.astype(float) @ dense[q].astype(float), 6)
+        want = sorted((-s, i) for i, s in enumerate(scores) if s > 0)[:25]
+        at = np.nonzero(dense[q])[0]
+        got, found = index.nearest(at, dense[q][at].astype(float), 25)
+        assert np.allclose(found, [-s for s, _ in want], atol=2e-6) and scores[got[0]] == scores.max()
+
+
+def brute_votes(rows, labels, texts):
+    """Votes of texts by counting every word of every example and comparing with all of them."""
+    def terms(text):
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        return Counter([*words, *(w[:7] + "*" for w in words if len(w) > 7)])
+
+    known = {d: terms(t) for d, t, *_ in rows}
+    learned = [(d, y) for d, _, y in labels if not held_out(d)]
+    n, bad = len(learned), sum(y for _, y in learned)
+    share = bad / n
+    df, held, rude = Counter(), Counter(), Counter()
+    for counts in known.values():
+        df.update(counts.keys())
+    for d, y in learned:
+        held.update(known[d].keys())
+        rude.update({t: y for t in known[d]})
+    odds = {t: max(0.0, math.log((rude[t] + share) / (held[t] - rude[t] + 1 - share)) - math.log(share / (1 - share))) for t in held}
+    weight = {t: max(math.log(len(rows) / df[t]) + 0.01, 0.01) * (0.1 + odds[t]) for t in held}
+
+    def unit(counts):
+        v = {t: (1 + math.log(c)) * weight[t] for t, c in counts.items() if t in weight}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / norm for t, x in v.items()}
+
+    vectors = {}
+    for d, y in learned:
+        key = tuple(sorted(known[d].items()))
+        vote = vectors.setdefault(key, [unit(known[d]), 0, 0])
+        vote[1] += 1
+        vote[2] += y
+    result = []
+    for text in texts:
+        q = unit(terms(text))
+        near = sorted(((sum(x * v.get(t, 0.0) for t, x in q.items()), n, y) for v, n, y in vectors.values()), key=lambda v: -v[0])[:25]
+        pull = [c / (max(1 - c, 0) + 0.01) for c, _, _ in near]
+        result.append(sum(p * y for p, (_, _, y) in zip(pull, near, strict=True)) / (sum(p * n for p, (_, n, _) in zip(pull, near, strict=True)) + 0.5))
+    return result
+
+
+def test_votes_equal_brute_force(spark):
+    rows, labels = corpus(spark, 300, 4)
+    frame, marks = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(frame, marks)
+    texts = [t for _, t, *_ in rows[:80]]
+    got = []
+    for text in texts:
+        _, term, count = toxicity.counted_terms(pa.array([text]), model.terms)
+        got.append(model.vote(term, model.unit(term, count))[0])
+    assert np.allclose(got, brute_votes(rows, labels, texts), atol=2e-3)
+    assert np.allclose([s for s, _, _ in model.scores(pa.array(texts))], np.interp(got, *model.steps))
+
+
+def test_copies_of_examples_have_their_label(spark):
+    """Examples whose insults occur once, and copies of them under ids that are held out or unlabelled."""
+    rng = random.Random(3)
+    rows, labels, copies = [], [], []
+    for i in range(900):
+        words = [rng.choice(MILD) for _ in range(50)]
+        bad = i % 8 == 0
+        if bad:
+            words[rng.randrange(50)] = "insult" + "".join(rng.choice("abcdefgh") for _ in range(5))
+        rows.append((i, " ".join(words), "en", "a"))
+        labels.append((i, 1, int(bad)))
+        if not held_out(i):
+            copies.append((10_000 + i, rows[-1][1], "en", "b", int(bad)))
+    frame = documents(spark, [*rows, *(c[:4] for c in copies)])
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity_query(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert all(got[c[0]] == c[4] for c in copies)
 
 
 @pytest.mark.parametrize("labels", [[], [(1, 1, 1)], [(2, 1, None)]])
