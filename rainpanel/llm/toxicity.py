@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,15 +146,27 @@ class Model:
         # Like examples lie together: by their commonest word, which tells the language, then by the most telling term.
         vectors = sorted(votes.values(), key=lambda v: (int(v[3][np.argmin(weight[v[3]])]), int(v[3][np.argmax(weight[v[3]])]), v[2]))
         self.all, self.toxic, self.docs = (np.array([v[j] for v in vectors], dtype=np.int64) for j in range(3))
-        unit = [self.unit(v[3], v[4]) for v in vectors]
-        sizes = np.array([len(u) for u in unit], dtype=np.int64)
-        self.ends = np.append(0, np.cumsum(sizes))
-        self.term = np.concatenate([v[3] for v in vectors]).astype(np.int32) if vectors else np.zeros(0, np.int32)
-        self.value = np.concatenate(unit).astype(np.float32) if vectors else np.zeros(0, np.float32)
-        self.index = BlockMaxIndex(np.repeat(np.arange(len(vectors)), sizes), self.term, self.value, len(vectors), len(terms))
+        self.ends = np.append(0, np.cumsum([len(v[3]) for v in vectors])).astype(np.int64)
+        self.term, self.count = (np.concatenate([v[j] for v in vectors] or [[]]).astype(np.int32) for j in (3, 4))
         self.steps: tuple[list[float], list[float]] = ([0.0, 1.0], [0.0, 1.0])
+        self._build()
+
+    def _build(self) -> None:
+        """Unit vectors and inverted lists, which every worker makes for itself."""
+        value = (1 + np.log(self.count)) * self.weight[self.term]
+        sizes = np.diff(self.ends)
+        example = np.repeat(np.arange(len(sizes)), sizes)
+        self.value = (value / np.sqrt(np.bincount(example, value ** 2, len(sizes)))[example]).astype(np.float32)
+        self.index = BlockMaxIndex(example, self.term, self.value, len(sizes), len(self.terms))
         self._seen: dict = {}
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("value", "index", "_seen")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._build()
+
     def unit(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
         """Weights of a text's terms, of length 1."""
         weight = (1 + np.log(count)) * self.weight[term]
@@ -246,8 +259,11 @@ def telling(n: np.ndarray, bad: np.ndarray, n_all: int, bad_all: int) -> np.ndar
     return np.maximum(np.log((bad + share) / (n - bad + 1 - share)) - math.log(share / (1 - share)), 0.0)
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> Model:
-    """A model from the labels whose id may be learned from.
+Steps = tuple[list[float], list[float]]
+
+
+def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> tuple[Broadcast, Steps]:
+    """A model from the labels whose id may be learned from, sent to all workers once, and its calibration.
 
     Examples are bounded by ``max_examples``; all their words are terms. Document frequencies are
     counted over all ``documents``. NULL ids and labels are left out. Without examples of both kinds,
@@ -259,7 +275,8 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
     if not 0 < toxic < n:
         none = pa.table({"doc_id": pa.array([], pa.int64()), "toxic": pa.array([], pa.int32()),
                          "terms": pa.array([], pa.list_(pa.int32())), "counts": pa.array([], pa.list_(pa.int32()))})
-        return Model(pa.array([], pa.string()), np.zeros(0), none, (toxic + 0.5) / (n + 1))
+        model = Model(pa.array([], pa.string()), np.zeros(0), none, (toxic + 0.5) / (n + 1))
+        return spark.sparkContext.broadcast(model), model.steps
     found = examples.mapInArrow(_term_labels, "term string, n long, bad long").groupBy("term").agg(
         F.sum("n").alias("n"), F.sum("bad").alias("bad")).toArrow().sort_by("term")
     terms = found.column("term").combine_chunks()
@@ -297,16 +314,16 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
     bare = pc.equal(pc.list_value_length(table.column("terms")), 0)
     empty = table.filter(bare)
     rate = ((pc.sum(empty.column("toxic")).as_py() or 0) + toxic / n) / (len(empty) + 1)
+    named.destroy()
     model = Model(terms, weight, table.filter(pc.invert(bare)).sort_by("doc_id"), rate)
-    _calibrate(model, spark)
-    return model
+    shared = spark.sparkContext.broadcast(model)
+    return shared, _calibrated(model, shared, spark)
 
 
-def _calibrate(model: Model, spark) -> None:
-    """Each example's vote without its own label, worked out by tasks, then pooled."""
+def _calibrated(model: Model, shared: Broadcast, spark) -> Steps:
+    """Each example's vote without its own label, worked out by tasks, then pooled to steps."""
     if not len(model.docs):
-        return
-    shared = spark.sparkContext.broadcast(model)
+        return model.steps
     frame = spark.range(len(model.docs)).repartition(min(64, 1 + len(model.docs) // 250))
 
     def leave_one_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,6 +339,13 @@ def _calibrate(model: Model, spark) -> None:
 
     table = frame.mapInArrow(leave_one_out, "v double, n long, y long").groupBy("v").agg(F.sum("n"), F.sum("y"))
     model.calibrate([tuple(r) for r in table.collect()])
+    return model.steps
+
+
+def _ready(shared: Broadcast, steps: Steps) -> Model:
+    model = shared.value
+    model.steps = steps
+    return model
 
 
 def score_documents(documents: DataFrame, labels: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -337,10 +361,10 @@ def score_documents(documents: DataFrame, labels: DataFrame, keep: Sequence[str]
     schema = T.StructType([*(documents.schema[c] for c in keep), T.StructField("__tox", tox)])
     arrow = pa.struct([("score", pa.float64()), ("predicted", pa.int32()), ("evidence_ids", pa.list_(pa.int64())),
                        ("evidence_terms", pa.list_(pa.string()))])
-    shared = documents.sparkSession.sparkContext.broadcast(fit(documents, labels))
+    shared, steps = fit(documents, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = _ready(shared, steps)
         for batch in batches:
             found = [{"score": score, "predicted": int(score >= CUT), "evidence_ids": ids, "evidence_terms": words}
                      for score, ids, words in m.scores(batch.column(batch.schema.get_field_index("text")))]
@@ -358,10 +382,10 @@ def keep_harmless(documents: DataFrame, labels: DataFrame, text: str = "text") -
     one worker only; texts are not exchanged. NULL and empty texts stay, as harmless as examples without
     a word; an empty table gives an empty one.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(fit(documents, labels))
+    shared, steps = fit(documents, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = _ready(shared, steps)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
             yield batch.filter(pa.array([score < CUT for score, _, _ in m.scores(texts)], pa.bool_()))

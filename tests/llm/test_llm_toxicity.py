@@ -1,4 +1,5 @@
 import math
+import pickle
 import random
 import re
 import zlib
@@ -120,7 +121,9 @@ def brute_votes(rows, labels, texts):
 def test_votes_equal_brute_force(spark):
     rows, labels = corpus(spark, 300, 4)
     frame, marks = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    model = toxicity.fit(frame, marks)
+    shared, steps = toxicity.fit(frame, marks)
+    model = pickle.loads(pickle.dumps(shared.value))
+    model.steps = steps
     texts = [t for _, t, *_ in rows[:80]]
     got = []
     for text in texts:
