@@ -19,9 +19,8 @@ from rainpanel.llm.common import settled
 #: Labelled documents that may become examples, chosen by a hash of their id: the documented bound.
 MAX_EXAMPLES = 10_000
 NEIGHBOURS = 25
-BLOCK = 64
-#: Blocks that a search opens first.
-OPENED = 8
+#: Examples of a block.
+BLOCK = 2048
 CUT = 0.7
 #: Longer words also count by their first letters.
 PREFIX = 7
@@ -71,54 +70,53 @@ def parts_of(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
         yield a, texts.slice(a, b - a)
 
 
-def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The whole numbers from each start on, so many of each."""
-    ends = np.cumsum(size)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + size, size)
-
-
 class BlockMaxIndex:
     """Inverted lists over example vectors, cut into blocks of examples that know each term's largest weight.
 
-    A query adds up the largest possible score of each block and opens blocks in falling order of it,
-    reading only their parts of the lists; it ends when no closed block can reach the k-th best score
+    A query adds up the largest possible score of each block, opens the promising ones and then those
+    that can still matter, reading only their parts of the lists; it ends when no closed block can reach the k-th best score
     found, so the result is that of comparing with every vector.
     """
 
     def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, size: int, n_terms: int, block: int = BLOCK):
-        self.block, self.size, self.blocks = block, size, -(-size // block)
+        self.block, self.size, self.blocks = block, size, max(1, -(-size // block))
         order = np.lexsort((example, term))
-        self.example, self.weight, term = example[order].astype(np.int32), weight[order].astype(np.float32), term[order]
-        at = self.example // block
-        self.start = np.nonzero(np.append(True, (term[1:] != term[:-1]) | (at[1:] != at[:-1])))[0] if len(term) else np.zeros(0, int)
-        self.count = np.diff(np.append(self.start, len(term)))
-        self.at = at[self.start]
-        self.most = np.maximum.reduceat(self.weight, self.start) if len(term) else np.zeros(0, np.float32)
-        self.first = np.searchsorted(term[self.start], np.arange(n_terms + 1))
+        self.example, self.weight = example[order].astype(np.int32), weight[order].astype(np.float32)
+        # Lists are in order of term and block; ``ends`` cuts them.
+        cell = term[order].astype(np.int64) * self.blocks + self.example // block
+        self.ends = np.searchsorted(cell, np.arange(n_terms * self.blocks + 1)).astype(np.int32)
+        self.most = np.zeros(n_terms * self.blocks, dtype=np.float32)
+        held = np.nonzero(np.diff(self.ends))[0]
+        if len(held):
+            self.most[held] = np.maximum.reduceat(self.weight, self.ends[held])
+        self.most = self.most.reshape(n_terms, self.blocks)
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k best vectors; of equals, the lower number."""
-        a, n = self.first[term], self.first[term + 1] - self.first[term]
-        part, w = _ranges(a, n), np.repeat(weight, n)
-        if not len(part):
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        at = self.at[part]
-        bound = np.bincount(at, w * self.most[part], self.blocks)
-        closed, found, scores = bound > 0, np.zeros(0, dtype=np.int64), np.zeros(0)
-        least = float(np.partition(bound, -min(OPENED, self.blocks))[-min(OPENED, self.blocks)])
+        found, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
+        bound = weight @ self.most[term]
+        closed = bound > 0
+        least = 0.5 * float(bound.max(initial=0.0))
         while True:
-            opened = closed & (bound >= least - 1e-6)
-            if not opened.any():
+            opened = np.nonzero(closed & (bound >= least - 1e-6))[0]
+            if not len(opened):
                 break
-            closed &= ~opened
-            inside = opened[at]
-            count = self.count[part[inside]]
-            place = _ranges(self.start[part[inside]], count)
-            total = np.bincount(self.example[place], np.repeat(w[inside], count) * self.weight[place], self.size)
+            closed[opened] = False
+            # Blocks that follow one another are one part of a list.
+            run = np.split(opened, np.nonzero(np.diff(opened) > 1)[0] + 1)
+            low, high = (np.array([r[e] for r in run]) for e in (0, -1))
+            cell = term.astype(np.int64)[:, None] * self.blocks
+            start, end = self.ends[cell + low].ravel(), self.ends[cell + high + 1].ravel()
+            some = end > start
+            parts = [slice(a, b) for a, b in zip(start[some].tolist(), end[some].tolist(), strict=True)]
+            value = np.concatenate([self.weight[p] for p in parts])
+            value *= np.repeat(np.repeat(weight.astype(np.float32), len(run))[some], (end - start)[some])
+            total = np.bincount(np.concatenate([self.example[p] for p in parts]), value, self.size)
             new = np.nonzero(total)[0]
             found, scores = np.append(found, new), np.append(scores, np.round(total[new], 6))
             # Only blocks that can still reach the k-th best stay of interest.
             least = float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
+        found, scores = found[scores >= least], scores[scores >= least]
         best = np.lexsort((found, -scores))[:k]
         return found[best], scores[best]
 
