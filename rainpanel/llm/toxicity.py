@@ -20,7 +20,7 @@ from rainpanel.llm.common import settled
 MAX_EXAMPLES = 10_000
 NEIGHBOURS = 25
 #: Examples of a block.
-BLOCK = 2048
+BLOCK = 4096
 CUT = 0.7
 #: Longer words also count by their first letters.
 PREFIX = 7
