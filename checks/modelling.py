@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from checks.common import GAPPY, PANEL, check, rd, rounded
+from checks.common import GAPPY, PANEL, check, rd, rounded, scratch
 from checks.fitted import TEST_YEAR, fitted
 from checks.functions import SEASON
 from checks.tables import DATES, asked
@@ -37,10 +37,18 @@ def calendar_features(spark, sf):
     return prepared(spark, sf).select("region", "date", "jour_annee", "saison", "trimestre")
 
 
+def indexed(spark, sf):
+    """The panel with the index of its three categories, taken from tables."""
+    scratch(spark)
+    df = prepared(spark, sf)
+    for column in ("region", "type_sol", "saison"):
+        df = features.add_category_index(df, column, features.category_table(df.select(column), column))
+    return df
+
+
 @check("m2_category_index", f"WITH {INDEXED} SELECT region, date, region_idx, type_sol_idx, saison_idx FROM {JOINED}")
 def category_index(spark, sf):
-    df = prepared(spark, sf)
-    return features.indexer().fit(df).transform(df).select("region", "date", "region_idx", "type_sol_idx", "saison_idx")
+    return indexed(spark, sf).select("region", "date", "region_idx", "type_sol_idx", "saison_idx")
 
 
 def slots(c: str) -> str:
@@ -50,9 +58,8 @@ def slots(c: str) -> str:
 
 @check("m3_one_hot", f"WITH {INDEXED} SELECT region, date, {slots('region')}, {slots('type_sol')}, {slots('saison')} FROM {JOINED}")
 def one_hot(spark, sf):
-    df = prepared(spark, sf)
-    indexed = features.indexer().fit(df).transform(df)
-    encoded = features.encoder().fit(indexed).transform(indexed)
+    df = indexed(spark, sf)
+    encoded = features.encoder().fit(df).transform(df)
     return encoded.select("region", "date", *[
         F.array_join(vector_to_array(f"{c}_enc").cast("array<int>"), "").alias(f"{c}_slots")
         for c in ("region", "type_sol", "saison")
@@ -161,6 +168,6 @@ def feature_importance(spark, sf):
 
 @check("m13_search_settings")
 def search_settings(spark, sf):
-    found = models.search_settings(
-        "rf", star.panel(spark, sf), {"maxDepth": (5, 10), "numTrees": (20,)}, test_years=(2000, 2001))
+    """Two depths at the library's own number of trees, over two validation years."""
+    found = models.search_settings("rf", star.panel(spark, sf), {"maxDepth": (5, 10)}, test_years=(2000, 2001))
     return rounded(models.best_settings(found))

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rainpanel.functions import cyclic_day, cyclic_month, season
 from rainpanel.schema import MODEL_CATEGORICAL, MODEL_NUMERIC
+from rainpanel.sources.tables import settled, use_checkpoint_folder
 
 RAW_VECTOR, SCALED_VECTOR = "features", "scaled_features"
 
@@ -42,6 +43,40 @@ def encoder(columns: Sequence[str] = MODEL_CATEGORICAL) -> OneHotEncoder:
     return OneHotEncoder(inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_enc" for c in columns])
 
 
+def category_table(df: DataFrame, column: str) -> DataFrame:
+    """``value, position``: the values of a column, the most frequent first, ties by name, from position 0.
+
+    The table stays distributed: counts are put into one order by ranges, and each range starts after
+    the sizes of those before it. Only the number of ranges meets in one task, so no list of labels is
+    ever on the driver or in every task. The order is written once to the checkpoint folder, which
+    must be known (``spark.checkpoint.dir``).
+    """
+    if use_checkpoint_folder(df.sparkSession) is None:
+        raise ValueError("a category table needs spark.checkpoint.dir, a folder that all executors share")
+    counts = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("value").isNotNull())
+    order = (F.desc("n"), F.col("value"))
+    ranged = settled(counts.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("id", F.monotonically_increasing_id()))
+    # The number holds the partition in its upper bits and the row in the lower 33.
+    part, row = F.shiftright("id", 33), F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+    before = F.coalesce(F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = ranged.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("size")).select("part", before.alias("start"))
+    return ranged.withColumn("part", part).join(F.broadcast(starts), "part").select("value", (F.col("start") + row).alias("position"))
+
+
+def add_category_index(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
+    """``<column>_idx``: each row's position in the table; unseen and missing values share the next one.
+
+    A join: Spark broadcasts the table below its threshold and otherwise sorts and merges. The column
+    carries the number of its categories, so that :func:`encoder` needs no reading of its own.
+    """
+    n = table.count()
+    names = table.select(F.col("value").alias("_value"), F.col("position").alias("_position"))
+    index = F.coalesce(F.col("_position"), F.lit(n)).cast("double")
+    nominal = {"ml_attr": {"type": "nominal", "num_vals": n + 1, "name": f"{column}_idx"}}
+    joined = df.join(names, F.col(column) == F.col("_value"), "left")
+    return joined.select(*df.columns, index.alias(f"{column}_idx", metadata=nominal))
+
+
 def assembler(
     numeric: Sequence[str] = MODEL_NUMERIC, categorical: Sequence[str] = MODEL_CATEGORICAL
 ) -> VectorAssembler:

@@ -59,6 +59,43 @@ def fit_model(kind: str, train: DataFrame, category_limit: int | None = None, **
         train.unpersist()
 
 
+def fit_models(
+    kinds: Sequence[str], train: DataFrame, settings: Mapping[str, Mapping] | None = None, category_limit: int | None = None,
+) -> dict[str, PipelineModel]:
+    """Fit several kinds on one reading: features once, and one frame of labels and vectors for all kinds.
+
+    Each result is a whole pipeline, the same as :func:`fit_model` gives for that kind alone.
+    """
+    rows = _training_rows(train, category_limit)
+    try:
+        features = feature_pipeline().fit(rows)
+        inputs = features.transform(rows).select(RAIN, SCALED_VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return {
+                kind: PipelineModel([*features.stages, regressor(kind, **(settings or {}).get(kind, {})).fit(inputs)])
+                for kind in kinds}
+        finally:
+            inputs.unpersist()
+    finally:
+        rows.unpersist()
+
+
+def score_together(fitted: Mapping[str, PipelineModel], df: DataFrame) -> DataFrame:
+    """Rows with ``predicted_<kind>`` of every model of :func:`fit_models`, their shared features worked out once."""
+    first = next(iter(fitted.values()))
+    rows = PipelineModel(first.stages[:-1]).transform(add_calendar_features(df))
+    for kind, model in fitted.items():
+        rows = model.stages[-1].copy({model.stages[-1].predictionCol: f"predicted_{kind}"}).transform(rows)
+    return rows.select(*df.columns, *[f"predicted_{kind}" for kind in fitted])
+
+
+def metrics_together(scored: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """One metric row for each kind (``names`` gives the name to show), the rows read once."""
+    unfolded = F.array(*[
+        F.struct(F.lit(name).alias("model_name"), F.col(f"predicted_{kind}").alias("prediction")) for kind, name in names.items()])
+    return regression_metrics(scored.select(RAIN, F.inline(unfolded)), keys=["model_name"])
+
+
 def score(model: PipelineModel, df: DataFrame, output: str = "prediction") -> DataFrame:
     """Add the model's prediction to observation rows."""
     scored = model.transform(add_calendar_features(df))

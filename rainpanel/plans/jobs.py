@@ -13,7 +13,7 @@ from rainpanel.functions import month_index
 from rainpanel.operators import climatology, forecast, joins, models
 from rainpanel.operators.features import split_by_year
 from rainpanel.operators.quality import clean
-from rainpanel.sources import read_csv, save_model, settled, write_csv
+from rainpanel.sources import read_csv, save_coefficients, save_model, settled, write_csv
 
 
 def process(spark: SparkSession, source: str, target: str, threshold: float = 0.05) -> None:
@@ -21,34 +21,58 @@ def process(spark: SparkSession, source: str, target: str, threshold: float = 0.
     write_csv(clean(read_csv(spark, source), threshold), target)
 
 
+#: Kind and folder of the monthly forecast.
+LONG_TERM = "longterm"
+
+
 @dataclass(frozen=True)
 class Training:
-    """Fitted models by kind, one metric row per model, and both models' predictions when both ran."""
+    """Fitted models by kind, one metric row per model, and both models' predictions when both ran.
+
+    ``long_term`` and ``long_term_metrics`` are the forecast's coefficients and its errors by region,
+    where that kind was asked for.
+    """
 
     models: dict[str, PipelineModel]
-    metrics: DataFrame
+    metrics: DataFrame | None
     compared: DataFrame | None
+    long_term: DataFrame | None = None
+    long_term_metrics: DataFrame | None = None
 
 
 def train(
     df: DataFrame, kinds: Sequence[str] = ("rf", "gbt"), test_year: int = 2021,
     directory: str | None = None, settings: dict[str, dict] | None = None,
 ) -> Training:
-    """Clean, split by year, fit each kind on the early years, evaluate on the later ones, save."""
+    """Clean, split by year, fit all kinds on the early years, evaluate on the later ones, save.
+
+    ``kinds``: ``"rf"`` and ``"gbt"``, which share features, training frame and scored test rows, and
+    ``"longterm"``, the monthly forecast: it is judged on the months from ``test_year`` on, then fitted
+    on all of them, and its coefficients are saved beside the models.
+    """
     names = {"rf": "Random Forest", "gbt": "Gradient Boosted Trees"}
-    train_rows, test_rows = split_by_year(clean(df), test_year)
-    fitted, metrics = {}, []
-    for kind in kinds:
-        fitted[kind] = models.fit_model(kind, train_rows, **(settings or {}).get(kind, {}))
-        metrics.append(models.evaluate(fitted[kind], test_rows, names[kind])[0])
-        if directory is not None:
-            save_model(fitted[kind], kind, directory)
-    both = {"rf", "gbt"} <= fitted.keys()
-    compared = models.compare_models(fitted["rf"], fitted["gbt"], test_rows) if both else None
-    table = metrics[0]
-    for row in metrics[1:]:
-        table = table.unionByName(row)
-    return Training(fitted, table, compared)
+    unknown = set(kinds) - {*names, LONG_TERM}
+    if unknown or not kinds:
+        raise ValueError(f"kinds must be some of rf, gbt and {LONG_TERM}, not {sorted(unknown)}")
+    cleaned = clean(df)
+    trees = [kind for kind in kinds if kind != LONG_TERM]
+    fitted, metrics, compared = {}, None, None
+    if trees:
+        train_rows, test_rows = split_by_year(cleaned, test_year)
+        fitted = models.fit_models(trees, train_rows, settings)
+        for kind, model in fitted.items():
+            if directory is not None:
+                save_model(model, kind, directory)
+        scored = models.score_together(fitted, test_rows)
+        metrics = models.metrics_together(scored, {kind: names[kind] for kind in trees})
+        if {"rf", "gbt"} <= fitted.keys():
+            compared = scored.select("date", "region", models.RAIN, "predicted_rf", "predicted_gbt")
+    if LONG_TERM not in kinds:
+        return Training(fitted, metrics, compared)
+    coefficients = settled(forecast.fit_seasonal_trend(forecast.monthly_series(cleaned)))
+    if directory is not None:
+        save_coefficients(coefficients, f"{directory.rstrip('/')}/{LONG_TERM}")
+    return Training(fitted, metrics, compared, coefficients, hold_out_long_term(cleaned, test_year))
 
 
 def target_dates(

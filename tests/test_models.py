@@ -116,3 +116,62 @@ def test_search_uses_earlier_years_only(panel):
     assert sorted((r["settings"], r["test_year"]) for r in found.collect()) == [
         ("maxDepth=1", 2020), ("maxDepth=1", 2021), ("maxDepth=5", 2020), ("maxDepth=5", 2021)]
     assert models.best_settings(found).first()["settings"] == "maxDepth=5"
+
+
+def test_kinds_fitted_together_equal_each_alone(panel):
+    train, test = features.split_by_year(panel, 2021)
+    together = models.fit_models(("rf", "gbt"), train, SMALL)
+    for kind, model in together.items():
+        alone = models.score(models.fit_model(kind, train, **SMALL[kind]), models.score(model, test, "a"), "b")
+        assert alone.filter("abs(a - b) > 1e-9").count() == 0
+    scored = models.score_together(together, test)
+    one_by_one = models.compare_models(together["rf"], together["gbt"], test)
+    assert scored.select(*one_by_one.columns).exceptAll(one_by_one).isEmpty()
+    metrics = models.metrics_together(scored, {"rf": "Random Forest", "gbt": "Gradient Boosted Trees"})
+    for got, want in zip(sorted(metrics.collect()), sorted(models.comparison_metrics(one_by_one).collect()), strict=True):
+        assert got[0] == want[0] and tuple(got)[1:] == pytest.approx(tuple(want)[1:])
+
+
+def test_training_reads_its_rows_once(spark, panel, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for row in rows:
+            read.add(1)
+            yield row
+
+    counted = spark.createDataFrame(panel.rdd.mapPartitions(seen), SCHEMA)
+    models.fit_models(("rf", "gbt"), counted, SMALL)
+    assert read.value == panel.count()
+
+
+def test_train_with_the_long_term_kind(spark, panel, tmp_path):
+    trained = jobs.train(panel, ("longterm",), 2021, str(tmp_path))
+    assert trained.models == {} and trained.metrics is None
+    assert {r["region"] for r in trained.long_term_metrics.collect()} == {"A", "B"}
+    saved = sources.load_coefficients(spark, f"{tmp_path}/longterm")
+    assert saved.count() == 2 and set(saved.columns) == set(trained.long_term.columns)
+    with pytest.raises(ValueError):
+        jobs.train(panel, ("svm",))
+
+
+def test_category_table_holds_a_million(spark):
+    many = spark.range(1_000_000).select(F.concat(F.lit("c"), F.col("id")).alias("k"))
+    rows = many.unionAll(spark.createDataFrame([("c5",), ("c5",), ("c77",), (None,)], "k string"))
+    table = features.category_table(rows, "k")
+    assert table.count() == 1_000_000
+    assert [tuple(r) for r in table.filter("position < 3").orderBy("position").collect()] == [("c5", 0), ("c77", 1), ("c0", 2)]
+    assert table.agg(F.count_distinct("position"), F.max("position")).first()[:] == (1_000_000, 999_999)
+    asked = spark.createDataFrame([("c5",), ("unseen",), (None,)], "k string")
+    got = features.add_category_index(asked, "k", table)
+    assert {r["k"]: r["k_idx"] for r in got.collect()} == {"c5": 0.0, "unseen": 1e6, None: 1e6}
+
+
+def test_category_table_agrees_with_the_indexer(spark, panel):
+    df = features.add_calendar_features(panel)
+    fitted = features.indexer(["type_sol"]).fit(df)
+    table = {r["value"]: r["position"] for r in features.category_table(df, "type_sol").collect()}
+    assert table == {label: i for i, label in enumerate(fitted.labelsArray[0])}
+    indexed = features.add_category_index(df, "type_sol", features.category_table(df, "type_sol"))
+    encoded = features.encoder(["type_sol"]).fit(indexed).transform(indexed)
+    assert {r.n for r in encoded.select(F.size(vector_to_array("type_sol_enc")).alias("n")).distinct().collect()} == {2}
