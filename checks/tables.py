@@ -23,6 +23,21 @@ DATE_ROWS = "(VALUES (DATE '2002-02-15'), (DATE '2002-08-15'), (DATE '2003-12-31
 WHOLE_PANEL = f"WITH {PANEL} {panel_select()}"
 
 
+@check("s1_csv_quoted", f"""
+WITH {PANEL}, lined AS (SELECT * REPLACE (type_sol || chr(10) || 'second, line' AS type_sol) FROM panel)
+{panel_select('lined')} WHERE jour <> 31""")
+def csv_quoted(spark, sf):
+    """Quoted header in another order, fields with line breaks, a column too many; unreadable dates are rejected."""
+    path = scratch(spark)
+    panel = star.panel(spark, sf).select(*PANEL_COLUMNS[::-1]).withColumn("note", F.lit("a \"note\""))
+    text = panel.withColumns({
+        "type_sol": F.concat("type_sol", F.lit("\nsecond, line")),
+        "date": F.when(F.col("jour") == 31, "the last").otherwise(F.col("date").cast("string"))})
+    text.write.option("header", True).option("quoteAll", True).option("escape", "\"").csv(path)
+    good, bad = sources.split_bad_rows(sources.read_csv(spark, path, bad_rows="keep"))
+    return rounded(good)
+
+
 @check("s1_csv_scan", WHOLE_PANEL)
 def csv_scan(spark, sf):
     path = scratch(spark)

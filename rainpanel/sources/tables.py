@@ -12,11 +12,17 @@ from rainpanel.schema import REQUIRED_COLUMNS, SCHEMA, nan_to_null, require_colu
 BAD_ROW = "_bad_row"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = SCHEMA, bad_rows: str = "null") -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType = SCHEMA, bad_rows: str = "null", multiline: bool = True,
+) -> DataFrame:
     """CSV with a header and a fixed schema.
 
-    ``bad_rows``: ``"null"`` leaves unreadable fields NULL, ``"keep"`` also adds the raw line as
+    ``bad_rows``: ``"null"`` leaves unreadable fields NULL, ``"keep"`` also adds the raw record as
     ``_bad_row`` (NULL for a good row), ``"fail"`` stops at the first bad row.
+
+    With ``"keep"``, columns are found by the header's names, quoted or not, and a record may go over
+    several lines inside quotes. A file is then read by one task; ``multiline=False`` splits files whose
+    records are known to be single lines.
     """
     if bad_rows not in ("null", "keep", "fail"):
         raise ValueError(f"bad_rows must be null, keep or fail, not {bad_rows!r}")
@@ -24,20 +30,19 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = SCHEMA, bad_
     if bad_rows == "fail":
         reader = reader.option("mode", "FAILFAST")
     if bad_rows == "keep":
-        return nan_to_null(_with_bad_rows(spark, path, schema))
+        return nan_to_null(_with_bad_rows(spark, path, schema, multiline))
     return nan_to_null(reader.schema(schema).csv(path))
 
 
-def _with_bad_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The lines parsed as an expression, so that the rejected ones can be asked for alone.
-
-    Header lines are those that name the columns of the schema.
-    """
-    header = ",".join(schema.fieldNames())
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + f", `{BAD_ROW}` string"
-    options = {"mode": "PERMISSIVE", "dateFormat": ISO_FORMAT, "columnNameOfCorruptRecord": BAD_ROW}
-    lines = spark.read.text(path).filter((F.trim("value") != "") & (F.col("value") != header))
-    return lines.select(F.from_csv("value", F.lit(fields), options).alias("row")).select("row.*")
+def _with_bad_rows(spark: SparkSession, path: str, schema: T.StructType, multiline: bool) -> DataFrame:
+    """Records by Spark's own reader, in the order of columns that the header names; others are left out."""
+    records = spark.read.option("header", True).option("multiLine", multiline)
+    header = require_columns(records.csv(path), schema.fieldNames()).columns
+    types = {f.name: f.dataType for f in schema}
+    fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
+    reader = records.schema(T.StructType([*fields, T.StructField(BAD_ROW, T.StringType())])).option("mode", "PERMISSIVE")
+    rows = reader.option("dateFormat", ISO_FORMAT).option("columnNameOfCorruptRecord", BAD_ROW).csv(path)
+    return rows.select(*schema.fieldNames(), BAD_ROW)
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -81,9 +86,14 @@ def from_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType =
 
 
 def split_bad_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows and rejected lines of a frame read with ``bad_rows="keep"``."""
+    """Good rows and rejected records of a frame read with ``bad_rows="keep"``.
+
+    Spark's reader tells bad records by the columns asked for, so the rejects name all of them.
+    """
     good = df.filter(F.col(BAD_ROW).isNull()).drop(BAD_ROW)
-    return good, df.filter(F.col(BAD_ROW).isNotNull()).select(BAD_ROW)
+    whole = F.to_json(F.struct(*good.columns))
+    return good, df.select(F.when(F.col(BAD_ROW).isNull() & whole.isNotNull(), None).otherwise(F.col(BAD_ROW)).alias(BAD_ROW)).filter(
+        F.col(BAD_ROW).isNotNull())
 
 
 def write_csv(df: DataFrame, path: str, date_pattern: str | None = None) -> None:

@@ -43,6 +43,26 @@ def test_bad_rows(spark, folder):
         sources.read_csv(spark, path, bad_rows="guess")
 
 
+def test_rejects_of_a_real_csv(spark, folder):
+    """Quoted header in another order, a record over two lines, good and bad, and a column too many."""
+    names = [f.name for f in SCHEMA][::-1]
+    header = ",".join(f'"{n}"' for n in [*names, "note"])
+
+    def line(region, date, soil):
+        values = dict(zip((f.name for f in SCHEMA), GOOD.split(","), strict=True)) | {"region": region, "date": date, "type_sol": soil}
+        return ",".join(f'"{values[n]}"' for n in names) + ",extra"
+
+    path = write_text(folder("q.csv"), header, line("A", "2020-02-29", "clay\nand, sand"), line("B", "2020-02-31", "two\nlines"), line("C", "2020-03-01", "x"))
+    good, bad = sources.split_bad_rows(sources.read_csv(spark, path, bad_rows="keep"))
+    assert good.columns == [f.name for f in SCHEMA]
+    assert sorted((r["region"], r["type_sol"]) for r in good.collect()) == [("A", "clay\nand, sand"), ("C", "x")]
+    rejected = [r[0] for r in bad.collect()]
+    assert len(rejected) == 1 and "two\nlines" in rejected[0] and bad.count() == 1
+    short = write_text(folder("short.csv"), "region,date", "A,2020-01-01")
+    with pytest.raises(ValueError, match="missing"):
+        sources.read_csv(spark, short, bad_rows="keep")
+
+
 def test_read_by_name(spark, folder):
     path = write_text(folder("n.csv"), "note,precipitations,date,region", "hi,2.5,2020-01-02,A", "ho,NaN,oops,B")
     got = sorted(map(tuple, sources.read_csv_by_name(spark, path).collect()))
