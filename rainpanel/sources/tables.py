@@ -42,7 +42,10 @@ def _with_bad_rows(spark: SparkSession, path: str, schema: T.StructType, multili
     fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
     reader = records.schema(T.StructType([*fields, T.StructField(BAD_ROW, T.StringType())])).option("mode", "PERMISSIVE")
     rows = reader.option("dateFormat", ISO_FORMAT).option("columnNameOfCorruptRecord", BAD_ROW).csv(path)
-    return rows.select(*schema.fieldNames(), BAD_ROW)
+    # Spark looks for faults only in the fields that a query needs, so the mark is made to need them all.
+    every = F.xxhash64(*schema.fieldNames()) != 0
+    mark = F.when(F.col(BAD_ROW).isNull() & every, None).otherwise(F.col(BAD_ROW))
+    return rows.select(*schema.fieldNames(), mark.alias(BAD_ROW))
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -86,14 +89,9 @@ def from_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType =
 
 
 def split_bad_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows and rejected records of a frame read with ``bad_rows="keep"``.
-
-    Spark's reader tells bad records by the columns asked for, so the rejects name all of them.
-    """
+    """Good rows and rejected records of a frame read with ``bad_rows="keep"``."""
     good = df.filter(F.col(BAD_ROW).isNull()).drop(BAD_ROW)
-    whole = F.to_json(F.struct(*good.columns))
-    return good, df.select(F.when(F.col(BAD_ROW).isNull() & whole.isNotNull(), None).otherwise(F.col(BAD_ROW)).alias(BAD_ROW)).filter(
-        F.col(BAD_ROW).isNotNull())
+    return good, df.filter(F.col(BAD_ROW).isNotNull()).select(BAD_ROW)
 
 
 def write_csv(df: DataFrame, path: str, date_pattern: str | None = None) -> None:
