@@ -6,7 +6,7 @@ import pytest
 from llm_cases import clashing, documents
 
 import corpus_pipeline
-from rainpanel.llm import quality, simhash, toxicity
+from rainpanel.llm import near_copies, quality, toxicity
 from rainpanel.llm.common import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -27,7 +27,7 @@ def test_stages(spark, tmp_path):
         elif name == "quality rules":
             want = {r.doc_id for r in quality.quality_query(before).filter("kept").collect()}
         elif name == "SimHash near-dedup":
-            want = {r.doc_id for r in simhash.simhash_groups(before).filter("doc_id = component_id").collect()}
+            want = {r.doc_id for r in near_copies.near_groups(before).filter("doc_id = component_id").collect()}
         else:
             want = {r.doc_id for r in before.select("doc_id").collect()}
         assert ids == want, name

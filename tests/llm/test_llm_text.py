@@ -130,15 +130,6 @@ def test_simhash_chains_and_crowded_cells(spark, monkeypatch):
         assert {v: roots.get(v, v) for v in signed.values()} == want
 
 
-def test_one_of_each_group_stays(spark):
-    frame = clashing(documents(spark))
-    kept = simhash.keep_one_each(frame)
-    assert kept.columns == frame.columns
-    # 1 and 10 (twice) share a text; 2, 3, 4 and the row of nulls are all empty.
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 2, 5, 6, 7, 8, 9, None, 11]))
-    assert simhash.keep_one_each(documents(spark, [])).count() == 0
-
-
 def plain_quality(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
