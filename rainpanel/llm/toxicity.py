@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -137,7 +138,7 @@ class Model:
         for i, (doc, toxic) in enumerate(zip(*columns, strict=True)):
             term, count = (c[i].values.to_numpy(zero_copy_only=False) for c in lists)
             if len(term):
-                vote = votes.setdefault(term.tobytes() + count.tobytes(), [0, 0, doc, term, count])
+                vote = votes.setdefault(xxhash.xxh128_digest(term.tobytes() + count.tobytes()), [0, 0, doc, term, count])
                 vote[0] += 1
                 vote[1] += toxic
                 vote[2] = min(vote[2], doc)
@@ -147,23 +148,27 @@ class Model:
         self.ends = np.append(0, np.cumsum([len(v[3]) for v in vectors])).astype(np.int64)
         self.term, self.count = (np.concatenate([v[j] for v in vectors] or [[]]).astype(np.int32) for j in (3, 4))
         self.steps: tuple[list[float], list[float]] = ([0.0, 1.0], [0.0, 1.0])
-        self._build()
+        self._seen: dict = {}
 
-    def _build(self) -> None:
-        """Unit vectors and inverted lists, which every worker makes for itself."""
+    @cached_property
+    def value(self) -> np.ndarray:
+        """Unit vectors. They and the lists are made where they are first used, so never on the driver."""
         value = (1 + np.log(self.count)) * self.weight[self.term]
         sizes = np.diff(self.ends)
         example = np.repeat(np.arange(len(sizes)), sizes)
-        self.value = (value / np.sqrt(np.bincount(example, value ** 2, len(sizes)))[example]).astype(np.float32)
-        self.index = BlockMaxIndex(example, self.term, self.value, len(sizes), len(self.terms))
-        self._seen: dict = {}
+        return (value / np.sqrt(np.bincount(example, value ** 2, len(sizes)))[example]).astype(np.float32)
+
+    @cached_property
+    def index(self) -> BlockMaxIndex:
+        example = np.repeat(np.arange(len(self.docs)), np.diff(self.ends))
+        return BlockMaxIndex(example, self.term, self.value, len(self.docs), len(self.terms))
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("value", "index", "_seen")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
-        self._build()
+        self._seen: dict = {}
 
     def unit(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
         """Weights of a text's terms, of length 1."""
