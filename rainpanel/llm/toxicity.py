@@ -22,6 +22,12 @@ MAX_EXAMPLES = 10_000
 NEIGHBOURS = 25
 #: Examples of a block.
 BLOCK = 4096
+#: More than sums of single-precision weights are wrong by.
+MARGIN = 1e-5
+#: Longest lists that are kept as rows of a matrix, at most.
+ROWS = 512
+#: Texts that are multiplied with it at once.
+GROUP = 64
 CUT = 0.7
 #: Longer words also count by their first letters.
 PREFIX = 7
@@ -32,7 +38,7 @@ NEARNESS = 0.01
 #: What the votes of neighbours must outweigh.
 DOUBT = 0.5
 #: Bytes of text that are split at once.
-SPLIT = 6_000_000
+SPLIT = 3_000_000
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -74,50 +80,77 @@ def parts_of(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
 class BlockMaxIndex:
     """Inverted lists over example vectors, cut into blocks of examples that know each term's largest weight.
 
-    A query adds up the largest possible score of each block, opens the promising ones and then those
-    that can still matter, reading only their parts of the lists; it ends when no closed block can reach the k-th best score
-    found, so the result is that of comparing with every vector.
+    Lists of the commonest terms hold nearly every example, so they are kept as rows of a matrix and
+    multiplied with several queries at once (:meth:`common`). The k-th best of these sums is a floor: a
+    query adds up the largest possible score of each block and reads only the parts of the other lists
+    that lie in blocks which can reach it, so the result is that of comparing with every vector.
     """
 
     def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, size: int, n_terms: int, block: int = BLOCK):
+        """``example`` is in order; weights are above 0."""
         self.block, self.size, self.blocks = block, size, max(1, -(-size // block))
-        order = np.lexsort((example, term))
-        self.example, self.weight = example[order].astype(np.int32), weight[order].astype(np.float32)
-        # Lists are in order of term and block; ``ends`` cuts them.
-        cell = term[order].astype(np.int64) * self.blocks + self.example // block
+        lengths = np.bincount(term, minlength=n_terms)
+        longest = np.argsort(-lengths, kind="stable")[:ROWS]
+        longest = longest[lengths[longest] > size / 8]
+        self.row = np.full(n_terms, -1, dtype=np.int32)
+        self.row[longest] = np.arange(len(longest))
+        self.matrix = np.zeros((len(longest), size), dtype=np.float32)
+        row = self.row[term]
+        self.matrix[row[row >= 0], example[row >= 0]] = weight[row >= 0]
+        example, term, weight = (x[row < 0] for x in (example, term, weight))
+        order = np.argsort(term, kind="stable")
+        # Entries are an example and the bits of its weight. Lists are in order of term and block; ``ends`` cuts them.
+        weight = weight[order].astype(np.float32)
+        self.entries = np.stack([example[order].astype(np.int32), weight.view(np.int32)], axis=1)
+        cell = term[order].astype(np.int64) * self.blocks + example[order] // block
         self.ends = np.searchsorted(cell, np.arange(n_terms * self.blocks + 1)).astype(np.int32)
         self.most = np.zeros(n_terms * self.blocks, dtype=np.float32)
         held = np.nonzero(np.diff(self.ends))[0]
         if len(held):
-            self.most[held] = np.maximum.reduceat(self.weight, self.ends[held])
+            self.most[held] = np.maximum.reduceat(weight, self.ends[held])
         self.most = self.most.reshape(n_terms, self.blocks)
 
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the k best vectors; of equals, the lower number."""
-        found, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
+    def common(self, queries: Sequence[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the commonest terms of each query (terms, weights) add to the score of every vector."""
+        left = np.zeros((len(queries), len(self.matrix)), dtype=np.float32)
+        for i, (term, weight) in enumerate(queries):
+            row = self.row[term]
+            left[i, row[row >= 0]] = weight[row >= 0]
+        return left @ self.matrix
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and cosines of the k best vectors; of equals, the lower number. ``base``: the query's row of :meth:`common`."""
+        if base is None:
+            base = self.common([(term, weight)])[0]
+        rare = self.row[term] < 0
+        term, weight = term[rare].astype(np.int64), weight[rare].astype(np.float32)
         bound = weight @ self.most[term]
-        closed = bound > 0
-        least = 0.5 * float(bound.max(initial=0.0))
-        while True:
-            opened = np.nonzero(closed & (bound >= least - 1e-6))[0]
-            if not len(opened):
-                break
-            closed[opened] = False
-            # Blocks that follow one another are one part of a list.
-            run = np.split(opened, np.nonzero(np.diff(opened) > 1)[0] + 1)
-            low, high = (np.array([r[e] for r in run]) for e in (0, -1))
-            cell = term.astype(np.int64)[:, None] * self.blocks
-            start, end = self.ends[cell + low].ravel(), self.ends[cell + high + 1].ravel()
-            some = end > start
-            parts = [slice(a, b) for a, b in zip(start[some].tolist(), end[some].tolist(), strict=True)]
-            value = np.concatenate([self.weight[p] for p in parts])
-            value *= np.repeat(np.repeat(weight.astype(np.float32), len(run))[some], (end - start)[some])
-            total = np.bincount(np.concatenate([self.example[p] for p in parts]), value, self.size)
-            new = np.nonzero(total)[0]
-            found, scores = np.append(found, new), np.append(scores, np.round(total[new], 6))
-            # Only blocks that can still reach the k-th best stay of interest.
-            least = float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
-        found, scores = found[scores >= least], scores[scores >= least]
+        if self.size:
+            bound += np.maximum.reduceat(base, np.arange(0, self.size, self.block))
+        # Other terms only add, so the k-th best of the common ones is in reach of the true k-th best.
+        least = float(np.partition(base, -k)[-k]) if self.size >= k else 0.0
+        opened = np.nonzero(bound >= max(least - MARGIN, MARGIN))[0]
+        if not len(opened):
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
+        # Blocks that follow one another are one part of a list.
+        run = np.split(opened, np.nonzero(np.diff(opened) > 1)[0] + 1)
+        low, high = (np.array([r[e] for r in run]) for e in (0, -1))
+        cell = term[:, None] * self.blocks
+        start, end = self.ends[cell + low].ravel(), self.ends[cell + high + 1].ravel()
+        some = end > start
+        start, end = start[some], end[some]
+        scores = base
+        if len(start):
+            entries = np.concatenate([self.entries[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+            value = entries.view(np.float32)[:, 1] * np.repeat(np.repeat(weight, len(run))[some], end - start)
+            scores = base + np.bincount(entries[:, 0], value, self.size)
+        inside = np.zeros(self.blocks, dtype=bool)
+        inside[opened] = True
+        if not inside.all():
+            scores = np.where(np.repeat(inside, self.block)[:self.size], scores, 0)
+        least = float(np.partition(scores, -k)[-k]) if self.size >= k else 0.0
+        found = np.nonzero(scores >= max(least - MARGIN, MARGIN))[0]
+        scores = np.round(scores[found].astype(float), 6)
         best = np.lexsort((found, -scores))[:k]
         return found[best], scores[best]
 
@@ -160,7 +193,7 @@ class Model:
 
     @cached_property
     def index(self) -> BlockMaxIndex:
-        example = np.repeat(np.arange(len(self.docs)), np.diff(self.ends))
+        example = np.repeat(np.arange(len(self.docs), dtype=np.int32), np.diff(self.ends))
         return BlockMaxIndex(example, self.term, self.value, len(self.docs), len(self.terms))
 
     def __getstate__(self) -> dict:
@@ -175,9 +208,14 @@ class Model:
         weight = (1 + np.log(count)) * self.weight[term]
         return weight / np.sqrt((weight ** 2).sum())
 
-    def vote(self, term: np.ndarray, weight: np.ndarray, leave: tuple[int, int] | None = None) -> tuple[float, np.ndarray]:
-        """Share of toxic votes of the neighbours, each by its cosine over its distance; ``leave``: a vector and one label of it to take out."""
-        near, cosine = self.index.nearest(term, weight, self.neighbours)
+    def vote(
+        self, term: np.ndarray, weight: np.ndarray, leave: tuple[int, int] | None = None, base: np.ndarray | None = None,
+    ) -> tuple[float, np.ndarray]:
+        """Share of toxic votes of the neighbours, each by its cosine over its distance.
+
+        ``leave``: a vector and one label of it to take out; ``base``: as in :meth:`BlockMaxIndex.nearest`.
+        """
+        near, cosine = self.index.nearest(term, weight, self.neighbours, base)
         n, toxic = self.all[near].astype(float), self.toxic[near].astype(float)
         if leave is not None:
             own = near == leave[0]
@@ -201,26 +239,30 @@ class Model:
 
     def score(self, term: np.ndarray, count: np.ndarray) -> tuple[float, list[int], list[str]]:
         """Score, ids of the nearest examples, and the terms that weigh most."""
-        if not len(term):
-            return self.bare_rate, [], []
-        key = xxhash.xxh128_digest(term.tobytes() + count.tobytes())
-        if key not in self._seen:
-            if len(self._seen) > 20_000:
-                self._seen.clear()
-            weight = self.unit(term, count)
-            vote, near = self.vote(term, weight)
+        return self._scored([(term, count)])[0]
+
+    def _scored(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[int], list[str]]]:
+        """:meth:`score` of a group of texts; those met before are remembered."""
+        if len(self._seen) > 20_000:
+            self._seen.clear()
+        keys = [xxhash.xxh128_digest(term.tobytes() + count.tobytes()) for term, count in texts]
+        new = {key: text for key, text in zip(keys, texts, strict=True) if len(text[0]) and key not in self._seen}
+        queries = [(term, self.unit(term, count)) for term, count in new.values()]
+        for key, (term, weight), base in zip(new, queries, self.index.common(queries), strict=True):
+            vote, near = self.vote(term, weight, base=base)
             score = float(np.interp(vote, *self.steps)) if len(near) else self.bare_rate
             heavy = term[np.argsort(-weight, kind="stable")[:8]]
             self._seen[key] = score, self.docs[near[:3]].tolist(), [self.terms[int(t)].as_py() for t in heavy]
-        return self._seen[key]
+        return [self._seen[key] if len(text[0]) else (self.bare_rate, [], []) for key, text in zip(keys, texts, strict=True)]
 
     def scores(self, texts: pa.Array) -> Iterator[tuple[float, list[int], list[str]]]:
         """:meth:`score` of every text of a batch, in order."""
         for _, part in parts_of(texts):
             owner, term, count = counted_terms(part, self.terms)
-            ends = np.searchsorted(owner, np.arange(len(part) + 1))
-            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                yield self.score(term[a:b], count[a:b])
+            ends = np.searchsorted(owner, np.arange(len(part) + 1)).tolist()
+            for g in range(0, len(part), GROUP):
+                cuts = ends[g:g + GROUP + 1]
+                yield from self._scored([(term[a:b], count[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
 
 
 def learnable(doc_id):
@@ -332,11 +374,13 @@ def _calibrated(model: Model, shared: Broadcast, spark) -> Steps:
     def leave_one_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, found = shared.value, []
         for batch in batches:
-            for i in batch.column(0).to_pylist():
-                at = slice(m.ends[i], m.ends[i + 1])
-                for label, n in ((1, m.toxic[i]), (0, m.all[i] - m.toxic[i])):
-                    if n:
-                        found.append((round(m.vote(m.term[at], m.value[at], (i, label))[0], 3), int(n), int(n) * label))
+            for g in range(0, len(batch), GROUP):
+                group = batch.column(0).slice(g, GROUP).to_pylist()
+                queries = [(m.term[m.ends[i]:m.ends[i + 1]], m.value[m.ends[i]:m.ends[i + 1]]) for i in group]
+                for i, (term, weight), base in zip(group, queries, m.index.common(queries), strict=True):
+                    for label, n in ((1, m.toxic[i]), (0, m.all[i] - m.toxic[i])):
+                        if n:
+                            found.append((round(m.vote(term, weight, (i, label), base)[0], 3), int(n), int(n) * label))
         yield pa.RecordBatch.from_arrays(
             [pa.array([f[j] for f in found], t) for j, t in enumerate((pa.float64(), pa.int64(), pa.int64()))], names=["v", "n", "y"])
 
