@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 from rainpanel.llm.common import SPACE_IN_RUN, bind
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Different words that a worker remembers the ids of.
-REMEMBERED = 400_000
+#: Different words, and different pieces of words, that a worker remembers the ids of, twice at most.
+REMEMBERED = 250_000
 #: Pieces of more bytes are merged with a heap instead of a scan.
 LONG = 128
 
@@ -93,7 +93,7 @@ def _fold_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class WordEncoder:
-    """Ids of whole texts, folding each different word once.
+    """Ids of whole texts, folding each different piece once while it is remembered.
 
     The pattern starts a new piece at every space that white space does not surround, so the pieces of
     a text are those of its space-separated chunks, each with the space before it. Texts with a space
@@ -103,22 +103,38 @@ class WordEncoder:
     def __init__(self, content: bytes, pattern: str = public_tokenizers.PATTERN, remembered: int = REMEMBERED):
         self.ranks, self.pattern, self.remembered = load_ranks(content), regex.compile(pattern), remembered
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        # What was known before the last change of memory; what is met again comes back from there.
+        self.known_before: dict[str, bytes] = {}
+        self.pieces_before: dict[str, bytes] = {}
 
-    def _learn(self, word: str, pieces: list[str]) -> bytes:
+    def _learn(self, word: str) -> bytes:
         if len(self.known) >= self.remembered:
-            self.known.clear()
-        ids = [i for p in pieces for i in fold_merges(p.encode(), self.ranks)]
-        self.known[word] = found = struct.pack(f"<{len(ids)}i", *ids)
+            self.known_before, self.known = self.known, {}
+        if (found := self.known_before.get(word)) is None:
+            pieces = self.pieces
+            found = b"".join([pieces.get(p) or self._piece(p) for p in self.pattern.findall(word)])
+        self.known[word] = found
+        return found
+
+    def _piece(self, piece: str) -> bytes:
+        if len(self.pieces) >= self.remembered:
+            self.pieces_before, self.pieces = self.pieces, {}
+        if (found := self.pieces_before.get(piece)) is None:
+            ids = fold_merges(piece.encode(), self.ranks)
+            found = struct.pack(f"<{len(ids)}i", *ids)
+        self.pieces[piece] = found
         return found
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids."""
         text, known = text or "", self.known
         if SPACE_IN_RUN.search(text):
-            return b"".join([known.get(p) or self._learn(p, [p]) for p in self.pattern.findall(text)])
+            pieces = self.pieces
+            return b"".join([pieces.get(p) or self._piece(p) for p in self.pattern.findall(text)])
         first, *rest = text.split(" ")
         chunks = [first, *(" " + c for c in rest)]
-        return b"".join([known.get(c) or self._learn(c, self.pattern.findall(c)) for c in chunks])
+        return b"".join([known.get(c) or self._learn(c) for c in chunks])
 
 
 _ENCODERS: dict[int, WordEncoder] = {}
