@@ -26,8 +26,6 @@ BLOCK = 4096
 MARGIN = 1e-5
 #: Longest lists that are kept as rows of a matrix, at most.
 ROWS = 512
-#: Texts that are multiplied with it at once.
-GROUP = 64
 CUT = 0.7
 #: Longer words also count by their first letters.
 PREFIX = 7
@@ -38,7 +36,7 @@ NEARNESS = 0.01
 #: What the votes of neighbours must outweigh.
 DOUBT = 0.5
 #: Bytes of text that are split at once.
-SPLIT = 3_000_000
+SPLIT = 6_000_000
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -80,8 +78,8 @@ def parts_of(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
 class BlockMaxIndex:
     """Inverted lists over example vectors, cut into blocks of examples that know each term's largest weight.
 
-    Lists of the commonest terms hold nearly every example, so they are kept as rows of a matrix and
-    multiplied with several queries at once (:meth:`common`). The k-th best of these sums is a floor: a
+    Lists of the commonest terms hold nearly every example, so they are kept as rows of a matrix that
+    are added up whole (:meth:`common`). The k-th best of these sums is a floor: a
     query adds up the largest possible score of each block and reads only the parts of the other lists
     that lie in blocks which can reach it, so the result is that of comparing with every vector.
     """
@@ -110,18 +108,19 @@ class BlockMaxIndex:
             self.most[held] = np.maximum.reduceat(weight, self.ends[held])
         self.most = self.most.reshape(n_terms, self.blocks)
 
-    def common(self, queries: Sequence[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """What the commonest terms of each query (terms, weights) add to the score of every vector."""
-        left = np.zeros((len(queries), len(self.matrix)), dtype=np.float32)
-        for i, (term, weight) in enumerate(queries):
-            row = self.row[term]
-            left[i, row[row >= 0]] = weight[row >= 0]
-        return left @ self.matrix
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the k best vectors; of equals, the lower number. ``base``: the query's row of :meth:`common`."""
-        if base is None:
-            base = self.common([(term, weight)])[0]
+    def common(self, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What the commonest terms of a query add to the score of every vector."""
+        total, part = np.zeros(self.size, dtype=np.float32), np.empty(self.size, dtype=np.float32)
+        rows = self.row[term]
+        # Row by row: a matrix product would wake threads that a worker's core is not shared with.
+        for r, w in zip(rows[rows >= 0].tolist(), weight[rows >= 0].tolist(), strict=True):
+            np.multiply(self.matrix[r], w, out=part)
+            total += part
+        return total
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and cosines of the k best vectors; of equals, the lower number."""
+        base = self.common(term, weight)
         rare = self.row[term] < 0
         term, weight = term[rare].astype(np.int64), weight[rare].astype(np.float32)
         bound = weight @ self.most[term]
@@ -208,14 +207,9 @@ class Model:
         weight = (1 + np.log(count)) * self.weight[term]
         return weight / np.sqrt((weight ** 2).sum())
 
-    def vote(
-        self, term: np.ndarray, weight: np.ndarray, leave: tuple[int, int] | None = None, base: np.ndarray | None = None,
-    ) -> tuple[float, np.ndarray]:
-        """Share of toxic votes of the neighbours, each by its cosine over its distance.
-
-        ``leave``: a vector and one label of it to take out; ``base``: as in :meth:`BlockMaxIndex.nearest`.
-        """
-        near, cosine = self.index.nearest(term, weight, self.neighbours, base)
+    def vote(self, term: np.ndarray, weight: np.ndarray, leave: tuple[int, int] | None = None) -> tuple[float, np.ndarray]:
+        """Share of toxic votes of the neighbours, each by its cosine over its distance; ``leave``: a vector and one label of it to take out."""
+        near, cosine = self.index.nearest(term, weight, self.neighbours)
         n, toxic = self.all[near].astype(float), self.toxic[near].astype(float)
         if leave is not None:
             own = near == leave[0]
@@ -239,30 +233,26 @@ class Model:
 
     def score(self, term: np.ndarray, count: np.ndarray) -> tuple[float, list[int], list[str]]:
         """Score, ids of the nearest examples, and the terms that weigh most."""
-        return self._scored([(term, count)])[0]
-
-    def _scored(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[int], list[str]]]:
-        """:meth:`score` of a group of texts; those met before are remembered."""
-        if len(self._seen) > 20_000:
-            self._seen.clear()
-        keys = [xxhash.xxh128_digest(term.tobytes() + count.tobytes()) for term, count in texts]
-        new = {key: text for key, text in zip(keys, texts, strict=True) if len(text[0]) and key not in self._seen}
-        queries = [(term, self.unit(term, count)) for term, count in new.values()]
-        for key, (term, weight), base in zip(new, queries, self.index.common(queries), strict=True):
-            vote, near = self.vote(term, weight, base=base)
+        if not len(term):
+            return self.bare_rate, [], []
+        key = xxhash.xxh128_digest(term.tobytes() + count.tobytes())
+        if key not in self._seen:
+            if len(self._seen) > 5_000:
+                self._seen.clear()
+            weight = self.unit(term, count)
+            vote, near = self.vote(term, weight)
             score = float(np.interp(vote, *self.steps)) if len(near) else self.bare_rate
             heavy = term[np.argsort(-weight, kind="stable")[:8]]
-            self._seen[key] = score, self.docs[near[:3]].tolist(), [self.terms[int(t)].as_py() for t in heavy]
-        return [self._seen[key] if len(text[0]) else (self.bare_rate, [], []) for key, text in zip(keys, texts, strict=True)]
+            self._seen[key] = score, self.docs[near[:3]].tolist(), self.terms.take(pa.array(heavy)).to_pylist()
+        return self._seen[key]
 
     def scores(self, texts: pa.Array) -> Iterator[tuple[float, list[int], list[str]]]:
         """:meth:`score` of every text of a batch, in order."""
         for _, part in parts_of(texts):
             owner, term, count = counted_terms(part, self.terms)
-            ends = np.searchsorted(owner, np.arange(len(part) + 1)).tolist()
-            for g in range(0, len(part), GROUP):
-                cuts = ends[g:g + GROUP + 1]
-                yield from self._scored([(term[a:b], count[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+            ends = np.searchsorted(owner, np.arange(len(part) + 1))
+            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                yield self.score(term[a:b], count[a:b])
 
 
 def learnable(doc_id):
@@ -374,13 +364,11 @@ def _calibrated(model: Model, shared: Broadcast, spark) -> Steps:
     def leave_one_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, found = shared.value, []
         for batch in batches:
-            for g in range(0, len(batch), GROUP):
-                group = batch.column(0).slice(g, GROUP).to_pylist()
-                queries = [(m.term[m.ends[i]:m.ends[i + 1]], m.value[m.ends[i]:m.ends[i + 1]]) for i in group]
-                for i, (term, weight), base in zip(group, queries, m.index.common(queries), strict=True):
-                    for label, n in ((1, m.toxic[i]), (0, m.all[i] - m.toxic[i])):
-                        if n:
-                            found.append((round(m.vote(term, weight, (i, label), base)[0], 3), int(n), int(n) * label))
+            for i in batch.column(0).to_pylist():
+                at = slice(m.ends[i], m.ends[i + 1])
+                for label, n in ((1, m.toxic[i]), (0, m.all[i] - m.toxic[i])):
+                    if n:
+                        found.append((round(m.vote(m.term[at], m.value[at], (i, label))[0], 3), int(n), int(n) * label))
         yield pa.RecordBatch.from_arrays(
             [pa.array([f[j] for f in found], t) for j, t in enumerate((pa.float64(), pa.int64(), pa.int64()))], names=["v", "n", "y"])
 
@@ -390,8 +378,13 @@ def _calibrated(model: Model, shared: Broadcast, spark) -> Steps:
 
 
 def _ready(shared: Broadcast, steps: Steps) -> Model:
+    """The model of a worker that scores: with its index, without the vectors that only fitting needs."""
     model = shared.value
     model.steps = steps
+    if "index" not in model.__dict__:
+        model.index  # noqa: B018
+    for name in ("value", "term", "count"):
+        model.__dict__.pop(name, None)
     return model
 
 
