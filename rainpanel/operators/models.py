@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping, Sequence
 from itertools import product
 
@@ -17,11 +18,15 @@ from rainpanel.operators.features import (
     feature_stages,
 )
 from rainpanel.schema import MODEL_CATEGORICAL, MODEL_NUMERIC
-from rainpanel.sources.tables import use_checkpoint_folder
+from rainpanel.sources.tables import settled, use_checkpoint_folder
 
 # Settings of the two models.
 FOREST_SETTINGS = {"numTrees": 100, "maxDepth": 10, "seed": 42}
 BOOSTING_SETTINGS = {"maxIter": 100, "maxDepth": 8, "stepSize": 0.1, "seed": 42}
+#: Rounds of boosting between checkpoints; the trees since the last one travel with every task. No result depends on it.
+CHECKPOINT_ROUNDS = 3
+#: Training rows for each partition, at least: a level of a tree is a job, and each of its tasks unpacks all nodes so far.
+PARTITION_ROWS = 8_192
 
 
 def regressor(kind: str, **settings):
@@ -30,7 +35,7 @@ def regressor(kind: str, **settings):
     if kind == "rf":
         return RandomForestRegressor(**columns, **(FOREST_SETTINGS | settings))
     if kind == "gbt":
-        return GBTRegressor(**columns, **(BOOSTING_SETTINGS | settings))
+        return GBTRegressor(**columns, **({"checkpointInterval": CHECKPOINT_ROUNDS} | BOOSTING_SETTINGS | settings))
     raise ValueError(f"unknown model kind: {kind}")
 
 
@@ -47,16 +52,22 @@ def _training_rows(df: DataFrame, category_limit: int | None = None) -> DataFram
     return train
 
 
+def _inputs(features: PipelineModel, rows: DataFrame) -> DataFrame:
+    """Labels and vectors of training rows, settled, in no more partitions than their number calls for.
+
+    Every level of every tree reads them in a job of its own. Whatever stands behind them travels with each
+    task of it, so they start from the checkpoint folder; without one they are kept by the executors.
+    """
+    partitions = max(1, math.ceil(rows.count() / PARTITION_ROWS))
+    return settled(features.transform(rows).select(RAIN, SCALED_VECTOR).coalesce(partitions)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit_model(kind: str, train: DataFrame, category_limit: int | None = None, **settings) -> PipelineModel:
     """Fit features and model on training rows, as one pipeline that scores raw rows later.
 
     ``category_limit`` is that of :func:`check_categories`.
     """
-    train = _training_rows(train, category_limit)
-    try:
-        return Pipeline(stages=[*feature_stages(), regressor(kind, **settings)]).fit(train)
-    finally:
-        train.unpersist()
+    return fit_models((kind,), train, {kind: settings}, category_limit)[kind]
 
 
 def fit_models(
@@ -69,7 +80,7 @@ def fit_models(
     rows = _training_rows(train, category_limit)
     try:
         features = feature_pipeline().fit(rows)
-        inputs = features.transform(rows).select(RAIN, SCALED_VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
+        inputs = _inputs(features, rows)
         try:
             return {
                 kind: PipelineModel([*features.stages, regressor(kind, **(settings or {}).get(kind, {})).fit(inputs)])

@@ -145,6 +145,19 @@ def test_training_reads_its_rows_once(spark, panel, tmp_path):
     assert read.value == panel.count()
 
 
+def test_few_training_rows_are_few_tasks(spark, panel):
+    """Every level of every tree is a job over these partitions, started from the checkpoint folder."""
+    rows = features.add_calendar_features(panel).repartition(40)
+    pipeline = features.feature_pipeline().fit(rows)
+    inputs = models._inputs(pipeline, rows)
+    assert inputs.rdd.getNumPartitions() == 1 and inputs.count() == panel.count()
+    assert "ExistingRDD" in inputs._jdf.queryExecution().explainString(inputs._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    many = rows.unionAll(rows).withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(20))))
+    assert models._inputs(pipeline, many).rdd.getNumPartitions() == -(-many.count() // models.PARTITION_ROWS) > 1
+    model = models.fit_model("gbt", panel, **SMALL["gbt"]).stages[-1]
+    assert model.getOrDefault("checkpointInterval") == models.CHECKPOINT_ROUNDS
+
+
 def test_train_with_the_long_term_kind(spark, panel, tmp_path):
     trained = jobs.train(panel, ("longterm",), 2021, str(tmp_path))
     assert trained.models == {} and trained.metrics is None
