@@ -39,15 +39,15 @@ def regressor(kind: str, **settings):
     raise ValueError(f"unknown model kind: {kind}")
 
 
-def _training_rows(df: DataFrame, category_limit: int | None = None) -> DataFrame:
-    """Rows with a label, kept while models train on them.
+def _training_rows(df: DataFrame, category_limit: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows with a label (and their columns ``keep``), kept while models train on them.
 
     With a checkpoint folder, boosting over many rounds restarts from shared storage when an
     executor is lost.
     """
     use_checkpoint_folder(df.sparkSession)
     rows = add_calendar_features(df).filter(F.col(RAIN).isNotNull())
-    train = rows.select(RAIN, *MODEL_NUMERIC, *MODEL_CATEGORICAL).persist(StorageLevel.MEMORY_AND_DISK)
+    train = rows.select(RAIN, *MODEL_NUMERIC, *MODEL_CATEGORICAL, *keep).persist(StorageLevel.MEMORY_AND_DISK)
     check_categories(train, limit=category_limit)
     return train
 
@@ -185,25 +185,28 @@ def search_settings(
     kind: str, df: DataFrame, grid: Mapping[str, Iterable], test_years: Sequence[int], **settings
 ) -> DataFrame:
     """Error of each combination of settings, validated on each year with only earlier years as
-    training rows: ``settings, test_year, n, rmse, mae, r2``."""
+    training rows: ``settings, test_year, n, rmse, mae, r2``. The rows are read once for all years."""
     spark = df.sparkSession
     combinations = [dict(zip(grid, values)) for values in product(*grid.values())]
     results = []
-    for year in test_years:
-        train = _training_rows(df.filter(F.col("annee") < year))
-        features = feature_pipeline().fit(train)
-        inputs = features.transform(train).select(RAIN, SCALED_VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
-        test = features.transform(add_calendar_features(df.filter(F.col("annee") == year)))
-        test = test.select(RAIN, SCALED_VECTOR).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for chosen in combinations:
-                model = regressor(kind, **(settings | chosen)).fit(inputs)
-                metrics = regression_metrics(model.transform(test)).first()
-                label = ", ".join(f"{name}={value}" for name, value in sorted(chosen.items()))
-                results.append((label, int(year), *metrics))
-        finally:
-            for frame in (train, inputs, test):
-                frame.unpersist()
+    rows = _training_rows(df.filter(F.col("annee") <= max(test_years)), keep=["annee"])
+    try:
+        for year in test_years:
+            train = rows.filter(F.col("annee") < year)
+            features = feature_pipeline().fit(train)
+            inputs = _inputs(features, train)
+            test = _inputs(features, rows.filter(F.col("annee") == year))
+            try:
+                for chosen in combinations:
+                    model = regressor(kind, **(settings | chosen)).fit(inputs)
+                    metrics = regression_metrics(model.transform(test)).first()
+                    label = ", ".join(f"{name}={value}" for name, value in sorted(chosen.items()))
+                    results.append((label, int(year), *metrics))
+            finally:
+                for frame in (inputs, test):
+                    frame.unpersist()
+    finally:
+        rows.unpersist()
     return spark.createDataFrame(
         results, "settings string, test_year int, n bigint, rmse double, mae double, r2 double"
     )

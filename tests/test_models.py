@@ -158,6 +158,21 @@ def test_few_training_rows_are_few_tasks(spark, panel):
     assert model.getOrDefault("checkpointInterval") == models.CHECKPOINT_ROUNDS
 
 
+def test_search_reads_its_rows_once(spark, panel):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for row in rows:
+            read.add(1)
+            yield row
+
+    counted = spark.createDataFrame(panel.rdd.mapPartitions(seen), SCHEMA)
+    found = models.search_settings("rf", counted, {"maxDepth": (1, 2)}, test_years=(2020, 2021), numTrees=3)
+    assert read.value == panel.count()
+    years = {r["annee"]: r["count"] for r in panel.groupBy("annee").count().collect()}
+    assert {(r["test_year"], r["n"]) for r in found.collect()} == {(y, years[y]) for y in (2020, 2021)}
+
+
 def test_train_with_the_long_term_kind(spark, panel, tmp_path):
     trained = jobs.train(panel, ("longterm",), 2021, str(tmp_path))
     assert trained.models == {} and trained.metrics is None
