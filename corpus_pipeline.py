@@ -26,6 +26,8 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near-duplicates (five-word similarity of 0.8 or more), that of the smallest id.
 
+    SimHash fingerprints meet by pivot distance tables, pass a coordinate filter and a bit-by-bit check, and are
+    linked where the shingle sets themselves are alike enough; star contraction makes the groups.
     NULL, empty and blank texts are one group; other columns pass through, whatever their names.
     """
     return near_copies.keep_one_each(docs)

@@ -1,20 +1,22 @@
-"""SimHash near-duplicates by five-word similarity: wide fingerprints, cells of sampled bits, exact verification.
+"""SimHash near-duplicates by five-word similarity: wide fingerprints, pivot distance tables, exact verification.
 
-At a Jaccard similarity of 0.8 some 15 % of a fingerprint's bits differ, ten of 64, so blocks of agreeing
-bits and pivot distances tell nothing there. Fingerprints here have 256 bits; a pair is a candidate where
-it agrees on all sampled bits of one of many tables and differs in few bits altogether, and a link where
-the shingle sets themselves say so.
+At a Jaccard similarity of 0.8 some 15 % of a fingerprint's bits differ, ten of 64, too many for four blocks.
+Fingerprints here have 256 bits, and every table has a block of sampled bits with pivots of its own. A pair is
+a candidate where its distances to the pivots of one table differ by the same amounts (as they do where it
+agrees on the block), its distances to the wide pivots differ by few bits, and so does the pair itself; it is
+a link where the shingle sets themselves say so.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +32,14 @@ RECALL = 0.97
 CELL_ROWS, LEAST_BITS = 256, 16
 #: Cells with more rows are cut into blocks, and every block meets every other.
 CELL_LIMIT = 4_096
+#: Tables of the first round, which joins most of a family by one link a row and table.
+FIRST_TABLES = 8
+#: Lower bits of a cell's number, which name its table.
+TABLE_BITS = 12
+#: Cells of at most so many rows may be verified by one table of common shingles.
+DENSE_ROWS = 3_000
+#: Pivots over all bits, for the coordinate filter.
+WIDE_PIVOTS = 8
 PRINT = [f"f{k}" for k in range(WORDS)]
 
 
@@ -93,11 +103,47 @@ def _arrow_names(batch: pa.RecordBatch, schema: T.StructType) -> pa.Schema:
     return pa.schema([batch.schema.field(0), batch.schema.field(1), *(pa.field(c, pa.int64()) for c in schema.names[2:])])
 
 
+@cache
+def block_pivots(bits: int, table: int) -> np.ndarray:
+    """Reference patterns inside a table's block, one for each of its bits, a row of zeros and ones each."""
+    return np.random.default_rng([7, table]).integers(0, 2, (bits, bits)).astype(np.float32)
+
+
+@cache
+def _mix(bits: int, table: int) -> np.ndarray:
+    return np.random.default_rng([13, table]).integers(-(1 << 62), 1 << 62, bits) | 1
+
+
+def pivot_cells(block: np.ndarray, table: int) -> np.ndarray:
+    """The cell of each row of zeros and ones: by how much its distances to the pivots differ from that to zero.
+
+    Rows that agree on the block lie at equal distances, so they share a cell.
+    """
+    pivots = block_pivots(block.shape[1], table)
+    to_zero = block.sum(axis=1, dtype=np.int64)[:, None]
+    distances = to_zero + (pivots.sum(axis=1) - 2 * (block.astype(np.float32) @ pivots.T)).astype(np.int64)
+    return ((distances - to_zero) @ _mix(len(pivots), table) >> TABLE_BITS << TABLE_BITS) + table
+
+
+def picked_bits(bits: int, tables: int) -> list[np.ndarray]:
+    """The bits of every table's block."""
+    draw = np.random.default_rng(5)
+    return [draw.choice(BITS, size=bits, replace=False) for _ in range(tables)]
+
+
+def coordinates(prints: np.ndarray) -> np.ndarray:
+    """Distances of whole fingerprints to zero and to the wide pivots.
+
+    By the triangle inequality two of them differ in no fewer bits than any of their coordinates does.
+    """
+    pivots = np.random.default_rng(11).integers(0, 1 << 64, (WIDE_PIVOTS, WORDS), dtype=np.uint64)
+    pivots[0] = 0
+    return np.bitwise_count(prints[:, None] ^ pivots).sum(axis=2, dtype=np.int16)
+
+
 def _dealt(nodes: DataFrame, bits: int, tables: int) -> DataFrame:
     """Every row of ``nodes`` (``node``, fingerprint, ``part``) once for each table, with its ``cell`` there."""
-    draw = np.random.default_rng(5)
-    picks = [draw.choice(BITS, size=bits, replace=False) for _ in range(tables)]
-    powers = np.int64(1) << np.arange(bits, dtype=np.int64)
+    picks = picked_bits(bits, tables)
     names = ["cell", "node", "part", *PRINT]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,61 +152,39 @@ def _dealt(nodes: DataFrame, bits: int, tables: int) -> DataFrame:
             prints = np.column_stack([c.to_numpy() for c in own[2:]])
             flat = np.unpackbits(prints.view(np.uint8), axis=1)
             for n, pick in enumerate(picks):
-                cell = (flat[:, pick] @ powers) * np.int64(tables) + np.int64(n) if bits < 48 else np.fromiter(
-                    (xxhash.xxh64_intdigest(r.tobytes(), n) >> 1 for r in flat[:, pick]), np.int64, len(flat))
-                yield pa.RecordBatch.from_arrays([pa.array(cell), *own], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(pivot_cells(flat[:, pick], n)), *own], names=names)
 
     return nodes.select(names[1:]).mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
-def _in_cells(dealt: DataFrame, most: int, every: bool) -> DataFrame:
-    """Candidate pairs ``a``, ``b`` of one cell and different ``part``, at most ``most`` bits apart.
-
-    Where a cell holds many of them and not ``every`` one is asked for, each row brings only its nearest
-    earlier one, and a row (``a``, NULL) says that it has more.
-    """
-    def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        cell, node, part = rows[:, 0], rows[:, 1], rows[:, 2]
-        prints = np.ascontiguousarray(rows[:, 3:]).view(np.uint64)
-        near, nearest = np.full(len(rows), BITS + 1), np.zeros(len(rows), dtype=np.int64)
-        first, step, total, held = np.arange(len(rows)), 1, 0, []
-        touched = np.zeros(len(rows), dtype=bool)
-        while True:
-            first = first[first + step < len(rows)]
-            first = first[cell[first] == cell[first + step]]
-            if not len(first):
-                break
-            other = part[first] != part[first + step]
-            left = first[other]
-            apart = np.bitwise_count(prints[left] ^ prints[left + step]).sum(axis=1, dtype=np.int64)
-            close = apart <= most
-            left, apart = left[close], apart[close]
-            total += len(left)
-            if every:
-                if len(left):
-                    yield emit(node[left], node[left + step])
-            elif len(left):
-                right = left + step
-                better = apart < near[right]
-                near[right[better]], nearest[right[better]] = apart[better], left[better]
-                touched[left] = touched[right] = True
-                if total <= 4 * len(rows):
-                    held.append((left, right))
-                else:
-                    held.clear()
-            step += 1
-        if total and not every:
-            if total <= 4 * len(rows):
-                yield emit(node[np.concatenate([x for x, _ in held])], node[np.concatenate([y for _, y in held])])
-            else:
-                linked = near <= BITS
-                yield emit(node[linked], node[nearest[linked]])
-                more = node[touched]
-                yield pa.RecordBatch.from_arrays([pa.array(more), pa.nulls(len(more), pa.int64())], names=["a", "b"])
-
-    def emit(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
-
+def _near(rows: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row numbers of pairs of one cell and different parts at most ``most`` bits apart, and how many; rows lie by cells."""
+    cell, part, prints = rows[:, 0], rows[:, 2], np.ascontiguousarray(rows[:, 3:]).view(np.uint64)
+    places = coordinates(prints)
+    first, step = np.arange(len(rows)), 1
+    while True:
+        first = first[first + step < len(rows)]
+        first = first[cell[first] == cell[first + step]]
+        if not len(first):
+            return
+        left = first[part[first] != part[first + step]]
+        left = left[(np.abs(places[left] - places[left + step]) <= most).all(axis=1)]
+        apart = np.bitwise_count(prints[left] ^ prints[left + step]).sum(axis=1, dtype=np.int64)
+        close = apart <= most
+        if close.any():
+            yield left[close], left[close] + step, apart[close]
+        step += 1
+
+
+def _mixed(rows: np.ndarray) -> np.ndarray:
+    """Which rows lie in cells of several parts; others have nothing to add."""
+    starts = np.flatnonzero(np.diff(rows[:, 0], prepend=rows[0, 0] - 1))
+    several = np.minimum.reduceat(rows[:, 2], starts) < np.maximum.reduceat(rows[:, 2], starts)
+    return np.repeat(several, np.diff(starts, append=len(rows)))
+
+
+def _by_cells(dealt: DataFrame, run_cells, schema: str) -> DataFrame:
+    """``run_cells`` over arrays of whole cells (``cell``, ``node``, ``part``, fingerprint)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = np.empty((0, 3 + WORDS), dtype=np.int64)
         for batch in batches:
@@ -170,21 +194,126 @@ def _in_cells(dealt: DataFrame, most: int, every: bool) -> DataFrame:
             whole = int(np.searchsorted(rows[:, 0], rows[-1, 0]))  # the last cell may go on
             kept = rows[whole:]
             if whole:
-                yield from pairs(rows[:whole])
+                yield from run_cells(rows[:whole])
         if len(kept):
-            yield from pairs(kept)
+            yield from run_cells(kept)
+
+    return dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, schema)
+
+
+def _cut(dealt: DataFrame, every: bool) -> DataFrame:
+    """``dealt`` with crowded cells in blocks: each meets all others where ``every`` pair is asked for."""
+    crowded = settled(dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), (F.min("part") < F.max("part")).alias("mixed")).filter(
+        F.col("n") > CELL_LIMIT))
+    if crowded.isEmpty():
+        return dealt
+    blocks = F.when(F.col("mixed"), F.ceil(F.col("n") / CELL_LIMIT).cast("int")).otherwise(0)
+    cut = dealt.join(crowded.select("cell", blocks.alias("blocks")), "cell", "left").withColumn(
+        "mine", F.when(F.col("blocks") > 0, F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+
+    def meeting(b: Column) -> Column:
+        named = F.xxhash64(F.col("cell"), F.least(b, F.col("mine")), F.greatest(b, F.col("mine")))
+        low = F.lit((1 << TABLE_BITS) - 1)
+        return named.bitwiseAND(F.bitwise_not(low)).bitwiseOR(F.col("cell").bitwiseAND(low))
+
+    meetings = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), meeting) if every else F.array(meeting(F.col("mine")))
+    cells = F.when(F.col("blocks").isNull(), F.array("cell")).when(F.col("blocks") > 0, meetings)  # of one part: no pair
+    return cut.withColumn("cell", F.explode(cells)).drop("blocks", "mine")
+
+
+def _first_pairs(dealt: DataFrame, most: int) -> DataFrame:
+    """Candidate pairs ``a``, ``b``: each row's nearest earlier one of its cell, at most ``most`` bits away."""
+    def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows = rows[_mixed(rows)]
+        node, near, nearest = rows[:, 1], np.full(len(rows), BITS + 1), np.zeros(len(rows), dtype=np.int64)
+        for left, right, apart in _near(rows, most):
+            better = apart < near[right]
+            near[right[better]], nearest[right[better]] = apart[better], left[better]
+        linked = near <= BITS
+        x, y = node[linked], node[nearest[linked]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    return _by_cells(_cut(dealt, every=False), pairs, "a long, b long").distinct()
 
-    crowded = settled(dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CELL_LIMIT))
-    if not crowded.isEmpty():
-        blocks = F.ceil(F.col("n") / CELL_LIMIT).cast("int")
-        mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        meetings = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.xxhash64(
-            F.col("cell"), F.least(b, F.col("mine")), F.greatest(b, F.col("mine"))))
-        cut = dealt.join(crowded.withColumn("blocks", blocks).drop("n"), "cell", "left").withColumn("mine", mine)
-        dealt = cut.withColumn("cell", F.explode(F.when(F.col("blocks").isNull(), F.array("cell")).otherwise(meetings))).drop(
-            "blocks", "mine")
-    in_order = dealt.repartition("cell").sortWithinPartitions("cell")
-    return in_order.mapInArrow(run, "a long, b long").distinct()
+
+def _own_pairs(rows: np.ndarray, picks: list[np.ndarray], most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Candidate pairs of the cells, as row numbers; one that meets in several tables belongs to the first of them."""
+    flat = np.unpackbits(np.ascontiguousarray(rows[:, 3:]).view(np.uint8), axis=1)
+    cells = np.column_stack([pivot_cells(flat[:, pick], n) for n, pick in enumerate(picks)])
+    table, found = rows[:, 0] & ((1 << TABLE_BITS) - 1), []
+    for left, right, _ in _near(rows, most):
+        own = np.argmax(cells[left] == cells[right], axis=1) == table[left]
+        found.append((left[own], right[own]))
+    return found
+
+
+def _other_links(dealt: DataFrame, staged: DataFrame, picks: list[np.ndarray], most: int, similarity: float) -> DataFrame:
+    """All links ``a``, ``b`` between different parts: candidates are verified in their cells, and only links leave them.
+
+    Rows with a candidate of their table get their texts, so the rows grow with the tables and not with the pairs.
+    """
+    names = ["cell", "node", "part", *PRINT]
+    schema = ", ".join(f"{c} long" for c in names)
+
+    def meet(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows = rows[_mixed(rows)]
+        met = np.zeros(len(rows), dtype=bool)
+        if len(rows):
+            for left, right in _own_pairs(rows, picks, most):
+                met[left] = met[right] = True
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows[met].T.copy()], names=names)
+
+    def links(rows: np.ndarray, sets: list[np.ndarray]) -> pa.RecordBatch:
+        left, right = (np.concatenate(x) for x in zip(*[(np.empty(0, dtype=np.int64),) * 2, *_own_pairs(rows, picks, most)], strict=True))
+        sizes, shared = np.array([len(x) for x in sets]), np.zeros(len(left))
+        starts = np.flatnonzero(np.diff(rows[:, 0], prepend=rows[0, 0] - 1))
+        cell = np.searchsorted(starts, left, side="right") - 1
+        order = np.argsort(cell, kind="stable")
+        for pairs in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1) if len(left) else ():
+            at = starts[cell[pairs[0]]]
+            end = starts[cell[pairs[0]] + 1] if cell[pairs[0]] + 1 < len(starts) else len(rows)
+            shared[pairs] = common(sets[at:end], left[pairs] - at, right[pairs] - at)
+        alike = shared >= similarity / (1 + similarity) * (sizes[left] + sizes[right]) - 1e-9
+        x, y = rows[left[alike], 1], rows[right[alike], 1]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, sets, size = [], [], 0  # whole cells, a million shingles or somewhat more at a time
+        for batch in batches:
+            rows = np.column_stack([c.to_numpy() for c in batch.columns[:-1]]) if batch.num_rows else ()
+            for row, text in zip(rows, batch.column(len(names)), strict=True):
+                if size > 1 << 20 and held[-1][0] != row[0]:
+                    yield links(np.array(held), sets)
+                    held, sets, size = [], [], 0
+                held.append(row)
+                sets.append(shingle_set(text.as_py()))
+                size += len(sets[-1])
+        if held:
+            yield links(np.array(held), sets)
+
+    met = settled(_by_cells(_cut(dealt, every=True), meet, schema))
+    texts = settled(staged.select(F.col("row").alias("node"), "text").join(met.select("node").distinct(), "node", "left_semi"))
+    whole = met.join(texts, "node").select(*names, "text")
+    return whole.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
+
+
+def common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many elements the sets of each pair share: by a table of those in several sets, or pair by pair."""
+    if not len(left):
+        return np.empty(0)
+    ends = np.cumsum([len(x) for x in sets])
+    _, which, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(counts > 1) - 1
+    width = int(number[-1]) + 1 if len(number) else 0
+    if len(sets) > DENSE_ROWS or len(sets) ** 2 * width > 1e5 * len(left):
+        return np.array([np.isin(sets[a], sets[b], assume_unique=True).sum() for a, b in zip(left, right, strict=True)])
+    row, shared = np.repeat(np.arange(len(sets)), np.diff(ends, prepend=0)), counts[which] > 1
+    row, column, total = row[shared], number[which[shared]], np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for at in range(0, width, 1024):
+        table, here = np.zeros((len(sets), 1024), dtype=np.float32), (column >= at) & (column < at + 1024)
+        table[row[here], column[here] - at] = 1
+        total += table @ table.T
+    return total[left, right]
 
 
 def _verified(pairs: DataFrame, staged: DataFrame, similarity: float) -> DataFrame:
@@ -225,19 +354,17 @@ def _nodes(marked: DataFrame) -> DataFrame:
 def _rooted(nodes: DataFrame, staged: DataFrame, similarity: float) -> DataFrame:
     """``nodes`` with ``root``, one value for all that links join.
 
-    Crowded cells first bring a spanning forest, whose verified links make parts; then all pairs
-    between different parts follow. So no link is lost and copies of copies are not paired with each other.
+    The first tables bring one link for each row of a cell, and what these join are parts. Then all tables bring
+    all links between different parts. So no link is lost and the members of a large family, though each may be
+    near to every other, are not paired with each other.
     """
     bits, tables, most = table_plan(nodes.count(), similarity)
     texts = nodes.select("node", *PRINT)
-    found = settled(_in_cells(_dealt(texts.withColumn("part", F.col("node")), bits, tables), most, every=False))
-    links = settled(_verified(found.filter("b is not null"), staged, similarity))
-    more = found.filter("b is null").select(F.col("a").alias("node")).distinct()
-    if not more.isEmpty():
-        parts = component_roots(links)
-        rest = texts.join(more, "node").join(parts, "node", "left").withColumn("part", F.coalesce("root", "node"))
-        across = settled(_in_cells(_dealt(rest, bits, tables), most, every=True))
-        links = links.unionAll(_verified(across, staged, similarity))
+    found = settled(_first_pairs(_dealt(texts.withColumn("part", F.col("node")), bits, min(tables, FIRST_TABLES)), most))
+    links = settled(_verified(found, staged, similarity))
+    parts = component_roots(links)
+    parted = settled(texts.join(parts, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root"))
+    links = links.unionAll(_other_links(_dealt(parted, bits, tables), staged, picked_bits(bits, tables), most, similarity))
     roots = component_roots(links)
     return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 

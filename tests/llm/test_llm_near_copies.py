@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from llm_cases import clashing, documents
 
 from rainpanel.llm import near_copies
@@ -88,3 +89,53 @@ def test_odd_rows(spark):
     assert kept.columns == names.columns
     assert {r.doc_id for r in kept.collect()} == {1, 2, 5, 6, 7, 8, 9, 11, None} and kept.count() == 9
     assert near_copies.keep_one_each(docs.limit(0)).count() == 0
+
+
+def test_pivot_tables_lose_no_pair():
+    draw = np.random.default_rng(1)
+    blocks = draw.integers(0, 2, (4_000, 12), dtype=np.uint8)
+    for table in (0, 5):
+        cells = near_copies.pivot_cells(blocks, table)
+        assert set(cells % (1 << near_copies.TABLE_BITS)) == {table}
+        by_block = {}
+        for block, cell in zip(map(bytes, blocks), cells, strict=True):
+            assert by_block.setdefault(block, cell) == cell
+        assert len(set(cells)) > 0.9 * len(by_block)
+    prints = draw.integers(0, 1 << 64, (200, near_copies.WORDS), dtype=np.uint64)
+    places = near_copies.coordinates(prints).astype(int)
+    for a, b in draw.integers(0, 200, (500, 2)):
+        assert np.abs(places[a] - places[b]).max() <= np.bitwise_count(prints[a] ^ prints[b]).sum()
+
+
+def test_shared_shingles_by_table_and_by_pair(monkeypatch):
+    draw = np.random.default_rng(2)
+    sets = [np.unique(draw.integers(0, 3_000, n)) for n in draw.integers(0, 400, 60)]
+    left, right = np.triu_indices(60, 1)
+    want = [len(set(sets[a].tolist()) & set(sets[b].tolist())) for a, b in zip(left, right, strict=True)]
+    assert near_copies.common(sets, left, right).tolist() == want
+    monkeypatch.setattr(near_copies, "DENSE_ROWS", 0)
+    assert near_copies.common(sets, left, right).tolist() == want
+
+
+def test_a_family_below_the_similarity_brings_no_pairs(spark, monkeypatch):
+    """Texts near the similarity but below it: their pairs, which no link joins, stay in the tasks."""
+    draw = random.Random(8)
+    words = [f"word{n}" for n in range(4_000)]
+    base = draw.choices(words, k=200)
+    rows = []
+    for n in range(300):
+        copy = list(base)
+        for at in range(draw.randrange(33), 200, 33):
+            copy[at] = draw.choice(words)
+        rows.append((n, " ".join(copy)))
+    want, _ = reachable(rows)
+    brought, verified = [], near_copies._verified
+
+    def counted(pairs, *rest):
+        brought.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(near_copies, "_verified", counted)
+    got = {r.doc_id: r.component_id for r in near_copies.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(want[i] == want[got[i]] for i in got) and len(set(got.values())) <= 1.05 * len(set(want.values()))
+    assert sum(brought) <= near_copies.FIRST_TABLES * len(rows)
