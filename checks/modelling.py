@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks.common import GAPPY, PANEL, check, rd, rounded, scratch
-from checks.fitted import TEST_YEAR, fitted
+from checks.fitted import TEST_YEAR, fitted, fitted_together
 from checks.functions import SEASON
 from checks.tables import DATES, asked
 from rainpanel.operators import climatology, features, models
@@ -147,14 +147,14 @@ def model_prediction_job(spark, sf):
 
 @check("m11_compare_models")
 def compare_models(spark, sf):
-    forest, test = fitted("rf", spark, sf)
-    return rounded(models.compare_models(forest, fitted("gbt", spark, sf)[0], test), 4)
+    (forest, boosting), test = fitted_together(("rf", "gbt"), spark, sf)
+    return rounded(models.compare_models(forest, boosting, test), 4)
 
 
 @check("m11_comparison_metrics")
 def comparison_metrics(spark, sf):
-    forest, test = fitted("rf", spark, sf)
-    compared = models.compare_models(forest, fitted("gbt", spark, sf)[0], test)
+    (forest, boosting), test = fitted_together(("rf", "gbt"), spark, sf)
+    compared = models.compare_models(forest, boosting, test)
     bound = models.comparison_bound(compared)
     metrics = models.comparison_metrics(compared, keys=["region"])
     return rounded(metrics.withColumn("bound", bound.scalar()), 4)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from itertools import product
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
@@ -27,6 +30,8 @@ BOOSTING_SETTINGS = {"maxIter": 100, "maxDepth": 8, "stepSize": 0.1, "seed": 42}
 CHECKPOINT_ROUNDS = 3
 #: Training rows for each partition, at least: a level of a tree is a job, and each of its tasks unpacks all nodes so far.
 PARTITION_ROWS = 8_192
+#: The same for boosting, whose levels are those of one tree: every task sends a histogram of all its nodes, whatever its rows.
+BOOSTING_PARTITION_ROWS = 32_768
 
 
 def regressor(kind: str, **settings):
@@ -62,6 +67,13 @@ def _inputs(features: PipelineModel, rows: DataFrame) -> DataFrame:
     return settled(features.transform(rows).select(RAIN, SCALED_VECTOR).coalesce(partitions)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _fit(kind: str, inputs: DataFrame, **settings):
+    """The model alone, from labels and vectors; boosting reads them in fewer and larger partitions."""
+    if kind == "gbt":
+        inputs = inputs.coalesce(max(1, math.ceil(inputs.count() / BOOSTING_PARTITION_ROWS)))
+    return regressor(kind, **settings).fit(inputs)
+
+
 def fit_model(kind: str, train: DataFrame, category_limit: int | None = None, **settings) -> PipelineModel:
     """Fit features and model on training rows, as one pipeline that scores raw rows later.
 
@@ -75,16 +87,20 @@ def fit_models(
 ) -> dict[str, PipelineModel]:
     """Fit several kinds on one reading: features once, and one frame of labels and vectors for all kinds.
 
-    Each result is a whole pipeline, the same as :func:`fit_model` gives for that kind alone.
+    The kinds train side by side, as boosting is a long row of short jobs that leaves most cores free. Each
+    result is a whole pipeline, the same as :func:`fit_model` gives for that kind alone.
     """
     rows = _training_rows(train, category_limit)
     try:
         features = feature_pipeline().fit(rows)
         inputs = _inputs(features, rows)
         try:
-            return {
-                kind: PipelineModel([*features.stages, regressor(kind, **(settings or {}).get(kind, {})).fit(inputs)])
-                for kind in kinds}
+            fits = [
+                inheritable_thread_target(train.sparkSession)(partial(_fit, kind, inputs, **(settings or {}).get(kind, {})))
+                for kind in kinds]
+            with ThreadPoolExecutor(max(1, len(fits))) as side_by_side:
+                found = side_by_side.map(lambda fit: fit(), fits)
+                return {kind: PipelineModel([*features.stages, model]) for kind, model in zip(kinds, found)}
         finally:
             inputs.unpersist()
     finally:
@@ -198,7 +214,7 @@ def search_settings(
             test = _inputs(features, rows.filter(F.col("annee") == year))
             try:
                 for chosen in combinations:
-                    model = regressor(kind, **(settings | chosen)).fit(inputs)
+                    model = _fit(kind, inputs, **(settings | chosen))
                     metrics = regression_metrics(model.transform(test)).first()
                     label = ", ".join(f"{name}={value}" for name, value in sorted(chosen.items()))
                     results.append((label, int(year), *metrics))

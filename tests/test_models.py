@@ -1,4 +1,5 @@
 import datetime as dt
+from threading import Barrier
 
 import numpy as np
 import pytest
@@ -158,6 +159,30 @@ def test_few_training_rows_are_few_tasks(spark, panel):
     assert model.getOrDefault("checkpointInterval") == models.CHECKPOINT_ROUNDS
 
 
+def test_boosting_takes_few_tasks_beside_the_forest(spark, panel, monkeypatch):
+    """A level of one tree costs a histogram for each task, so boosting has larger partitions; both kinds train at once."""
+    seen, both, regressor = {}, Barrier(2), models.regressor
+
+    class Watched:
+        def __init__(self, kind, **settings):
+            self.kind, self.settings = kind, settings
+
+        def fit(self, inputs):
+            seen[self.kind] = inputs.rdd.getNumPartitions(), inputs.count()
+            both.wait(120)
+            return regressor(self.kind, **self.settings).fit(inputs)
+
+    rows = panel.repartition(16)
+    n = rows.count()
+    monkeypatch.setattr(models, "regressor", Watched)
+    monkeypatch.setattr(models, "PARTITION_ROWS", -(-n // 8))
+    monkeypatch.setattr(models, "BOOSTING_PARTITION_ROWS", -(-n // 2))
+    fitted = models.fit_models(("rf", "gbt"), rows, SMALL)
+    assert seen == {"rf": (8, n), "gbt": (2, n)}
+    scored = models.score_together(fitted, panel)
+    assert scored.filter("predicted_rf IS NULL OR predicted_gbt IS NULL").count() == 0 < scored.count()
+
+
 def test_search_reads_its_rows_once(spark, panel):
     read = spark.sparkContext.accumulator(0)
 
