@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rainpanel.llm.common import settled
+from rainpanel.llm.common import give_back, settled
 
 #: Labelled documents that may become examples, chosen by a hash of their id: the documented bound.
 MAX_EXAMPLES = 10_000
@@ -36,7 +36,7 @@ NEARNESS = 0.01
 #: What the votes of neighbours must outweigh.
 DOUBT = 0.5
 #: Bytes of text that are split at once.
-SPLIT = 6_000_000
+SPLIT = 3_000_000
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -59,9 +59,11 @@ def counted_terms(texts: pa.Array, terms: pa.Array) -> tuple[np.ndarray, np.ndar
     words, word, owner = words_of(texts)
     if not len(terms) or not len(word):
         return (np.zeros(0, dtype=np.int64),) * 3
+    # One search for words and stems: each makes a table of all terms first.
+    known = pc.fill_null(pc.index_in(pa.concat_arrays([words, stems_of(words)]), value_set=terms, skip_nulls=True), -1)
     numbers = []
-    for names in (words, stems_of(words)):
-        found = pc.fill_null(pc.index_in(names, value_set=terms, skip_nulls=True), -1).to_numpy(zero_copy_only=False)[word]
+    for part in np.split(known.to_numpy(zero_copy_only=False), 2):
+        found = part[word]
         numbers.append(owner[found >= 0].astype(np.int64) * len(terms) + found[found >= 0])
     keys, counts = np.unique(np.concatenate(numbers), return_counts=True)
     return keys // len(terms), keys % len(terms), counts
@@ -185,15 +187,22 @@ class Model:
     @cached_property
     def value(self) -> np.ndarray:
         """Unit vectors. They and the lists are made where they are first used, so never on the driver."""
-        value = (1 + np.log(self.count)) * self.weight[self.term]
+        value = np.log(self.count, dtype=np.float64)
+        value += 1
+        value *= self.weight[self.term]
         sizes = np.diff(self.ends)
         example = np.repeat(np.arange(len(sizes)), sizes)
-        return (value / np.sqrt(np.bincount(example, value ** 2, len(sizes)))[example]).astype(np.float32)
+        value /= np.sqrt(np.bincount(example, value ** 2, len(sizes)))[example]
+        return value.astype(np.float32)
 
     @cached_property
     def index(self) -> BlockMaxIndex:
+        value = self.value
+        give_back()
         example = np.repeat(np.arange(len(self.docs), dtype=np.int32), np.diff(self.ends))
-        return BlockMaxIndex(example, self.term, self.value, len(self.docs), len(self.terms))
+        index = BlockMaxIndex(example, self.term, value, len(self.docs), len(self.terms))
+        give_back()
+        return index
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("value", "index", "_seen")}
@@ -286,6 +295,7 @@ def _term_labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bad = np.bincount(term, toxic[begin + owner], minlength=len(names)).astype(np.int64)
             held = np.nonzero(n)[0]
             yield pa.RecordBatch.from_arrays([names.take(pa.array(held)), pa.array(n[held]), pa.array(bad[held])], names=["term", "n", "bad"])
+    give_back()
 
 
 def telling(n: np.ndarray, bad: np.ndarray, n_all: int, bad_all: int) -> np.ndarray:
@@ -326,6 +336,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
         some = np.nonzero(held)[0]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(some, -1).astype(np.int32)), pa.array(np.append(held[some], rows))], names=["term", "n"])
+        give_back()
 
     counted = documents.select("text").mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     number, held = (counted.column(c).to_numpy() for c in ("term", "n"))
@@ -344,6 +355,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
                     batch.column(0).slice(begin, len(part)), batch.column(2).slice(begin, len(part)),
                     *(pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (term, count))],
                     names=["doc_id", "toxic", "terms", "counts"])
+        give_back()
 
     table = examples.mapInArrow(vectors, "doc_id long, toxic int, terms array<int>, counts array<int>").toArrow()
     bare = pc.equal(pc.list_value_length(table.column("terms")), 0)
@@ -381,10 +393,11 @@ def _ready(shared: Broadcast, steps: Steps) -> Model:
     """The model of a worker that scores: with its index, without the vectors that only fitting needs."""
     model = shared.value
     model.steps = steps
-    if "index" not in model.__dict__:
+    if "term" in model.__dict__:
         model.index  # noqa: B018
-    for name in ("value", "term", "count"):
-        model.__dict__.pop(name, None)
+        for name in ("value", "term", "count"):
+            model.__dict__.pop(name, None)
+        give_back()
     return model
 
 
@@ -410,6 +423,7 @@ def score_documents(documents: DataFrame, labels: DataFrame, keep: Sequence[str]
                      for score, ids, words in m.scores(batch.column(batch.schema.get_field_index("text")))]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(found, arrow)], names=[*keep, "__tox"])
+        give_back()
 
     needed = list(dict.fromkeys([*keep, "text"]))
     return documents.select(*(f"`{c}`" for c in needed)).mapInArrow(run, schema)
@@ -429,6 +443,7 @@ def keep_harmless(documents: DataFrame, labels: DataFrame, text: str = "text") -
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
             yield batch.filter(pa.array([score < CUT for score, _, _ in m.scores(texts)], pa.bool_()))
+        give_back()
 
     return documents.mapInArrow(run, documents.schema)
 

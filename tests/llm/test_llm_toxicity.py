@@ -2,8 +2,11 @@ import math
 import pickle
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +15,7 @@ from llm_cases import CLASHING, clashing, documents
 
 from rainpanel.llm import toxicity
 
+ROOT = Path(__file__).parents[2]
 MILD = "garden river stone bread window table letter music summer winter travel paper silver".split()
 RUDE = "blarg snorf gronk".split()
 
@@ -165,3 +169,40 @@ def test_filter_keeps_columns(spark):
     kept = toxicity.keep_harmless(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     assert kept.columns == ["doc_id", "text", "lang", "source", *CLASHING] and 0.7 * len(rows) < kept.count() < 0.9 * len(rows)
     assert set(kept.schema) == set(frame.schema)
+
+
+WORKER = """
+import random
+import numpy as np, pyarrow as pa
+from rainpanel.llm import common, toxicity
+
+def held():
+    return next(int(line.split()[1]) for line in open("/proc/self/status") if line.startswith("VmRSS")) >> 10
+
+size, each, n_terms = 5_000, 300, 200_000
+rng = np.random.default_rng(0)
+rows = [np.sort(rng.choice(n_terms, each, replace=False)).astype(np.int32) for _ in range(size)]
+ends = np.arange(size + 1, dtype=np.int32) * each
+ones = np.ones(size * each, dtype=np.int32)
+lists = lambda values: pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+examples = pa.table({"doc_id": pa.array(range(size)), "toxic": pa.array([i % 2 for i in range(size)]),
+                     "terms": lists(np.concatenate(rows)), "counts": lists(ones)})
+model = toxicity.Model(pa.array([f"w{chr(97 + i % 26)}" + str(i) for i in range(n_terms)]), rng.random(n_terms) + 0.1, examples, 0.5)
+del rows, examples, ones
+common.give_back()
+
+class Shared:
+    value = model
+
+before = held()
+ready = toxicity._ready(Shared, model.steps)
+kept = sum(a.nbytes for a in vars(ready.index).values() if isinstance(a, np.ndarray)) >> 20
+print(held() - before - kept)
+"""
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux"), reason="reads /proc")
+def test_a_worker_gives_back_what_the_index_took_to_make():
+    """A worker stays idle beside the next stage: it may keep the index, not the memory that making it took."""
+    done = subprocess.run([sys.executable, "-c", WORKER], capture_output=True, text=True, timeout=120, check=True, cwd=ROOT)
+    assert int(done.stdout) < 20
